@@ -14,6 +14,7 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlog.operators.nested import MAX_DEPTH, object_members
 from roadlog.operators.ordered import BLOCK_BITS, last_before
@@ -59,7 +60,7 @@ def _with_status(events: DataFrame, block_bits: int) -> DataFrame:
     return scored.withColumn("status", status).drop("_marker")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _merge_members(source: pd.Series, members: pd.Series) -> pd.Series:
     """Write ``[{"path": [...], "value": "<json>"}]`` into JSON objects, in order."""
 

@@ -156,7 +156,7 @@ def flatten_struct(df: DataFrame) -> DataFrame:
 # --- lenient decoding ---------------------------------------------------------
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _literal_as_json(text: pd.Series) -> pd.Series:
     """JSON text of Python literals; null for anything else."""
 

@@ -26,13 +26,16 @@ def ingest_messages(
     tz: str = "UTC",
     sample_rows: int = SAMPLE_ROWS,
     replace_touched: bool = False,
+    cluster: bool = False,
 ) -> DataFrame:
     """Append the messages below the paths to ``table`` and return the rejects.
 
-    ``sample`` names a bulk file for the first rows by time.
+    ``sample`` names a bulk file for the first rows by time.  Message files
+    usually belong to one day, so rows are written where they were read;
+    ``cluster`` gathers them by day first when they do not.
     """
     messages = read_messages(spark, paths, value_schema, framing, tz=tz)
-    append_partitioned(messages.rows, table, schemas.CALENDAR, replace_touched)
+    append_partitioned(messages.rows, table, schemas.CALENDAR, replace_touched, cluster)
     if sample is not None:
         write_bulk_file(first_rows(messages.rows, sample_rows), sample, ("id", "timestamp"))
     return messages.rejects

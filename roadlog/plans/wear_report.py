@@ -17,6 +17,7 @@ def wear_report(
     df: DataFrame,
     keys: Sequence[str] = VEHICLE_DAY,
     metrics: Sequence[str] = HEALTH_METRICS,
+    period: Sequence[str] = CALENDAR,
     raw_names: bool = False,
     stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, Output]:
@@ -33,7 +34,7 @@ def wear_report(
         *keys,
         *[((F.col(f"max_{m}") - F.col(f"min_{m}")) / F.col("count")).alias(f"{m}Decrease") for m in metrics],
     )
-    decrease = period_mean(wear, CALENDAR, [f"{m}Decrease" for m in metrics])
+    decrease = period_mean(wear, period, [f"{m}Decrease" for m in metrics])
     table = per_car.select(
         *keys, *[F.col(f"max_{m}").alias(f"max({m})" if raw_names else m) for m in metrics]
     )
@@ -41,8 +42,8 @@ def wear_report(
     if raw_names:
         decrease = decrease.withColumnsRenamed({f"{m}Decrease": f"avg({m}Decrease)" for m in metrics})
     return {
-        "wearing-parts-car": Output(table, keys, CALENDAR, documents),
-        "wearing-parts-decrease": Output(decrease, CALENDAR, CALENDAR),
+        "wearing-parts-car": Output(table, keys, period, documents),
+        "wearing-parts-decrease": Output(decrease, period, period),
     }
 
 

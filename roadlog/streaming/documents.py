@@ -10,7 +10,6 @@ are what :func:`roadlog.operators.keyed.apply_actions` makes of base and log;
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -32,9 +31,6 @@ BASE_SCHEMA = "_id string, source string, upto long"
 
 # --- uploads ------------------------------------------------------------------
 
-# Fixed value: line boundaries of a text file.
-_LINE_END = re.compile("\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]")
-
 PAIR_SCHEMA = "file string, pair long, op string, _index string, _id string, source string, error string"
 
 
@@ -43,10 +39,7 @@ def _pairs_of_file(text: str) -> Iterator[tuple[str, str | None, str | None, str
 
     Every line must be JSON.  A ``delete`` has no source line.
     """
-    lines = _LINE_END.split(text)
-    if lines and lines[-1] == "":
-        lines.pop()
-    decoded = iter([(line, json.loads(line)) for line in lines])
+    decoded = iter([(line, json.loads(line)) for line in text.splitlines()])
     for line, action in decoded:
         if not isinstance(action, dict) or len(action) != 1:
             raise ValueError(f"not an action line: {line[:200]}")
