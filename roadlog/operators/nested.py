@@ -49,7 +49,10 @@ def _open_level(nodes: Column, into_lists: bool, keep_objects: bool) -> Column:
         f"WHEN {_AS_OBJECT.format(v='n.value')} IS NOT NULL THEN {members} "
         f"{open_list} ELSE {closed} END"
     )
-    return F.expr(f"flatten(transform({nodes}, n -> {step}))")
+    # documents that are open no more skip the remaining levels
+    return F.expr(
+        f"CASE WHEN exists({nodes}, n -> NOT n.done) THEN flatten(transform({nodes}, n -> {step})) ELSE {nodes} END"
+    )
 
 
 def _nodes(
@@ -111,25 +114,16 @@ def flatten_json(
     nothing, empty lists and nulls are kept, a bare scalar has the path ``""``.
     ``col`` is a VARIANT, or text of which undecodable rows give nothing.
     """
-    opened = _nodes(
-        df.withColumn("_doc", _as_variant(df, col)).filter(F.col("_doc").isNotNull()),
-        F.col("_doc"),
-        max_depth,
-        into_lists=True,
-        keep_objects=False,
-    )
-    return opened.select(*id_cols, F.inline(_dotted("_nodes")))
+    opened = _nodes(df, _as_variant(df, col), max_depth, into_lists=True, keep_objects=False)
+    # outer: a plain generator makes Spark test the array beforehand, which
+    # would open each document a second time
+    pairs = opened.withColumn("_pairs", _dotted("_nodes")).select(*id_cols, F.inline_outer("_pairs"))
+    return pairs.filter(F.col("value").isNotNull())
 
 
 def flatten_wide(df: DataFrame, col: str, paths: Sequence[str], max_depth: int = MAX_DEPTH) -> DataFrame:
     """Add one text column per wanted flattened path (scalars bare, lists as JSON)."""
-    opened = _nodes(
-        df.withColumn("_doc", _as_variant(df, col)),
-        F.col("_doc"),
-        max_depth,
-        into_lists=True,
-        keep_objects=False,
-    )
+    opened = _nodes(df, _as_variant(df, col), max_depth, into_lists=True, keep_objects=False)
     flat = opened.withColumn("_flat", F.map_from_entries(_dotted("_nodes", variant_text("n.value"))))
     return flat.select(*df.columns, *[F.try_element_at("_flat", F.lit(p)).alias(p) for p in paths])
 
@@ -195,19 +189,20 @@ def decode_tolerant(df: DataFrame, col: str) -> DataFrame:
 # --- schema profile -----------------------------------------------------------
 
 
-# Python type name of the VARIANT `{v}`
-_TYPE_NAME = (
-    "CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN 'NoneType' "
-    f"WHEN {_AS_OBJECT} IS NOT NULL THEN 'dict' "
-    f"WHEN {_AS_LIST} IS NOT NULL THEN 'list' "
-    "ELSE CASE schema_of_variant({v}) WHEN 'STRING' THEN 'str' WHEN 'BOOLEAN' THEN 'bool' "
-    "WHEN 'BIGINT' THEN 'int' ELSE 'float' END END"
-)
+def _variant_kind(v: str) -> str:
+    """SQL text: ``OBJECT`` or ``LIST`` for containers, else the scalar type."""
+    return (
+        f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN 'VOID' "
+        f"WHEN {_AS_OBJECT.format(v=v)} IS NOT NULL THEN 'OBJECT' "
+        f"WHEN {_AS_LIST.format(v=v)} IS NOT NULL THEN 'LIST' ELSE schema_of_variant({v}) END"
+    )
 
 
-def python_type_name(value: str) -> Column:
-    """Python type name of a VARIANT (``value`` is SQL text)."""
-    return F.expr(_TYPE_NAME.format(v=value))
+# Python type name of a kind
+_TYPE_NAME = (
+    "CASE {kind} WHEN 'VOID' THEN 'NoneType' WHEN 'OBJECT' THEN 'dict' WHEN 'LIST' THEN 'list' "
+    "WHEN 'STRING' THEN 'str' WHEN 'BOOLEAN' THEN 'bool' WHEN 'BIGINT' THEN 'int' ELSE 'float' END"
+)
 
 
 def schema_profile(df: DataFrame, col: str, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -216,15 +211,12 @@ def schema_profile(df: DataFrame, col: str, max_depth: int = MAX_DEPTH) -> DataF
     Lists are not looked into.  Types carry Python's names.
     """
     opened = _nodes(
-        df.select(_as_variant(df, col).alias("_doc")).filter(F.col("_doc").isNotNull()),
-        F.col("_doc"),
-        max_depth,
-        into_lists=False,
-        keep_objects=True,
+        df.select(_as_variant(df, col).alias("_doc")), F.col("_doc"), max_depth, into_lists=False, keep_objects=True
     )
-    members = opened.select(F.inline("_nodes")).filter(F.size("path") > 0)
+    members = opened.select(F.inline_outer("_nodes")).filter(F.size("path") > 0)
     return (
-        members.select(F.array_join("path", ".").alias("path"), python_type_name("value").alias("type"))
+        members.select(F.array_join("path", ".").alias("path"), F.expr(_variant_kind("value")).alias("kind"))
+        .select("path", F.expr(_TYPE_NAME.format(kind="kind")).alias("type"))
         .groupBy("path", "type")
         .agg(F.count("*").alias("n"))
     )
@@ -235,13 +227,7 @@ def extract_schema(df: DataFrame, col: str, name: str, max_depth: int = MAX_DEPT
 
     Members are listed in key order; a document without members has no fields.
     """
-    opened = _nodes(
-        df.withColumn("_doc", _as_variant(df, col)),
-        F.col("_doc"),
-        max_depth,
-        into_lists=False,
-        keep_objects=True,
-    )
+    opened = _nodes(df, _as_variant(df, col), max_depth, into_lists=False, keep_objects=True)
     # The nodes come parents first, so one pass can write the nested text: the
     # depth of the following node tells whether fields open, go on or close.
     members = opened.withColumn(
@@ -249,7 +235,7 @@ def extract_schema(df: DataFrame, col: str, name: str, max_depth: int = MAX_DEPT
         F.expr(
             "transform(filter(_nodes, n -> size(n.path) > 0), n -> named_struct("
             "'depth', size(n.path), 'type', "
-            + _TYPE_NAME.format(v="n.value")
+            + _TYPE_NAME.format(kind=_variant_kind("n.value"))
             + ", 'label', to_json(named_struct('name', element_at(n.path, -1)))))"
         ),
     )
@@ -287,6 +273,15 @@ def _column_sql(df: DataFrame, col: str) -> str:
 def _json_ready(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DecimalType):
         return c.cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        # the fraction is written only where there is one
+        fraction = F.date_format(c, ".SSSSSS")
+        zone = F.date_format(c, "xxx") if isinstance(dtype, T.TimestampType) else F.lit("")
+        return F.concat(
+            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"),
+            F.when(fraction == ".000000", "").otherwise(fraction),
+            zone,
+        )
     return c
 
 
@@ -302,8 +297,8 @@ def row_json(df: DataFrame, cols: Sequence[str] | None = None, keep_nulls: bool
         {
             "ignoreNullFields": str(not keep_nulls).lower(),
             "dateFormat": "yyyy-MM-dd",
-            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
-            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         },
     )
 
@@ -321,12 +316,11 @@ def object_members(df: DataFrame, col: str, id_cols: Sequence[str], max_depth: i
 
     Lists stay whole; an empty object is a member with the value ``{}``.
     """
-    opened = _nodes(
-        df.filter(F.col(col).isNotNull()), F.col(col), max_depth, into_lists=False, keep_objects=True
-    )
+    opened = _nodes(df, F.col(col), max_depth, into_lists=False, keep_objects=True)
     inner = F.expr(
         "filter(transform(filter(_nodes, n -> size(n.path) > 0), "
         "n -> named_struct('path', n.path, 'value', to_json(n.value))), "
         "m -> m.value = '{}' OR NOT startswith(m.value, '{'))"
     )
-    return opened.select(*id_cols, F.inline(inner))
+    members = opened.withColumn("_members", inner).select(*id_cols, F.inline_outer("_members"))
+    return members.filter(F.col("path").isNotNull())

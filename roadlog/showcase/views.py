@@ -6,7 +6,7 @@ any order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlog.schemas import HEALTH_METRICS
@@ -20,6 +20,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def whole(c: Column) -> Column:
+    """Nearest whole number, as a double."""
+    return F.floor(c + 0.5).cast("double")
+
+
+def _whole(c: str) -> str:
+    return f"floor({c} + 0.5)"
+
+
 def _calendar(c: str) -> dict:
     return {"year": F.year(c), "month": F.month(c), "day": F.dayofmonth(c)}
 
@@ -34,11 +43,11 @@ def tele_line(spark: SparkSession, folder: str) -> DataFrame:
     price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
     health = (
         F.col("l_quantity"),
-        F.round(price),
-        F.round(discount * 100),
-        F.round(tax * 100),
-        F.round(price * (1 - discount)),
-        F.round(price * (1 + tax)),
+        whole(price),
+        whole(discount * 100),
+        whole(tax * 100),
+        whole(price * (1 - discount)),
+        whole(price * (1 + tax)),
     )
     return table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("id"),
@@ -50,10 +59,10 @@ def tele_line(spark: SparkSession, folder: str) -> DataFrame:
 
 TELE_LINE = f"""tele_line AS (
   SELECT l_suppkey AS id, {_SQL_CALENDAR.format(c='l_shipdate')},
-    l_quantity AS breaksHealth, round(l_extendedprice) AS mufflerHealth,
-    round(l_discount * 100) AS engineHealth, round(l_tax * 100) AS tireHealth,
-    round(l_extendedprice * (1 - l_discount)) AS gearsHealth,
-    round(l_extendedprice * (1 + l_tax)) AS batteryHealth,
+    l_quantity AS breaksHealth, {_whole('l_extendedprice')} AS mufflerHealth,
+    {_whole('l_discount * 100')} AS engineHealth, {_whole('l_tax * 100')} AS tireHealth,
+    {_whole('l_extendedprice * (1 - l_discount)')} AS gearsHealth,
+    {_whole('l_extendedprice * (1 + l_tax)')} AS batteryHealth,
     l_returnflag = 'R' AS breakActive
   FROM lineitem)"""
 
@@ -65,7 +74,7 @@ def tele_events(spark: SparkSession, folder: str) -> DataFrame:
         F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
         *[c.alias(n) for n, c in _calendar("ts").items()],
         F.col("event_type").alias("model"),
-        F.round(F.col("value") * 100).alias("kmh"),
+        whole(F.col("value") * 100).alias("kmh"),
         F.get_json_object("props", "$.k").cast("double").alias("rpm"),
         (F.col("value") / 10).alias("lat"),
         F.col("value").alias("lon"),
@@ -75,7 +84,7 @@ def tele_events(spark: SparkSession, folder: str) -> DataFrame:
 
 TELE_EVENTS = f"""tele_events AS (
   SELECT user_id AS id, epoch_us(ts) // 1000 AS timestamp, {_SQL_CALENDAR.format(c='ts')},
-    event_type AS model, round(value * 100) AS kmh,
+    event_type AS model, {_whole('value * 100')} AS kmh,
     CAST(json_extract(props, '$.k') AS DOUBLE) AS rpm,
     value / 10 AS lat, value AS lon, event_type = 'error' AS breakActive
   FROM events)"""
@@ -85,7 +94,7 @@ def _fleet(spark: SparkSession, folder: str, status: str) -> DataFrame:
     return table(spark, folder, "lineitem").filter(F.col("l_linestatus") == status).withColumns(
         {
             "model": F.concat(F.lit("m"), F.col("l_partkey")),
-            "cents": F.round(F.col("l_extendedprice") * 100),
+            "cents": whole(F.col("l_extendedprice") * 100),
         }
     )
 
@@ -103,14 +112,14 @@ def usa_fleet(spark: SparkSession, folder: str) -> DataFrame:
         "model",
         F.col("l_quantity").alias("consumptionMile"),
         F.col("cents").alias("co2Mile"),
-        F.round(F.col("l_tax") * 100).alias("mph"),
+        whole(F.col("l_tax") * 100).alias("mph"),
     )
 
 
-FLEETS = """eu AS (
-  SELECT 'm' || l_partkey AS model, l_quantity AS consumptionKm, round(l_extendedprice * 100) AS co2Km
+FLEETS = f"""eu AS (
+  SELECT 'm' || l_partkey AS model, l_quantity AS consumptionKm, {_whole('l_extendedprice * 100')} AS co2Km
   FROM lineitem WHERE l_linestatus = 'F'),
 usa AS (
-  SELECT 'm' || l_partkey AS model, l_quantity AS consumptionMile, round(l_extendedprice * 100) AS co2Mile,
-    round(l_tax * 100) AS mph
+  SELECT 'm' || l_partkey AS model, l_quantity AS consumptionMile, {_whole('l_extendedprice * 100')} AS co2Mile,
+    {_whole('l_tax * 100')} AS mph
   FROM lineitem WHERE l_linestatus = 'O')"""

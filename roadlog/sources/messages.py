@@ -61,10 +61,10 @@ def frame_messages(lines: DataFrame, framing: str = "lines") -> DataFrame:
 def decode_messages(tokens: DataFrame, value_schema: T.StructType) -> DataFrame:
     """Add ``message`` (the parsed envelope) and ``reason`` (null when usable)."""
     schema = schemas.envelope(value_schema).add(_CORRUPT, T.StringType())
-    decoded = tokens.withColumn(
-        "message",
-        F.from_json("token", schema, {"columnNameOfCorruptRecord": _CORRUPT}),
-    )
+    message = F.from_json("token", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    # a generator over one message: filters on the parsed fields stay above it,
+    # so each token is parsed once
+    decoded = tokens.select("*", F.explode_outer(F.array(message)).alias("message"))
     return decoded.withColumn("reason", _reason())
 
 
