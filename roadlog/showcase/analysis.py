@@ -25,7 +25,7 @@ from roadlog.showcase.views import (
 )
 
 # the vehicle whose trace is shown
-TRACED = 42
+TRACED = 7
 DECREASES = [f"{m}Decrease" for m in HEALTH_METRICS]
 
 

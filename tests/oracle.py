@@ -38,7 +38,7 @@ def rows_of(names, rows):
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-def compare(spark_df, con, sql) -> str | None:
+def compare(spark_df, con, sql, allow_empty: bool = False) -> str | None:
     """What differs, or None."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
@@ -52,7 +52,7 @@ def compare(spark_df, con, sql) -> str | None:
     got = rows_of(spark_df.columns, spark_df.collect())
     if len(got) != len(expected):
         return f"{len(got)} rows instead of {len(expected)}"
-    if not got:
+    if not got and not allow_empty:
         return "no rows"
     different = [(a, b) for a, b in zip(got, expected) if a != b]
     if different:
