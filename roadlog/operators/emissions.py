@@ -53,10 +53,16 @@ def emission_by_model_joined(eu: DataFrame, usa: DataFrame, factor: float = KM_P
 
 
 def model_statistics(
-    df: DataFrame, averages: Sequence[str] = ("consumptionMile",), maxima: Sequence[str] = ("mph",)
+    df: DataFrame,
+    averages: Sequence[str] = ("consumptionMile",),
+    maxima: Sequence[str] = ("mph",),
+    null_key_mode: str = "keep",
+    nan_as_null: bool = False,
 ) -> dict[str, DataFrame]:
     """``{'avg': ..., 'max': ...}`` per model, as two frames."""
+    if null_key_mode == "drop":
+        df = drop_null_keys(df, ["model"])
     return {
-        "avg": rollup(df, ["model"], averages, "avg"),
-        "max": rollup(df, ["model"], maxima, "max"),
+        "avg": rollup(df, ["model"], averages, "avg", nan_as_null),
+        "max": rollup(df, ["model"], maxima, "max", nan_as_null),
     }

@@ -32,12 +32,9 @@ class Applied(NamedTuple):
     results: DataFrame
 
 
-def _partial() -> Column:
-    """The partial document of an ``update`` (VARIANT); null when it has none."""
-    return F.expr(
-        "CASE WHEN try_variant_get(try_parse_json(source), '$.doc', 'map<string, variant>') IS NOT NULL "
-        "THEN variant_get(parse_json(source), '$.doc', 'variant') END"
-    )
+def _has_partial() -> Column:
+    """Whether the source of an ``update`` has a partial document."""
+    return F.expr("try_variant_get(try_parse_json(source), '$.doc', 'map<string, variant>') IS NOT NULL")
 
 
 def _with_status(events: DataFrame, block_bits: int) -> DataFrame:
@@ -52,7 +49,7 @@ def _with_status(events: DataFrame, block_bits: int) -> DataFrame:
         .when(op == "create", F.when(present, 409).otherwise(201))
         .when(
             op == "update",
-            F.when(_partial().isNull(), 400).when(present, 200).otherwise(404),
+            F.when(~_has_partial(), 400).when(present, 200).otherwise(404),
         )
         .when(op == "delete", F.when(present, 200).otherwise(404))
         .otherwise(400)
@@ -134,7 +131,7 @@ def _final_documents(scored: DataFrame, max_depth: int) -> DataFrame:
     )
     members = (
         object_members(
-            done.filter(F.col("op") == "update").select("_id", "seq", _partial().alias("doc")),
+            done.filter(F.col("op") == "update").select("_id", "seq", F.expr("variant_get(parse_json(source), '$.doc', 'variant')").alias("doc")),
             "doc",
             ["_id", "seq"],
             max_depth,

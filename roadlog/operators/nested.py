@@ -24,8 +24,8 @@ def _as_variant(df: DataFrame, col: str) -> Column:
     return F.try_parse_json(F.col(col))
 
 
-def _open_level(nodes: Column, into_lists: bool, keep_objects: bool) -> Column:
-    """Replace every open container among ``nodes`` by its members.
+def _open_level(nodes: str, into_lists: bool, keep_objects: bool) -> str:
+    """SQL text: the array ``nodes`` with every open container replaced by its members.
 
     A node is ``(path ARRAY<STRING>, value VARIANT, done BOOLEAN)``.
     """
@@ -50,9 +50,7 @@ def _open_level(nodes: Column, into_lists: bool, keep_objects: bool) -> Column:
         f"{open_list} ELSE {closed} END"
     )
     # documents that are open no more skip the remaining levels
-    return F.expr(
-        f"CASE WHEN exists({nodes}, n -> NOT n.done) THEN flatten(transform({nodes}, n -> {step})) ELSE {nodes} END"
-    )
+    return f"CASE WHEN exists({nodes}, n -> NOT n.done) THEN flatten(transform({nodes}, n -> {step})) ELSE {nodes} END"
 
 
 def _nodes(
@@ -73,8 +71,10 @@ def _nodes(
             )
         ),
     )
-    for _ in range(max_depth):
-        df = df.withColumn("_nodes", _open_level("_nodes", into_lists, keep_objects))
+    opened = _open_level("nodes", into_lists, keep_objects)
+    df = df.withColumn(
+        "_nodes", F.expr(f"aggregate(sequence(1, {max_depth}), _nodes, (nodes, level) -> {opened})")
+    )
     # scalars reached by the last pass are still marked open
     still_open = (
         "exists(_nodes, n -> NOT n.done AND ("

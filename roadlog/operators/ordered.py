@@ -1,10 +1,14 @@
 """Running values along an order, for keys of any size.
 
 A window over a whole key runs in one task, which a key that owns a third of
-the table does not survive.  Here the order (a unique BIGINT) is cut into
-blocks of ``2**block_bits`` consecutive values.  Windows run inside
+the table does not survive.  Here the order (a BIGINT, unique within the key)
+is cut into blocks of ``2**block_bits`` consecutive values.  Windows run inside
 ``(key, block)``, so no task holds more than ``2**block_bits`` rows of a key,
-and what each block hands on is found from one summary row per block.
+and what the earlier blocks hand on is found from one summary row per block.
+
+Each further level treats the summaries the same way.  One level leaves
+``n / 2**block_bits`` summaries of a key to one task when the order is dense;
+with two or three levels that holds for sparse orders too.
 """
 
 from __future__ import annotations
@@ -18,8 +22,39 @@ from pyspark.sql.window import Window
 BLOCK_BITS = 20
 
 
-def _with_block(df: DataFrame, order: str, block_bits: int) -> DataFrame:
-    return df.withColumn("_block", F.shiftright(F.col(order), block_bits))
+def _running(how: str, value: str, keys: Sequence[str], order: str) -> Column:
+    """The value over the rows of the window strictly before the row."""
+    window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (F.sum(value) if how == "sum" else F.last(value, ignorenulls=True)).over(window)
+
+
+def _before(
+    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, how: str, bits: int, levels: int
+) -> DataFrame:
+    """Add ``name``: the sum, or the last non-null, of ``value`` before the row."""
+    if levels == 0:
+        return df.withColumn(name, _running(how, value, keys, order))
+    block, final, carried = f"_block{levels}", f"_final{levels}", f"_carried{levels}"
+    rows = df.withColumn(block, F.shiftright(F.col(order), bits))
+    if how == "sum":
+        summary = F.sum(value)
+    else:
+        summary = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
+    blocks = _before(
+        rows.groupBy(*keys, block).agg(summary.alias(final)), keys, block, final, carried, how, bits, levels - 1
+    )
+    handed_on = blocks.filter(F.col(carried).isNotNull()).select(*keys, block, carried)
+    joined = rows.withColumn(name, _running(how, value, [*keys, block], order)).join(
+        handed_on, [*keys, block], "left"
+    )
+    if how == "sum":
+        both = F.when(
+            F.col(name).isNotNull() | F.col(carried).isNotNull(),
+            F.coalesce(name, F.lit(0)) + F.coalesce(carried, F.lit(0)),
+        )
+    else:
+        both = F.coalesce(name, carried)
+    return joined.withColumn(name, both).select(*df.columns, name)
 
 
 def last_before(
@@ -29,29 +64,14 @@ def last_before(
     value: Column,
     name: str,
     block_bits: int = BLOCK_BITS,
+    levels: int = 1,
 ) -> DataFrame:
-    """Add ``name``: the last non-null ``value`` of the key strictly before the row."""
-    rows = _with_block(df, order, block_bits).withColumn("_value", value)
-    in_block = (
-        Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    earlier_blocks = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        rows.groupBy(*keys, "_block")
-        .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_final"))
-        .withColumn("_carried", F.last("_final", ignorenulls=True).over(earlier_blocks))
-        .filter(F.col("_carried").isNotNull())
-        .select(*keys, "_block", "_carried")
-    )
-    local = rows.withColumn("_local", F.last("_value", ignorenulls=True).over(in_block))
-    return (
-        local.join(carried, [*keys, "_block"], "left")
-        .withColumn(name, F.coalesce("_local", "_carried"))
-        .drop("_block", "_value", "_local", "_carried")
-        .select(*df.columns, name)
-    )
+    """Add ``name``: the last non-null ``value`` of the key strictly before the row.
+
+    Keys must not be null.
+    """
+    found = _before(df.withColumn("_value", value), keys, order, "_value", name, "last", block_bits, levels)
+    return found.drop("_value")
 
 
 def rank_in_order(
@@ -60,23 +80,13 @@ def rank_in_order(
     name: str = "rank",
     keys: Sequence[str] = (),
     block_bits: int = BLOCK_BITS,
+    levels: int = 2,
 ) -> DataFrame:
-    """Add ``name``: position from 0 along the order, over the table or per key."""
-    rows = _with_block(df, order, block_bits)
-    in_block = Window.partitionBy(*keys, "_block").orderBy(order)
-    # one row per block: small enough for one task even without keys
-    earlier_blocks = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        rows.groupBy(*keys, "_block")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(earlier_blocks), F.lit(0)))
-        .select(*keys, "_block", "_offset")
-    )
-    return (
-        rows.withColumn("_local", F.row_number().over(in_block) - 1)
-        .join(offsets, [*keys, "_block"])
-        .withColumn(name, F.col("_offset") + F.col("_local"))
-        .select(*df.columns, name)
+    """Add ``name``: position from 0 along the order, over the table or per key.
+
+    Keys must not be null.
+    """
+    counted = _before(
+        df.withColumn("_one", F.lit(1).cast("long")), keys, order, "_one", name, "sum", block_bits, levels
     )
+    return counted.withColumn(name, F.coalesce(name, F.lit(0).cast("long"))).drop("_one")

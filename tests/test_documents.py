@@ -130,8 +130,8 @@ def test_expand_raw(spark):
 # --- running values -----------------------------------------------------------
 
 
-@pytest.mark.parametrize("bits", [0, 3, 20])
-def test_last_before_and_rank(spark, bits):
+@pytest.mark.parametrize("bits, levels", [(0, 1), (3, 1), (3, 2), (4, 3), (20, 1)])
+def test_last_before_and_rank(spark, bits, levels):
     rng = random.Random(bits)
     places = rng.sample(range(-500, 5000), 300)
     # one key owns most of the rows
@@ -142,7 +142,7 @@ def test_last_before_and_rank(spark, bits):
         for r in rows(
             ordered.rank_in_order(
                 ordered.rank_in_order(
-                    ordered.last_before(df, ["k"], "place", F.col("v"), "prior", bits), "place", "rank", ["k"], bits
+                    ordered.last_before(df, ["k"], "place", F.col("v"), "prior", bits, levels), "place", "rank", ["k"], bits, levels
                 ),
                 "place",
                 "all",
@@ -434,7 +434,7 @@ def test_fast_path_equals_fold(spark):
 
 
 def test_no_document_is_gathered(spark):
-    """No window or list over all actions of an id: blocks bound every window."""
+    """No list over all actions of an id, and blocks bound every window."""
     df = spark.createDataFrame([], "seq long, op string, _id string, source string")
     target = spark.createDataFrame([], "_id string, source string")
     plan = keyed.apply_actions(target, df).table._jdf.queryExecution().optimizedPlan().toString()
