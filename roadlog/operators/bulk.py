@@ -58,35 +58,32 @@ def _in_lanes(df: DataFrame, lane_bits: int, partitions: int | None) -> DataFram
     return by_lane.sortWithinPartitions("lane", "seq")
 
 
-def _chunks(
-    batches: Iterable[pd.DataFrame], size: int, max_bytes: int
-) -> Iterator[tuple[int, pd.DataFrame]]:
-    """Cut sorted batches of a partition into ``(chunk number, rows)``.
+def _numbered(batches: Iterable[pd.DataFrame], size: int, max_bytes: int) -> Iterator[pd.DataFrame]:
+    """Add ``chunk`` to sorted batches of a partition; every frame holds whole chunks.
 
-    At most one batch and one unfinished chunk are held.
+    At most one batch and one unfinished chunk are in memory.
     """
     held: pd.DataFrame | None = None
-    number = 0
+    number = 0  # of the held chunk in its lane
     for batch in batches:
         if not len(batch):
             continue
         rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
         cuts = np.flatnonzero(np.diff(rows["lane"].to_numpy())) + 1
         edges = [0, *cuts.tolist(), len(rows)]
+        sizes = rows["bytes"].to_numpy()
+        numbers = np.empty(len(rows), dtype=np.int64)
         for a, b in zip(edges, edges[1:]):
-            lane = rows.iloc[a:b]
-            starts = chunk_bounds(lane["bytes"].to_numpy(), size, max_bytes)
-            # the last chunk of the last lane may still grow
-            whole = starts if b < len(rows) else starts[:-1]
-            for start, end in zip(whole, [*starts[1:], len(lane)]):
-                yield number, lane.iloc[start:end]
-                number += 1
-            if b < len(rows):
-                number = 0
-            else:
-                held = lane.iloc[starts[-1] :]
+            starts = chunk_bounds(sizes[a:b], size, max_bytes)
+            numbers[a:b] = number + np.searchsorted(starts, np.arange(b - a), side="right") - 1
+            number = number + len(starts) - 1 if b == len(rows) else 0
+        # the last chunk may still grow
+        done = a + starts[-1]
+        held = rows.iloc[done:]
+        if done:
+            yield rows.iloc[:done].assign(chunk=numbers[:done])
     if held is not None:
-        yield number, held
+        yield held.assign(chunk=number)
 
 
 def chunk_actions(
@@ -102,8 +99,8 @@ def chunk_actions(
     """
 
     def cut(batches):
-        for number, rows in _chunks(batches, size, max_bytes):
-            yield rows.assign(chunk=number)[["lane", "chunk", "seq", "bytes"]]
+        for rows in _numbered(batches, size, max_bytes):
+            yield rows[["lane", "chunk", "seq", "bytes"]]
 
     sizes = df.select("seq", action_bytes().alias("bytes"))
     return _in_lanes(sizes, lane_bits, partitions).mapInPandas(
@@ -213,8 +210,9 @@ def send_actions(
         )
 
     def run(batches):
-        for number, rows in _chunks(batches, size, max_bytes):
-            yield one_chunk(rows.assign(chunk=number))
+        for rows in _numbered(batches, size, max_bytes):
+            for _, chunk in rows.groupby(["lane", "chunk"], sort=False):
+                yield one_chunk(chunk)
 
     sized = df.select("seq", "op", "_id", "action_line", "source_line", action_bytes().alias("bytes"))
     return _in_lanes(sized, lane_bits, partitions).mapInPandas(run, RESULT_SCHEMA)

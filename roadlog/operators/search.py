@@ -137,7 +137,8 @@ def missing_ids(docs: DataFrame, ids: DataFrame, key: str = "_id") -> DataFrame:
 
 def exists_ids(docs: DataFrame, ids: DataFrame, key: str = "_id") -> DataFrame:
     """``(key, found)`` for each requested id."""
-    return lookup(docs.select(key), ids, key)
+    found = _hits(docs.select(key), ids, key).distinct().withColumn("found", F.lit(True))
+    return ids.select(key).join(found, key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 # --- fields across tables -----------------------------------------------------

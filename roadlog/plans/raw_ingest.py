@@ -27,15 +27,22 @@ def ingest_messages(
     sample_rows: int = SAMPLE_ROWS,
     replace_touched: bool = False,
     cluster: bool = False,
+    sample_order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Append the messages below the paths to ``table`` and return the rejects.
 
-    ``sample`` names a bulk file for the first rows by time.  Message files
+    ``sample`` names a bulk file for the first rows.  Without ``sample_order``
+    they are the first that are read, which touches few files; with it they are
+    the first in that order, which takes another pass.  Message files
     usually belong to one day, so rows are written where they were read;
     ``cluster`` gathers them by day first when they do not.
     """
     messages = read_messages(spark, paths, value_schema, framing, tz=tz)
     append_partitioned(messages.rows, table, schemas.CALENDAR, replace_touched, cluster)
     if sample is not None:
-        write_bulk_file(first_rows(messages.rows, sample_rows), sample, ("id", "timestamp"))
+        if sample_order is None:
+            first = messages.rows.limit(sample_rows)
+        else:
+            first = first_rows(messages.rows, sample_rows, sample_order)
+        write_bulk_file(first, sample, ("id", "timestamp"))
     return messages.rejects

@@ -7,8 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlog.operators.rollups import drop_null_keys, rollup
-from roadlog.operators.wear import extremes, period_mean, wear_from_extremes
+from roadlog.operators.rollups import drop_null_keys
+from roadlog.operators.wear import extremes, period_mean
 from roadlog.plans.common import Output
 from roadlog.schemas import CALENDAR, HEALTH_METRICS, VEHICLE_DAY
 
@@ -48,17 +48,26 @@ def wear_report(
 
 
 def wear_report_over_groups(
-    df: DataFrame, keys: Sequence[str] = VEHICLE_DAY, metrics: Sequence[str] = HEALTH_METRICS
+    df: DataFrame,
+    keys: Sequence[str] = VEHICLE_DAY,
+    metrics: Sequence[str] = HEALTH_METRICS,
+    period: Sequence[str] = CALENDAR,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, Output]:
     """The variant that divides by the number of vehicle days, as documents only.
 
     Keys with a missing part are left out and NaN is skipped.
     """
-    rows = drop_null_keys(df, keys)
-    highs = rollup(rows, keys, metrics, "max", nan_as_null=True)
-    lows = rollup(rows, keys, metrics, "min", nan_as_null=True)
-    wear = wear_from_extremes(highs, lows, keys, metrics, suffix="")
+    per_car = extremes(drop_null_keys(df, keys), keys, metrics, nan_as_null=True)
+    if stage is not None:
+        per_car = stage(per_car)
+    groups = per_car.agg(F.count("*")).scalar()
+    wear = per_car.withColumn("_groups", groups).select(
+        *keys,
+        *[F.try_divide(F.col(f"max_{m}") - F.col(f"min_{m}"), F.col("_groups")).alias(m) for m in metrics],
+    )
+    lows = per_car.select(*keys, *[F.col(f"min_{m}").alias(m) for m in metrics])
     return {
         "wearing-parts-car": Output(lows, keys, table=False),
-        "wearing-parts-decrease": Output(period_mean(wear, CALENDAR, metrics), CALENDAR, table=False),
+        "wearing-parts-decrease": Output(period_mean(wear, period, metrics), period, table=False),
     }

@@ -15,6 +15,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the state of a stream (open days, seen readings) may outgrow the heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # a JSON object that repeats a key keeps the last value
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -27,6 +31,21 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sized_conf(shuffle_bytes: int, partition_bytes: int = 128 << 20, minimum: int = 200) -> dict[str, str]:
+    """Shuffle settings for jobs that shuffle about ``shuffle_bytes``.
+
+    The adaptive planner joins small shuffle partitions but does not cut large
+    ones (hot join keys aside), so the initial number follows the data:
+    partitions of ``partition_bytes`` that a task can sort in memory.
+    """
+    partitions = max(minimum, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def object_store_conf(
     credentials_provider: str = "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider",
     packages: str | None = None,

@@ -122,7 +122,14 @@ def ingest_job(spark, folder):
 def ingest_sample(spark, folder):
     """The 200-row bulk file of the ingest job, its lines paired again by id."""
     out = new_folder(spark, "ingested")
-    ingest_messages(spark, message_files(spark, folder), f"{out}/table", f"{out}/sample", VALUE)
+    ingest_messages(
+        spark,
+        message_files(spark, folder),
+        f"{out}/table",
+        f"{out}/sample",
+        VALUE,
+        sample_order=("timestamp", "id"),
+    )
     pairs = spark.read.text(f"{out}/sample", lineSep='{"index"').filter("value != ''")
     lines = F.split("value", "\n")
     return pairs.select(

@@ -113,7 +113,7 @@ wear AS (SELECT {_KEYS}, {_OVER_GROUPS} FROM tele_line, groups g GROUP BY {_KEYS
 SELECT {_DAY}, {_health("round(avg({m}), 6) AS {m}")} FROM wear GROUP BY {_DAY}"""
 )
 def report_wear_over_groups(spark, folder):
-    out = wear_report.wear_report_over_groups(tele_line(spark, folder))["wearing-parts-decrease"].rows
+    out = wear_report.wear_report_over_groups(tele_line(spark, folder), stage=written)["wearing-parts-decrease"].rows
     return out.withColumns({m: F.round(m, 6) for m in HEALTH_METRICS})
 
 

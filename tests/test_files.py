@@ -12,7 +12,7 @@ from roadlog.functions.calendar import date_range, with_calendar, with_date
 from roadlog.functions.columns import index_from_file_path, index_from_object_key
 from roadlog.plans import daily_summary, fleet_reports, raw_ingest, wear_report
 from roadlog.plans.common import write_outputs
-from roadlog.session import build_session, object_store_conf
+from roadlog.session import build_session, object_store_conf, sized_conf
 from roadlog.sinks import tables
 from roadlog.sources import files
 
@@ -134,6 +134,8 @@ def test_index_of_file(spark, tmp_path):
 def test_session_settings(spark):
     conf = object_store_conf(packages="org.apache.hadoop:hadoop-aws:3.4.1", endpoint="http://localhost:1")
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://localhost:1" and "spark.jars.packages" in conf
+    assert sized_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert sized_conf(10 << 40)["spark.sql.shuffle.partitions"] == "81920"
     assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
 
 
@@ -157,7 +159,7 @@ def ingested(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("ingest")
     (root / "raw").mkdir()
     (root / "raw" / "messages").write_text("\n".join(map(json.dumps, MESSAGES)) + "\n{oops\n")
-    rejects = raw_ingest.ingest_messages(spark, f"{root}/raw", f"{root}/table", f"{root}/sample", sample_rows=2)
+    rejects = raw_ingest.ingest_messages(spark, f"{root}/raw", f"{root}/table", f"{root}/sample", sample_rows=2, sample_order=["timestamp"])
     return root, rejects
 
 
