@@ -129,13 +129,10 @@ def _final_documents(scored: DataFrame, max_depth: int) -> DataFrame:
         .agg(F.max_by(F.struct("op", "source", "seq"), "seq").alias("base"))
         .filter(F.col("base.op") != "delete")
     )
+    partial = F.expr("variant_get(parse_json(source), '$.doc', 'variant')").alias("doc")
+    updates = done.filter(F.col("op") == "update").select("_id", "seq", partial)
     members = (
-        object_members(
-            done.filter(F.col("op") == "update").select("_id", "seq", F.expr("variant_get(parse_json(source), '$.doc', 'variant')").alias("doc")),
-            "doc",
-            ["_id", "seq"],
-            max_depth,
-        )
+        object_members(updates, "doc", ["_id", "seq"], max_depth)
         # an empty object only makes sure that the member is an object, so it
         # must not hide an earlier plain value of the same member
         .withColumn("hollow", F.col("value") == "{}")

@@ -95,7 +95,8 @@ def ingest_hour_buckets(spark, folder):
     path = new_folder(spark, "buckets")
     raw = raw_messages(spark, folder).withColumn("hour", F.col("bucket"))
     # nested folders car=1/hour=<bucket>, found by the recursive scan
-    raw.select(F.lit(1).alias("car"), "hour", "value").write.partitionBy("car", "hour").text(path)
+    gathered = raw.select(F.lit(1).alias("car"), "hour", "value").hint("rebalance", "hour")
+    gathered.write.partitionBy("car", "hour").text(path)
     rows = messages.read_hour_buckets(spark, path, VALUE)
     return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("kmh").alias("kmh"))
 
@@ -168,18 +169,18 @@ def json_lines_paths(spark, folder):
     return files.read_json_lines_table(spark, path, paths=["event_id", "what.type"])
 
 
-@query("SELECT user_id, count(*) AS n, max(value) AS value FROM events GROUP BY user_id")
+@query("SELECT CAST(day(ts) AS BIGINT) AS day, count(*) AS n, max(value) AS value FROM events GROUP BY 1")
 def json_documents(spark, folder):
-    """One JSON document per file: a folder per user with one file each."""
+    """One JSON document per file: a folder per day with one file each."""
     path = new_folder(spark, "documents")
-    per_user = table(spark, folder, "events").groupBy("user_id").agg(
+    per_day = table(spark, folder, "events").groupBy(F.dayofmonth("ts").alias("day")).agg(
         F.count("*").alias("n"), F.max("value").alias("value")
     )
-    doc = F.to_json(F.struct("user_id", "n", "value"))
-    per_user.select(F.col("user_id").alias("u"), doc.alias("value")).write.partitionBy("u").text(path)
+    doc = F.to_json(F.struct("day", "n", "value"))
+    per_day.select(F.col("day").alias("d"), doc.alias("value")).write.partitionBy("d").text(path)
     docs = files.read_json_documents(spark, f"{path}/*")
     return docs.select(
-        F.variant_get("doc", "$.user_id", "long").alias("user_id"),
+        F.variant_get("doc", "$.day", "long").alias("day"),
         F.variant_get("doc", "$.n", "long").alias("n"),
         F.variant_get("doc", "$.value", "double").alias("value"),
     )

@@ -119,13 +119,21 @@ def stream_upload(spark, folder):
     path = new_folder(spark, "upload")
     first = customer_docs(spark, folder).withColumn("op", F.lit("index"))
     first.select(_bulk_text(first).alias("value")).write.text(f"{path}/in/a customers.json")
-    # each file holds the whole history of its customers, in order
+    files = documents.stream_uploads(spark, f"{path}/in", max_files=1 << 16)
+
+    def upload():
+        documents.start_uploads(
+            files, f"{path}/log", f"{path}/checkpoint", f"{path}/in", order=("file",)
+        ).awaitTermination()
+
+    upload()
+    # many moderate files, in order by name
     orders = order_actions(spark, folder)
-    per_customer = orders.repartition(8, "_id").sortWithinPartitions("seq")
-    files = documents.stream_uploads(spark, f"{path}/in")
-    documents.start_uploads(files, f"{path}/log", f"{path}/checkpoint", f"{path}/in").awaitTermination()
-    per_customer.select(_bulk_text(per_customer).alias("value")).write.text(f"{path}/in/orders+more.json")
-    documents.start_uploads(files, f"{path}/log", f"{path}/checkpoint", f"{path}/in").awaitTermination()
+    in_order = orders.repartitionByRange("seq").sortWithinPartitions("seq")
+    in_order.select(_bulk_text(in_order).alias("value")).write.option("maxRecordsPerFile", 5000).text(
+        f"{path}/in/orders+more.json"
+    )
+    upload()
     documents.compact_documents(spark, f"{path}/log", f"{path}/base", first=True)
     doc = F.parse_json("source")
     return documents.current_documents(spark, f"{path}/log", f"{path}/base").select(

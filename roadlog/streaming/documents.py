@@ -13,7 +13,7 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
@@ -120,19 +120,21 @@ def start_uploads(
     checkpoint: str,
     root: str | None = None,
     rejects: str | None = None,
+    order: Sequence[str] = ("modified", "file"),
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append the actions of landed bulk files to a document log.
 
-    Files of one micro-batch apply in the order of their modification time.
-    With ``rejects`` broken files are written there and the others go on;
+    Files of one micro-batch apply in ``order``: by modification time, or by
+    ``("file",)`` where the names tell.  Spark itself forms the micro-batches
+    from the oldest files first.  With ``rejects`` broken files are written there and the others go on;
     without, a broken file fails the stream.
     """
 
     def run(batch_files: DataFrame, batch: int) -> None:
         # one narrow row per file: at most max_files rows
         numbers = batch_files.select("file", "modified").withColumn(
-            "number", F.row_number().over(Window.orderBy("modified", "file")) - 1
+            "number", F.row_number().over(Window.orderBy(*order)) - 1
         )
         actions = bulk_file_actions(batch_files, root, strict=rejects is None)
         if rejects is not None:
@@ -213,13 +215,22 @@ def _base(spark: SparkSession, base: str | None) -> DataFrame:
 
 
 def current_documents(
-    spark: SparkSession, log: str, base: str | None = None, index: str | None = None
+    spark: SparkSession,
+    log: str,
+    base: str | None = None,
+    index: str | None = None,
+    upto: Column | int | None = None,
 ) -> DataFrame:
-    """``(_id, source)`` after every logged action; ``index`` picks one index."""
+    """``(_id, source)`` after every logged action; ``index`` picks one index.
+
+    ``upto`` leaves out later batches.
+    """
     old = _base(spark, base)
     actions = logged_actions(spark, log)
     if index is not None:
         actions = actions.filter(F.col("_index") == index)
+    if upto is not None:
+        actions = actions.filter(F.col("batch") <= upto)
     if base is not None:
         actions = actions.filter(F.col("batch") > F.coalesce(old.agg(F.max("upto")).scalar(), F.lit(-1)))
     return apply_actions(old.select("_id", "source"), actions).table
@@ -228,11 +239,12 @@ def current_documents(
 def compact_documents(spark: SparkSession, log: str, base: str, first: bool = False) -> None:
     """Write the current documents as a new base version; ``first`` when there is none.
 
-    The log and the older versions are left as they are.
+    Run it between batches: a batch that is just being written would count as
+    complete.  The log and the older versions are left as they are.
     """
     upto = spark.read.schema(LOG_SCHEMA).parquet(log).agg(F.max("batch")).scalar()
     (
-        current_documents(spark, log, None if first else base)
+        current_documents(spark, log, None if first else base, upto=upto)
         .withColumn("upto", upto)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
