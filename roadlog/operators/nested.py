@@ -150,19 +150,26 @@ def flatten_struct(df: DataFrame) -> DataFrame:
 # --- lenient decoding ---------------------------------------------------------
 
 
-@F.pandas_udf(T.StringType())
-def _literal_as_json(text: pd.Series) -> pd.Series:
-    """JSON text of Python literals; null for anything else."""
+_RETRIED = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.StringType())])
+
+
+@F.pandas_udf(_RETRIED)
+def _retry(text: pd.Series) -> pd.DataFrame:
+    """Strict JSON text, and how it was found, of what Spark does not take as JSON.
+
+    JSON with NaN or Infinity is JSON to Python; as in `to_json` they become text.
+    """
+    readers = (("json", lambda t: json.loads(t, parse_constant=str)), ("literal", ast.literal_eval))
 
     def one(t):
-        if t is None:
-            return None
-        try:
-            return json.dumps(ast.literal_eval(t))
-        except Exception:  # any text may turn up here; it is reported as failed
-            return None
+        for path, read in readers if t is not None else ():
+            try:
+                return json.dumps(read(t), allow_nan=False), path
+            except Exception:  # any text may turn up here; what no reader takes is reported as failed
+                continue
+        return None, None
 
-    return text.map(one)
+    return pd.DataFrame([one(t) for t in text], columns=["text", "path"], dtype=object)
 
 
 def decode_tolerant(df: DataFrame, col: str) -> DataFrame:
@@ -172,18 +179,17 @@ def decode_tolerant(df: DataFrame, col: str) -> DataFrame:
     to be read as a Python literal; what is neither becomes ``{}``.
     """
     parsed = df.withColumn("_json", F.try_parse_json(col))
-    retried = parsed.withColumn(
-        "_literal",
-        F.try_parse_json(_literal_as_json(F.when(F.col("_json").isNull(), F.col(col)))),
+    retried = parsed.withColumn("_retried", _retry(F.when(F.col("_json").isNull(), F.col(col)))).withColumn(
+        "_second", F.try_parse_json("_retried.text")
     )
     return retried.withColumns(
         {
-            "doc": F.coalesce("_json", "_literal", F.parse_json(F.lit("{}"))),
+            "doc": F.coalesce("_json", "_second", F.parse_json(F.lit("{}"))),
             "decode_path": F.when(F.col("_json").isNotNull(), "json")
-            .when(F.col("_literal").isNotNull(), "literal")
+            .when(F.col("_second").isNotNull(), F.col("_retried.path"))
             .otherwise("failed"),
         }
-    ).drop("_json", "_literal")
+    ).drop("_json", "_retried", "_second")
 
 
 # --- schema profile -----------------------------------------------------------

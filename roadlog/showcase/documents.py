@@ -71,9 +71,29 @@ def bulk_lane_chunks(spark, folder):
     return chunks.select("seq", "lane", "chunk")
 
 
-@query()
+# greedy cuts, one chunk per step: the next chunk starts at the first action that
+# would be the 501st or take the bytes over the limit
+@query(
+    """WITH RECURSIVE sized AS (
+  SELECT lane, n, row_number() OVER w AS place, sum(n) OVER w AS ends
+  FROM (SELECT event_id, event_id // 4096 AS lane,
+      length('{"index":{"_id":"' || event_id || '"}}') + 1 +
+      length('{"event_type":"' || event_type || '","props":"' || replace(props, '"', '\\"') || '"}') + 1 AS n FROM events)
+  WINDOW w AS (PARTITION BY lane ORDER BY event_id)),
+cuts AS (
+  SELECT lane, 0 AS chunk, CAST(1 AS BIGINT) AS place, CAST(0 AS BIGINT) AS used FROM sized GROUP BY lane
+  UNION ALL
+  SELECT c.lane, c.chunk + 1, min(s.place), CAST(min(s.ends - s.n) AS BIGINT)
+  FROM cuts c JOIN sized s ON s.lane = c.lane AND s.place > c.place
+    AND (s.ends - c.used > 8192 OR s.place - c.place >= 500)
+  GROUP BY c.lane, c.chunk),
+bounds AS (SELECT *, lead(place) OVER (PARTITION BY lane ORDER BY chunk) AS next FROM cuts)
+SELECT b.lane, CAST(b.chunk AS BIGINT) AS chunk, count(*) AS n, CAST(sum(s.n) AS BIGINT) AS bytes
+FROM bounds b JOIN sized s ON s.lane = b.lane AND s.place >= b.place AND (b.next IS NULL OR s.place < b.next)
+GROUP BY b.lane, b.chunk"""
+)
 def bulk_byte_chunks(spark, folder):
-    """Chunks cut by their size in bytes; greedy, so not said in SQL."""
+    """Chunks cut by their size in bytes."""
     chunks = bulk.chunk_actions(event_actions(spark, folder), max_bytes=8192, lane_bits=12)
     return chunks.groupBy("lane", "chunk").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from roadlog.operators.documents import bulk_pairs
 from roadlog.plans.raw_ingest import ingest_messages
-from roadlog.showcase.registry import query
+from roadlog.showcase.registry import query, undotted
 from roadlog.showcase.views import TELE_EVENTS, table, tele_events
 from roadlog.sinks import tables as sinks
 from roadlog.sources import files, messages
@@ -146,7 +146,7 @@ _NESTED = "event_id LONG, who STRUCT<user: LONG>, what STRUCT<type: STRING, valu
 
 
 @query(
-    """SELECT event_id, user_id AS "who.user", event_type AS "what.type", value AS "what.value",
+    """SELECT event_id, user_id AS who_user, event_type AS what_type, value AS what_value,
   2021 AS year, 8 AS month, 6 AS day FROM events"""
 )
 def json_lines_calendar(spark, folder):
@@ -158,15 +158,15 @@ def json_lines_calendar(spark, folder):
     )
     sinks.write_json_lines(shaped, path)
     schema = T.StructType.fromDDL(_NESTED)
-    return files.read_json_lines_table(spark, path, schema=schema, date=dt.date(2021, 8, 6))
+    return undotted(files.read_json_lines_table(spark, path, schema=schema, date=dt.date(2021, 8, 6)))
 
 
-@query("""SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS "what.type" FROM events""")
+@query("""SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS what_type FROM events""")
 def json_lines_paths(spark, folder):
     path = new_folder(spark, "jsonl")
     shaped = table(spark, folder, "events").select("event_id", F.struct(F.col("event_type").alias("type")).alias("what"))
     sinks.write_json_lines(shaped, path)
-    return files.read_json_lines_table(spark, path, paths=["event_id", "what.type"])
+    return undotted(files.read_json_lines_table(spark, path, paths=["event_id", "what.type"]))
 
 
 @query("SELECT CAST(day(ts) AS BIGINT) AS day, count(*) AS n, max(value) AS value FROM events GROUP BY 1")

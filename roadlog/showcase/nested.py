@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roadlog.operators import nested, search
-from roadlog.showcase.registry import query
+from roadlog.showcase.registry import query, undotted
 from roadlog.showcase.views import table
 
 
@@ -50,22 +50,23 @@ def json_flatten(spark, folder):
 
 
 @query(
-    """SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS "conv.id", role AS "turns.0.role",
-  '["' || role || '","x"]' AS tags, CAST(NULL AS VARCHAR) AS "no.such" FROM conversations"""
+    """SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS conv_id_text, role AS turns_0_role,
+  '["' || role || '","x"]' AS tags, CAST(NULL AS VARCHAR) AS no_such FROM conversations"""
 )
 def json_flatten_wide(spark, folder):
     paths = ["conv.id", "turns.0.role", "tags", "no.such"]
-    return nested.flatten_wide(conversation_docs(spark, folder), "doc", paths).drop("doc")
+    wide = nested.flatten_wide(conversation_docs(spark, folder), "doc", paths).drop("doc")
+    return undotted(wide.withColumnRenamed("conv.id", "conv.id.text"))
 
 
-@query("""SELECT event_id, user_id AS "who.user", event_type AS "what.type", value AS "what.value" FROM events""")
+@query("""SELECT event_id, user_id AS who_user, event_type AS what_type, value AS what_value FROM events""")
 def struct_flatten(spark, folder):
     shaped = table(spark, folder, "events").select(
         "event_id",
         F.struct(F.col("user_id").alias("user")).alias("who"),
         F.struct(F.col("event_type").alias("type"), "value").alias("what"),
     )
-    return nested.flatten_struct(shaped)
+    return undotted(nested.flatten_struct(shaped))
 
 
 def mixed_texts(spark, folder):

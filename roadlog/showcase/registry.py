@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadlog.session import apply_runtime_conf
 
+
+
+def undotted(df: DataFrame) -> DataFrame:
+    """Column names with ``_`` for the dots of flattened paths."""
+    return df.toDF(*[c.replace(".", "_") for c in df.columns])
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}

@@ -82,7 +82,7 @@ def test_wide_and_struct(spark):
 
 
 def test_tolerant(spark):
-    got = nested.decode_tolerant(texts(spark, '{"a":1}', "{'a': True, 'b': None}", "{oops", "(1, 2)", None), "doc")
+    got = nested.decode_tolerant(texts(spark, '{"a":1}', "{'a': True, 'b': None}", "{oops", "(1, 2)", None, '{"a":NaN}'), "doc")
     out = [(r.decode_path, r.j) for r in got.orderBy("n").select("decode_path", F.to_json("doc").alias("j")).collect()]
     assert out == [
         ("json", '{"a":1}'),
@@ -90,6 +90,7 @@ def test_tolerant(spark):
         ("failed", "{}"),
         ("literal", "[1,2]"),
         ("failed", "{}"),
+        ("json", '{"a":"NaN"}'),
     ]
 
 
