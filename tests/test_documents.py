@@ -268,22 +268,18 @@ def test_send_retries_only_the_rejected(spark):
     assert [(r["attempts"], r["ok"]) for r in got] == [(1, True), (3, False), (3, True), (1, True)]
 
 
-def test_waits_double_up_to_the_limit(spark):
-    waits = "file"
-    import tempfile
+def test_waits_double_up_to_the_limit(spark, tmp_path):
+    log = tmp_path / "waits"
 
-    with tempfile.NamedTemporaryFile("r") as f:
-        path = f.name
+    def sleep(seconds):
+        with open(log, "a") as out:
+            out.write(f"{seconds}\n")
 
-        def sleep(seconds):
-            with open(path, "a") as out:
-                out.write(f"{seconds}\n")
-
-        sent = bulk.send_actions(
-            actions(spark, 1, str), sender(lambda t: 429), max_retries=4, max_backoff=9, sleep=sleep, partitions=1
-        )
-        assert rows(sent)[0]["attempts"] == 5
-        waits = [float(w) for w in f.read().split()]
+    sent = bulk.send_actions(
+        actions(spark, 1, str), sender(lambda t: 429), max_retries=4, max_backoff=9, sleep=sleep, partitions=1
+    )
+    assert rows(sent)[0]["attempts"] == 5
+    waits = [float(w) for w in log.read_text().split()]
     assert waits == [2, 4, 8, 9]
     column = spark.range(5).select(bulk.backoff_seconds(F.col("id"), 2, 9).alias("w"))
     assert [r.w for r in column.collect()] == [0, *waits]
