@@ -213,3 +213,19 @@ def test_fleet_outputs(spark):
     stats = fleet_reports.model_report(usa)
     assert rows(stats["mph-max-usa"].rows) == [{"model": "m", "mph": 90.0}]
     assert rows(stats["mile-avg-usa"].rows) == [{"model": "m", "consumptionMile": 16.0}]
+
+
+def test_task_functions_travel_with_the_job(tmp_path):
+    """A worker that cannot import the package can still run its functions."""
+    import subprocess
+    import sys
+
+    import numpy as np
+    from pyspark import cloudpickle
+
+    from roadlog.operators import bulk
+
+    (tmp_path / "f").write_bytes(cloudpickle.dumps((bulk.chunk_bounds, np.array([3, 3, 3]))))
+    code = "import pickle, sys; f, sizes = pickle.load(open('f', 'rb')); print(f(sizes, 500, 6), 'roadlog' in sys.modules)"
+    done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert done.stdout.split("\n")[0] == "[0, 2] False"
