@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlog.llm import bpe
+from roadlog.llm import bpe, exact_dedup
 from roadlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def later_half(id_col: str = "doc_id") -> Column:
+    """Which documents count as arrivals; the others are the history they meet."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 2 == 1
+
+
 def default_codec(spark: SparkSession) -> bpe.Codec:
     return bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -44,3 +49,23 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    """
+    WITH t AS (
+      SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+      FROM documents),
+    g AS (
+      SELECT lowered, max(doc_id) AS keep_id, count(*) AS group_size, sha256(lowered) AS text_sha256
+      FROM t GROUP BY lowered)
+    SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
+    FROM t JOIN g USING (lowered)
+    """
+)
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the documents meet the other half; of equal texts the largest id stays."""
+    verdict = exact_dedup.deduplicate(table(spark, folder, "documents"), later_half())
+    return verdict.select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
