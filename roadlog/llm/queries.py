@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlog.llm import bpe, exact_dedup
+from roadlog.llm import bpe, exact_dedup, quality
 from roadlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,21 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return verdict.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+def held_out(id_col: str = "doc_id") -> Column:
+    """Documents no classifier learns from."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query()
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document, learnt from the labels outside the held-out quarter."""
+    docs = table(spark, folder, "documents")
+    weights = quality.train(docs, table(spark, folder, "labels"), ~held_out())
+    return quality.score(docs, weights).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+    )
