@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from roadlog.llm.common import map_batches, texts
 
 # bounds of what a task remembers (entries), and the longest remembered stretch
-KEPT_STRETCHES = 1 << 19
+KEPT_STRETCHES = 1 << 18
 KEPT_LENGTH = 64
-KEPT_PAIRS = 1 << 20
+KEPT_PAIRS = 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,7 +49,7 @@ class Vocabulary:
         self.joined: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         self.shorter: dict[int, int | None] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.packed = _Packed(self)
         self._build()
         self.automaton = ahocorasick.Automaton()
@@ -72,7 +72,6 @@ class Vocabulary:
             token = self.token[rank]
             prefixes = (self.ranks.get(token[:n]) for n in range(len(token) - 1, 0, -1))
             self.shorter[rank] = next((p for p in prefixes if p in self.halves), None)
-        self.fits.clear()  # pairs judged before all tokens were known
 
     def _stand(self, left: int, right: int) -> bool:
         """Would merging in rank order leave a border between the two tokens?
@@ -99,11 +98,12 @@ class Vocabulary:
                         return True
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.fits.get((left, right))
+        pair = left << 32 | right
+        known = self.fits.get(pair)
         if known is None:
             if len(self.fits) >= KEPT_PAIRS:
                 self.fits.clear()
-            known = self.fits[left, right] = self._stand(left, right)
+            known = self.fits[pair] = self._stand(left, right)
         return known
 
     def encode_stretch(self, stretch: bytes) -> list[int]:
@@ -138,9 +138,6 @@ class Vocabulary:
         """Ids of a text, each as four bytes, lowest first."""
         return b"".join(map(self.packed.__getitem__, self.cut(text)))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
 
 class _Packed(dict):
     """Stretch of text to its packed ids; forgets everything when full."""
@@ -170,11 +167,17 @@ class Codec:
     def __init__(self, spark, path: str, pattern: str):
         self._sent = spark.sparkContext.broadcast({"ranks": read_ranks(path), "pattern": pattern})
 
-    def tables(self) -> Vocabulary:
+    def encoder(self) -> Vocabulary:
+        kept = self._sent.value
+        if "encoder" not in kept:
+            kept["encoder"] = Vocabulary(kept["ranks"], kept["pattern"])
+        return kept["encoder"]
+
+    def tokens(self) -> dict[int, bytes]:
         kept = self._sent.value
-        if "tables" not in kept:
-            kept["tables"] = Vocabulary(kept["ranks"], kept["pattern"])
-        return kept["tables"]
+        if "tokens" not in kept:
+            kept["tokens"] = {rank: token for token, rank in kept["ranks"].items()}
+        return kept["tokens"]
 
 
 def encode(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,7 +189,7 @@ def encode(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str
     """
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        encode_text = codec.tables().encode
+        encode_text = codec.encoder().encode
         return [batch.column(0), pa.array((encode_text(t.as_py()) for t in batch.column(1)), pa.binary())]
 
     return map_batches(texts(docs, id_col, text_col), run, "doc_id long, ids binary")
@@ -196,9 +199,9 @@ def decode(encoded: DataFrame, codec: Codec) -> DataFrame:
     """``doc_id, ids, decoded``: the bytes the ids stand for."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        decode_ids = codec.tables().decode
-        back = pa.array((decode_ids(i.as_py() or b"") for i in batch.column(1)), pa.binary())
-        return [batch.column(0), batch.column(1), back]
+        token = codec.tokens().__getitem__
+        back = (b"".join(map(token, unpacked(i.as_py() or b""))) for i in batch.column(1))
+        return [batch.column(0), batch.column(1), pa.array(back, pa.binary())]
 
     return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary")
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # white space of the word rules: blank, tab, line feed, vertical tab, form feed, carriage return
 WORD = r"[^\x20\x09-\x0D]+"
 
+# rows whose results are held in Python at once
+SLICE = 1024
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -36,8 +39,8 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(fn(batch), names=names)
+            for start in range(0, batch.num_rows, SLICE):
+                yield pa.RecordBatch.from_arrays(fn(batch.slice(start, SLICE)), names=names)
 
     return df.mapInArrow(run, schema)
 
