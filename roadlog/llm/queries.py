@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlog.llm import bpe, exact_dedup, quality
+from roadlog.llm import bpe, exact_dedup, minhash, quality
 from roadlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,9 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near duplicates: three words a shingle, 85 of 100 shingles in common."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
