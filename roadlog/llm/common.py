@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # white space of the word rules: blank, tab, line feed, vertical tab, form feed, carriage return
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,7 +36,7 @@ def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], schema: str
 ) -> DataFrame:
     """``fn`` over Arrow batches; it returns one array for each column of ``schema``."""
-    names = [part.split()[0] for part in schema.split(",")]
+    names = StructType.fromDDL(schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

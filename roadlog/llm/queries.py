@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlog.llm import bpe, exact_dedup, minhash, quality
+from roadlog.llm import bpe, exact_dedup, minhash, quality, secrets
 from roadlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,33 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near duplicates: three words a shingle, 85 of 100 shingles in common."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def _span_text(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """``kind:start:end`` of sorted spans, joined by commas."""
+    names = F.array(*map(F.lit, kinds))
+    return F.array_join(
+        F.transform(
+            spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"], x["finish"])
+        ),
+        ",",
+    )
+
+
+@query()
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every text: fixed formats, and runs that pass the randomness battery."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] < 3)
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(_span_text(base, secrets.KINDS), 256).alias("base_sha256"),
+        _span_text(F.col("spans"), secrets.KINDS).alias("spans"),
+    )
