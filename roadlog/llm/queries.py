@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlog.llm import bpe, exact_dedup, minhash, quality, secrets
+from roadlog.llm import bpe, exact_dedup, minhash, mixing, perspectives, quality, secrets, sharding
 from roadlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,124 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(_span_text(base, secrets.KINDS), 256).alias("base_sha256"),
         _span_text(F.col("spans"), secrets.KINDS).alias("spans"),
     )
+
+
+@query()
+def op6_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixteen runs of a Hilbert curve through source, language and size, equal in rows."""
+    return sharding.assign(table(spark, folder, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve",
+    )
+
+
+@query(
+    """
+    WITH said AS (
+      SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS role,
+        replace(coalesce(text, ''), '<|', '< |') AS text, CAST(floor(turn / 256) AS BIGINT) AS page
+      FROM conversations),
+    placed AS (
+      SELECT *, row_number() OVER (
+        PARTITION BY conv_id, page ORDER BY turn NULLS LAST, role, text) AS place
+      FROM said),
+    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'),
+    segments AS (
+      SELECT p.conv_id, speaker, page, CAST((place - 1) // 256 AS INTEGER) AS piece, place,
+        role = speaker AS own,
+        '<|' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role
+          ELSE 'user name=' || role END || '|>' || chr(10) AS head,
+        text || '<|end|>' || chr(10) AS body
+      FROM placed p JOIN speakers s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
+    ends AS (
+      SELECT *, sum(length(head) + length(body)) OVER (
+        PARTITION BY conv_id, speaker, page, piece ORDER BY place) AS upto
+      FROM segments)
+    SELECT conv_id, speaker, page, piece, count(*) AS n_turns,
+      string_agg(head || body, '' ORDER BY place) AS text,
+      coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || ':' || CAST(upto - 1 AS BIGINT), ',' ORDER BY place)
+        FILTER (WHERE own), '') AS mask
+    FROM ends GROUP BY conv_id, speaker, page, piece
+    """
+)
+def op8_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation from the side of each of its speakers."""
+    rendered = perspectives.render(table(spark, folder, "conversations"))
+    mask = F.transform("mask", lambda m: F.concat_ws(":", m["start"], m["finish"]))
+    return rendered.withColumn("mask", F.array_join(mask, ","))
+
+
+def mix_levels() -> list[mixing.Level]:
+    """Domains are groups of sources by their number; weights fall from domain to
+    domain and favour English."""
+    number = F.nullif(F.regexp_extract("source", "[0-9]+$", 0), F.lit(""))
+    domain = F.concat(F.lit("domain"), F.coalesce(number.cast("int") % 4, F.lit(-1)))
+    return [
+        mixing.Level("domain", domain, 5 - F.substring("domain", -1, 1).cast("int")),
+        mixing.Level("lang", F.col("lang"), F.when(F.col("lang") == "en", 4).otherwise(2)),
+        mixing.Level("source", F.col("source"), F.lit(1)),
+    ]
+
+
+def _dealt(children: str, name: str, parent: str) -> str:
+    """SQL that deals ``budget`` among the children of a parent by ``weight``, at most ``most``."""
+    siblings = f"PARTITION BY {parent}" if parent else ""
+    return f"""
+      SELECT *, CASE WHEN full_ THEN most ELSE least(most,
+        CAST(CAST(weight AS HUGEINT) * (budget - coalesce(sum(most) FILTER (WHERE full_) OVER ({siblings}), 0))
+          // sum(weight) FILTER (WHERE NOT full_) OVER ({siblings}) AS BIGINT)) END AS given
+      FROM (
+        SELECT *, coalesce(rank < min(rank) FILTER (WHERE NOT reaches) OVER ({siblings}), true) AS full_
+        FROM (
+          SELECT *, most * rest <= CAST(weight AS HUGEINT) * (budget - before) AS reaches
+          FROM (
+            SELECT *, row_number() OVER w AS rank,
+              coalesce(sum(most) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+              sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+            FROM ({children})
+            WINDOW w AS ({siblings} ORDER BY most / weight, {name}))))"""
+
+
+@query(
+    f"""
+    WITH rows_ AS (
+      SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+        coalesce('domain' || coalesce(CAST(nullif(regexp_extract(source, '[0-9]+$'), '') AS INTEGER) % 4, -1), '')
+          AS domain,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens
+      FROM documents),
+    leaves AS (
+      SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows_ GROUP BY ALL),
+    d AS ({_dealt("""SELECT domain, CAST(sum(tokens) * 3 AS BIGINT) AS most,
+        5 - CAST(right(domain, 1) AS INTEGER) AS weight,
+        least((SELECT CAST(sum(tokens) AS BIGINT) // 2 FROM leaves),
+          (SELECT CAST(sum(tokens) * 3 AS BIGINT) FROM leaves)) AS budget
+        FROM leaves GROUP BY domain""", "domain", "")}),
+    l AS ({_dealt("""SELECT x.domain, x.lang, x.most, CASE WHEN x.lang = 'en' THEN 4 ELSE 2 END AS weight,
+        d.given AS budget
+        FROM (SELECT domain, lang, CAST(sum(tokens) * 3 AS BIGINT) AS most FROM leaves GROUP BY domain, lang) x
+        JOIN d USING (domain)""", "lang", "domain")}),
+    s AS ({_dealt("""SELECT x.domain, x.lang, x.source, x.tokens, x.tokens * 3 AS most, 1 AS weight,
+        l.given AS budget FROM leaves x JOIN l USING (domain, lang)""", "source", "domain, lang")}),
+    placed AS (
+      SELECT r.*, CASE WHEN s.tokens = 0 THEN 0 ELSE given // s.tokens END AS passes,
+        CASE WHEN s.tokens = 0 THEN 0 ELSE given % s.tokens END AS prefix
+      FROM rows_ r JOIN s USING (domain, lang, source)),
+    summed AS (
+      SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source
+        ORDER BY md5('7/' || passes || '/' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) AS upto
+      FROM placed)
+    SELECT doc_id, domain, lang, source, tokens,
+      CAST(passes + CASE WHEN upto <= prefix THEN 1 ELSE 0 END AS BIGINT) AS copies
+    FROM summed
+    """
+)
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of all tokens, dealt through domain, language and source."""
+    return mixing.mix(table(spark, folder, "documents"), mix_levels())
