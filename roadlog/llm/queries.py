@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlog.llm import bpe, exact_dedup, minhash, mixing, perspectives, quality, secrets, sharding
+from roadlog.llm import (
+    bpe,
+    exact_dedup,
+    fingerprints,
+    minhash,
+    mixing,
+    perspectives,
+    pii,
+    quality,
+    secrets,
+    sharding,
+)
 from roadlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,3 +255,35 @@ def _dealt(children: str, name: str, parent: str) -> str:
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Half of all tokens, dealt through domain, language and source."""
     return mixing.mix(table(spark, folder, "documents"), mix_levels())
+
+
+@query()
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Subtractable fingerprints of every text and of its edited version."""
+    found = fingerprints.versions(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.fingerprint(F.col("found")).alias("fingerprint"),
+        fingerprints.fingerprint(F.col("edited_found")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("found"), F.col("edited_found")).alias("near_edited"),
+        fingerprints.likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+    )
+
+
+@query()
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every text: fixed formats, and what stands where they stand."""
+    found = pii.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] < 4)
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS[:4])],
+        F.sha2(_span_text(base, pii.KINDS), 256).alias("base_sha256"),
+        _span_text(F.col("spans"), pii.KINDS).alias("spans"),
+    )
