@@ -206,6 +206,21 @@ def decode(encoded: DataFrame, codec: Codec) -> DataFrame:
     return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, same``: the ids, and whether they decode to the bytes of the text."""
+
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        encode_text, token = codec.encoder().encode, codec.tokens().__getitem__
+        ids, same = [], []
+        for text in batch.column(1):
+            text = text.as_py()
+            ids.append(encode_text(text))
+            same.append(b"".join(map(token, unpacked(ids[-1]))) == text.encode())
+        return [batch.column(0), pa.array(ids, pa.binary()), pa.array(same, pa.bool_())]
+
+    return map_batches(texts(docs, id_col, text_col), run, "doc_id long, ids binary, same boolean")
+
+
 def n_tokens(ids: str = "ids") -> Column:
     return F.shiftright(F.octet_length(ids), 2).cast("long")
 

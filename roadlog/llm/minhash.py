@@ -317,3 +317,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def representatives(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The documents that stay, one of each group, with all their columns; rows that
+    share a ``doc_id`` stay if any of them does."""
+    keys = near_duplicates(docs, settings).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -86,6 +86,11 @@ def _sigmoid(x: float) -> float:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
+def _probability(w: np.ndarray, at: np.ndarray, value: np.ndarray) -> float:
+    """Of label 1, for a sparse vector; the last weight is the bias."""
+    return float(_sigmoid(float(w[at] @ value) + float(w[-1])))
+
+
 def learn(rows: Iterator[tuple[int, np.ndarray, np.ndarray]], s: Settings) -> np.ndarray:
     """Weights after ``epochs`` passes over ``(label, buckets, values)`` in the given
     order; the last weight is the bias."""
@@ -172,7 +177,22 @@ def score(docs: DataFrame, weights: np.ndarray, settings: Settings = Settings())
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         w, of = sent.value, Features(bits)
-        sums = (float(w[at] @ value) for at, value in (of(t.as_py()) for t in batch.column(1)))
-        return [batch.column(0), pa.array((_sigmoid(x + float(w[-1])) for x in sums), pa.float64())]
+        scores = (_probability(w, *of(t.as_py())) for t in batch.column(1))
+        return [batch.column(0), pa.array(scores, pa.float64())]
 
     return map_batches(texts(docs), run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, settings: Settings = Settings(), least: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` whose text scores at least ``least``, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+    bits = settings.bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, of = sent.value, Features(bits)
+        for batch in batches:
+            texts_ = (t.as_py() or "" for t in batch.column("text"))
+            keep = [_probability(w, *of(t)) >= least for t in texts_]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
