@@ -1,0 +1,141 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from llm.conftest import AWKWARD, found, near, table_of
+
+from roadlog.llm import graph, minhash
+from roadlog.llm.queries import QUERIES
+
+
+def sets_of(texts, width):
+    out = []
+    for t in texts:
+        t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        out.append({tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set()))
+    return out
+
+
+def brute(rows, width=3, percent=85):
+    """``doc_id, n_shingles, component_id`` of every row by comparing all pairs."""
+    sets = sets_of([t for _, t, *_ in rows], width)
+    name = [2**63 if i is None else i for i, *_ in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    holders = {}
+    for k, s in enumerate(sets):
+        common = {}
+        for shingle in s:
+            for j in holders.setdefault(shingle, []):
+                common[j] = common.get(j, 0) + 1
+            holders[shingle].append(k)
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = find(k), find(j)
+                low, high = (a, b) if name[a] <= name[b] else (b, a)
+                parent[high] = low
+    least = [name[find(k)] for k in range(len(rows))]
+    return sorted(
+        ((i, len(sets[k]), None if least[k] == 2**63 else least[k]) for k, (i, *_) in enumerate(rows)), key=repr
+    )
+
+
+def rows_of(df):
+    rows = found(df)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 3000])
+def test_every_coordinate_is_filled_alike(n):
+    elements = np.unique(np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64))
+    a = minhash.sketch(elements, 125)
+    assert len(a) == 125 and (a == minhash.sketch(elements, 125)).all()
+    assert n == 1 or len(np.unique(a)) > 100
+
+
+def test_agreement_is_likeness():
+    rnd = np.random.default_rng(1)
+    for share, n in ((0.85, 40), (0.5, 400), (0.9, 2000)):
+        hits = []
+        for _ in range(40):
+            pool = rnd.integers(0, 2**63, 2 * n, dtype=np.uint64)
+            own = round(n * (1 - share) / (1 + share))
+            a, b = np.sort(pool[:n]), np.sort(pool[own : n + own])
+            hits.append((minhash.sketch(a, 125) == minhash.sketch(b, 125)).mean())
+        exact = (n - own) / (n + own)
+        assert abs(np.mean(hits) - exact) < 0.03
+
+
+def test_query(spark, small):
+    docs = [(d["doc_id"], d["text"]) for d in table_of(small, "documents")]
+    assert rows_of(QUERIES["op3_minhash"](spark, small)) == brute(docs)
+
+
+def family(rnd, base, n, words=120):
+    """Copies of a text with up to a fifth of the words replaced: links of links."""
+    start = [f"b{base}x{i}" for i in range(words)]
+    out = []
+    for k in range(n):
+        text = list(start)
+        for at in rnd.sample(range(words), rnd.randint(0, 12)):
+            text[at] = f"v{rnd.randint(0, 30)}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_one_large_family_in_small_blocks(spark):
+    rnd = random.Random(4)
+    texts = family(rnd, 1, 260) + family(rnd, 2, 20) + family(rnd, 3, 6) + ["lonely words here now"] * 3
+    rnd.shuffle(texts)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (16, 512):
+        assert rows_of(minhash.near_duplicates(docs, minhash.Settings(block=block))) == brute(rows)
+
+
+def test_chain_past_the_centre(spark):
+    # each text is linked with the next only
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[6 * i : 6 * i + 200])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rows_of(minhash.near_duplicates(docs))
+    assert got == brute(rows) and {c for *_, c in got} == {0}
+
+
+def test_other_widths_and_thresholds(spark):
+    rnd = random.Random(9)
+    rows = list(enumerate(family(rnd, 1, 30) + family(rnd, 2, 30)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    s = minhash.Settings(width=5, percent=80, bands=40)
+    assert rows_of(minhash.near_duplicates(docs, s)) == brute(rows, 5, 80)
+
+
+def test_awkward(spark, awkward, no_docs):
+    assert rows_of(minhash.near_duplicates(awkward)) == brute(AWKWARD)
+    assert minhash.near_duplicates(no_docs).count() == 0
+    kept = minhash.representatives(awkward)
+    assert kept.columns == awkward.columns
+    # empty texts are linked with nothing; 10 stands for 11 and 13
+    assert sorted({str(r["doc_id"]) for r in found(kept)}) == sorted(map(str, [1, 3, 4, 5, None, 6, 7, 8, 9, 10, 12]))
+
+
+def test_components_of_awkward_graphs(spark):
+    def named(edges):
+        df = spark.createDataFrame(edges, "a long, b long")
+        return {r["node"]: r["component"] for r in found(graph.components(df))}
+
+    assert named([]) == {} and named([(3, 3)]) == {}
+    path = [(i, i + 1) for i in range(0, 60)]
+    random.Random(1).shuffle(path)
+    assert set(named(path).values()) == {0} and len(named(path)) == 61
+    star = [(500, i) for i in range(1, 300)] + [(7, 7), (7, 500), (1000, 1001)]
+    got = named(star)
+    assert {got[i] for i in range(1, 300)} == {1} and got[500] == 1 and got[1001] == 1000
