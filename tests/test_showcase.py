@@ -3,9 +3,9 @@
 import pytest
 from oracle import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from roadlog.showcase import QUERIES, SQL
 
-QUERIES, SQL = queries(), oracle_sql()
 
 @pytest.fixture(scope="module")
 def con(small):
