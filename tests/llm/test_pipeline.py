@@ -1,0 +1,104 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import tiktoken
+import public_tokenizers
+from llm.conftest import found, table_of
+from llm.test_exact_dedup import lowered
+from llm.test_minhash import brute as near_brute
+from llm.test_mixing import brute as mix_brute
+from oracle import compare, connect
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from roadlog.llm import bpe, quality
+from roadlog.llm.queries import QUERIES, SQL
+
+
+def weight_of(path):
+    if len(path) == 1:
+        return 5 - int(path[0][-1])
+    return (4 if path[1] == "en" else 2) if len(path) == 2 else 1
+
+
+def plain_pipeline(spark, folder):
+    """The stages in plain code: ``(doc_id, ids) -> times``."""
+    docs, s = table_of(folder, "documents"), quality.Settings()
+    text = {d["doc_id"]: d["text"] for d in docs}
+    of = quality.Features(s.bits)
+    ids = [r["doc_id"] for r in table_of(folder, "labels") if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    hashed = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", F.xxhash64("doc_id", F.lit(s.seed + 1)).alias("h"))
+    place = {r["doc_id"]: r["h"] for r in found(hashed)}
+    label = {r["doc_id"]: r["quality"] for r in table_of(folder, "labels")}
+    shards = [sorted((place[i], i) for i in ids if place[i] % s.shards == k) for k in range(s.shards)]
+    learnt = [quality.learn(((label[i], *of(text[i])) for _, i in shard), s) for shard in shards if shard]
+    w = np.mean(learnt, axis=0).astype(np.float32)
+
+    def score(t):
+        at, value = of(t)
+        return 1 / (1 + np.exp(-(float(w[at] @ value) + float(w[-1]))))
+
+    docs = [d for d in docs if score(d["text"]) >= quality.ACCEPT]
+    largest = {}
+    for d in docs:
+        key = lowered(d["text"])
+        largest[key] = max(d["doc_id"], largest.get(key, d["doc_id"]))
+    docs = [d for d in docs if largest[lowered(d["text"])] == d["doc_id"]]
+    least = {i: c for i, _, c in near_brute([(d["doc_id"], d["text"]) for d in docs], 5, 80)}
+    docs = [d for d in docs if least[d["doc_id"]] == d["doc_id"]]
+    rows = [
+        (d["doc_id"], (f"domain{int(d['source'][3:]) % 4}", d["lang"], d["source"]), len(d["text"].split())) for d in docs
+    ]
+    share = corpus_pipeline.SHARE
+    total = sum(n for *_, n in rows)
+    copies = {i: c for i, *_, c in mix_brute(rows, weight_of, total * share[0] // share[1], 3, 7)}
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    tokens = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    out = Counter()
+    for i, c in copies.items():
+        if c:
+            out[i, tuple(tokens.encode_ordinary(text[i]))] += c
+    return out
+
+
+def test_pipeline_against_plain_code(spark, small):
+    rows = found(corpus_pipeline.run(spark, small))
+    got = Counter((r["doc_id"], tuple(bpe.unpacked(r["ids"]))) for r in rows)
+    assert all(r["same"] and r["n_tokens"] == len(bpe.unpacked(r["ids"])) for r in rows)
+    assert got == plain_pipeline(spark, small)
+
+
+def test_good_documents_stay(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r["doc_id"] for r in found(corpus_pipeline.keep_good(spark, docs, folder))}
+    labels = table_of(folder, "labels")
+    good = [r["doc_id"] in kept for r in labels if r["quality"]]
+    bad = [r["doc_id"] in kept for r in labels if not r["quality"]]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.2
+
+
+@pytest.mark.parametrize("table", ["awkward", "no_docs"])
+def test_awkward_documents_go_through(spark, small, table, request):
+    docs = first = request.getfixturevalue(table)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, small)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == first.columns, name
+    rows = found(docs)
+    assert all(r["same"] for r in rows) and (table == "awkward" or not rows)
+
+
+@pytest.mark.parametrize("name", list(SQL))
+def test_same_as_sql(spark, small, name):
+    assert compare(QUERIES[name](spark, small), connect(small), SQL[name]) is None
+
+
+def test_entry_adds_the_queries():
+    import __spark_entry__
+
+    assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
+    assert set(SQL) <= set(__spark_entry__.oracle_sql())
+    assert len([n for n in QUERIES if n.startswith("op")]) == 10
