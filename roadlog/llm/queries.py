@@ -190,7 +190,8 @@ def op8_perspectives(spark: SparkSession, folder: str) -> DataFrame:
 def mix_levels() -> list[mixing.Level]:
     """Domains are groups of sources by their number; weights fall from domain to
     domain and favour English."""
-    number = F.nullif(F.regexp_extract("source", "[0-9]+$", 0), F.lit(""))
+    # the last two digits tell the remainder by four
+    number = F.nullif(F.regexp_extract("source", "[0-9]{1,2}$", 0), F.lit(""))
     domain = F.concat(F.lit("domain"), F.coalesce(number.cast("int") % 4, F.lit(-1)))
     return [
         mixing.Level("domain", domain, 5 - F.substring("domain", -1, 1).cast("int")),
@@ -222,7 +223,7 @@ def _dealt(children: str, name: str, parent: str) -> str:
     f"""
     WITH rows_ AS (
       SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
-        coalesce('domain' || coalesce(CAST(nullif(regexp_extract(source, '[0-9]+$'), '') AS INTEGER) % 4, -1), '')
+        coalesce('domain' || coalesce(CAST(nullif(regexp_extract(source, '[0-9]{{1,2}}$'), '') AS INTEGER) % 4, -1), '')
           AS domain,
         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens
       FROM documents),
