@@ -11,13 +11,13 @@ from roadlog.workspace import written
 def _towards_least_of_all(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the least of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
     return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _towards_least_below(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the least of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     others = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -26,9 +26,11 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges (a, b)`` (longs, any direction).
 
     A component is named by its least node.  The two steps alternate until
-    nothing changes; each shrinks to one row a node before the shuffle, and what
-    is compared between rounds is a row count and a checksum.  The state of each
-    round is a table in the shared folder.  Loops and repeated edges are ignored.
+    nothing changes; what is compared between rounds is a row count and a checksum.
+    The least neighbours are found with a map-side part, and written, so that the
+    join with the edges is a plain one whose large keys Spark can split.  The state
+    of each round is a table in the shared folder.  Loops and repeated edges are
+    ignored.
     """
     current = written(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),

@@ -152,7 +152,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
         found = (shingles(t, hashes, s.width).tobytes() for t in utf8_bytes(batch.column(1)))
         return [batch.column(0), pa.array(found, pa.binary())]
 
-    wanted = texts(docs).select(_named("doc_id").alias("node"), "text").join(nodes, "node", "left_semi")
+    # always by shuffle: the nodes grow with the input, and so would a broadcast
+    wanted = (
+        texts(docs).select(_named("doc_id").alias("node"), "text").join(nodes.hint("merge"), "node", "left_semi")
+    )
     return map_batches(wanted, run, "node long, elements binary")
 
 
