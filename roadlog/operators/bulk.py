@@ -1,30 +1,25 @@
-"""Sending bulk actions: chunks, outcomes, retries.
+"""Chunks of bulk actions.
 
 Actions are cut into lanes by ``seq >> lane_bits``, so a lane holds at most
 ``2**lane_bits`` consecutive actions whatever their ids are.  Chunks are cut
-greedily inside a lane; lanes are independent of each other and are sent in
-parallel.  The same input always gives the same lanes and chunks.
+greedily inside a lane; lanes are independent of each other.  The same input
+always gives the same lanes and chunks.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlog.operators.ordered import BLOCK_BITS, rank_in_order
+from roadlog.operators.ordered import positions
 
 # Default limits of a chunk.
 CHUNK_SIZE = 500
 MAX_CHUNK_BYTES = 100 * 1024 * 1024
-# Default waits before a retry, in seconds.
-INITIAL_BACKOFF = 2
-MAX_BACKOFF = 600
-REJECTED = 429
 
 
 def action_bytes() -> Column:
@@ -108,111 +103,35 @@ def chunk_actions(
     )
 
 
-def chunk_by_count(
-    df: DataFrame, order: str = "seq", size: int = CHUNK_SIZE, block_bits: int = BLOCK_BITS
-) -> DataFrame:
+def chunk_by_count(df: DataFrame, order: str = "seq", size: int = CHUNK_SIZE) -> DataFrame:
     """Add ``chunk``: the chunk of each row when only the count limits a chunk.
 
     Chunks run over the whole table in ``order``.
     """
-    ranked = rank_in_order(df, order, "_rank", block_bits=block_bits)
+    ranked = positions(df, [order], "_rank")
     return ranked.withColumn("chunk", F.floor(F.col("_rank") / size)).drop("_rank")
 
 
-def backoff_seconds(
-    attempt: Column, initial: float = INITIAL_BACKOFF, maximum: float = MAX_BACKOFF
-) -> Column:
-    """Wait before the given attempt (0 is the first try and does not wait)."""
-    wait = F.least(F.lit(maximum).cast("double"), F.lit(initial) * F.pow(F.lit(2.0), attempt - 1))
-    return F.when(attempt > 0, wait).otherwise(F.lit(0.0))
-
-
-RESULT_SCHEMA = (
-    "lane long, chunk long, seq long, op string, _id string, status int, ok boolean, "
-    "error string, attempts int, source string"
-)
-
-
-class RequestError(Exception):
-    """Raise from ``send`` when a whole request failed with a status."""
-
-    def __init__(self, status: int, message: str = ""):
-        super().__init__(message or f"request failed with status {status}")
-        self.status = status
-
-
-# send(lines) gets the lines of a chunk (each without its line feed) and
-# returns per action a dict with `status` (absent counts as 500) and,
-# optionally, `error` and `_id`.
-Send = Callable[[Sequence[str]], Sequence[dict]]
-
-
-def send_actions(
+def chunk_payloads(
     df: DataFrame,
-    send: Send,
     size: int = CHUNK_SIZE,
     max_bytes: int = MAX_CHUNK_BYTES,
-    max_retries: int = 0,
-    initial_backoff: float = INITIAL_BACKOFF,
-    max_backoff: float = MAX_BACKOFF,
-    raise_on_exception: bool = True,
     lane_bits: int = 16,
     partitions: int | None = None,
-    sleep: Callable[[float], None] = time.sleep,
 ) -> DataFrame:
-    """Send every action through ``send`` and return one result row per action.
-
-    Only actions refused with 429 are sent again, at most ``max_retries`` times,
-    with growing waits.  A request that fails as a whole marks each of its
-    actions, or fails the task with ``raise_on_exception``.
+    """``(lane, chunk, n, bytes, payload)``: the request body of each chunk.
 
-    Sending happens when the result is computed; a task that runs again sends
-    again, so actions should carry ids.
+    Every line ends in a line feed.  A sender is ``foreachPartition`` over the
+    result; a task that runs again sends again, so actions should carry ids.
     """
 
-    def one_chunk(chunk: pd.DataFrame) -> pd.DataFrame:
-        out = chunk[["lane", "chunk", "seq", "op", "_id"]].copy()
-        n = len(chunk)
-        status, error, attempts = np.full(n, 500), np.full(n, None, object), np.zeros(n, int)
-        waiting = np.arange(n)
-        for attempt in range(max_retries + 1):
-            if attempt:
-                sleep(min(max_backoff, initial_backoff * 2 ** (attempt - 1)))
-            lines = [
-                line
-                for i in waiting
-                for line in (chunk["action_line"].iat[i], chunk["source_line"].iat[i])
-                if line is not None
-            ]
-            attempts[waiting] += 1
-            try:
-                items = send(lines)
-            except RequestError as e:
-                status[waiting], error[waiting] = e.status, str(e)
-                retry = e.status == REJECTED and attempt < max_retries
-                if not retry and raise_on_exception:
-                    raise
-                if not retry:
-                    break
-                continue
-            for i, item in zip(waiting, items):
-                status[i], error[i] = item.get("status", 500), item.get("error")
-            waiting = waiting[status[waiting] == REJECTED]
-            if not len(waiting):
-                break
-        ok = (status >= 200) & (status < 300)
-        return out.assign(
-            status=status,
-            ok=ok,
-            error=error,
-            attempts=attempts,
-            source=chunk["source_line"].where(~ok, None).to_numpy(),
-        )
-
-    def run(batches):
+    def bodies(batches):
         for rows in _numbered(batches, size, max_bytes):
-            for _, chunk in rows.groupby(["lane", "chunk"], sort=False):
-                yield one_chunk(chunk)
+            rows["_text"] = rows["action_line"] + "\n" + (rows["source_line"] + "\n").fillna("")
+            chunks = rows.groupby(["lane", "chunk"], sort=False)
+            yield chunks.agg(n=("seq", "size"), bytes=("bytes", "sum"), payload=("_text", "".join)).reset_index()
 
-    sized = df.select("seq", "op", "_id", "action_line", "source_line", action_bytes().alias("bytes"))
-    return _in_lanes(sized, lane_bits, partitions).mapInPandas(run, RESULT_SCHEMA)
+    sized = df.select("seq", "action_line", "source_line", action_bytes().alias("bytes"))
+    return _in_lanes(sized, lane_bits, partitions).mapInPandas(
+        bodies, "lane long, chunk long, n long, bytes long, payload string"
+    )

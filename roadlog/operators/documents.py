@@ -21,16 +21,21 @@ def key_text(df: DataFrame, key: str) -> Column:
     return c.cast("string")
 
 
-def document_id(df: DataFrame, keys: Sequence[str], sep: str = "|", missing: str = "empty") -> Column:
+def document_id(df: DataFrame, keys: Sequence[str], sep: str = "|", missing: str = "error") -> Column:
     """Document id from the key columns.
 
-    With ``sep=''`` different keys can share an id (``1, 11`` and ``11, 1``).
-    A missing key counts as empty text (``missing='empty'``), makes the id null
-    (``'null'``) or fails the job (``'error'``).
+    A separator or backslash in a text key gets a backslash before it, so
+    different keys have different ids; with ``sep=''`` they can share one (``1, 11``
+    and ``11, 1``).  A missing key fails the job (``missing='error'``), makes the
+    id null (``'null'``) or counts as empty text (``'empty'``; then null and ``''``
+    share an id).
     """
     parts = []
     for key in keys:
         text = key_text(df, key)
+        if sep and isinstance(df.schema[key].dataType, T.StringType):
+            text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+            text = F.replace(text, F.lit(sep), F.lit("\\" + sep))
         if missing == "empty":
             text = F.coalesce(text, F.lit(""))
         elif missing == "error":
@@ -47,7 +52,7 @@ def document_ids(
     keys: Sequence[str],
     sep: str = "|",
     remove_keys: bool = False,
-    missing: str = "empty",
+    missing: str = "error",
 ) -> DataFrame:
     """``(_id, source)``: each row as a JSON document under its id.
 

@@ -1,14 +1,15 @@
 """Applying bulk actions to a document table.
 
-A document table is ``(_id STRING, source STRING)`` with unique ids and JSON
-text as source.  Actions are ``(seq BIGINT unique, op, _id, source)``; the
-source of an ``update`` is ``{"doc": {...}}``.
+A document is named by ``(_index, _id)``; its source is JSON text.  Tables and
+actions without a column ``_index`` (or with null in it) belong to the index
+``""``.  Actions are ``(op, _index, _id, source)`` and an order, by default the
+column ``seq``; the source of an ``update`` is ``{"doc": {...}}``.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 import pandas as pd
@@ -16,11 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlog.operators.nested import MAX_DEPTH, object_members
-from roadlog.operators.ordered import BLOCK_BITS, last_before
+from roadlog.operators.nested import object_members
+from roadlog.operators.ordered import BLOCK_BITS, last_before, positions
+from roadlog.workspace import written
 
-# position of the documents that are there before the first action
-_BEFORE_ALL = -(1 << 62)
+KEY = ("_index", "_id")
+
+# place of the documents that are there before the first action
+_BEFORE_ALL = -1
+
+# the names of changed documents are broadcast up to this size (bytes, counted)
+BROADCAST_BYTES = 32 << 20
 
 OPERATIONS = ("index", "create", "update", "delete")
 
@@ -32,39 +39,124 @@ class Applied(NamedTuple):
     results: DataFrame
 
 
-def _has_partial() -> Column:
-    """Whether the source of an ``update`` has a partial document."""
-    return F.expr("try_variant_get(try_parse_json(source), '$.doc', 'map<string, variant>') IS NOT NULL")
+def _index_of(df: DataFrame) -> Column:
+    own = F.col("_index").cast("string") if "_index" in df.columns else F.lit(None).cast("string")
+    return F.coalesce(own, F.lit("")).alias("_index")
+
+
+def _documents(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(
+        _index_of(df), F.col("_id").cast("string").alias("_id"), F.col("source").cast("string").alias("source"), *more
+    )
+
 
+def _shaped(df: DataFrame, *like: DataFrame) -> DataFrame:
+    """Without ``_index`` if none of the inputs has it."""
+    return df if any("_index" in x.columns for x in like) else df.drop("_index")
 
-def _with_status(events: DataFrame, block_bits: int) -> DataFrame:
+
+def _is_object(text: str) -> Column:
+    return F.expr(f"try_cast(try_parse_json({text}) AS MAP<STRING, VARIANT>) IS NOT NULL")
+
+
+def _usable() -> Column:
+    """Whether an action can be applied to anything at all."""
+    op = F.col("op")
+    partial = F.expr("try_variant_get(try_parse_json(source), '$.doc', 'map<string, variant>') IS NOT NULL")
+    return F.coalesce(
+        F.when(op.isin("index", "create"), _is_object("source"))
+        .when(op == "update", partial & F.col("_named"))
+        .when(op == "delete", F.col("_named")),
+        F.lit(False),
+    )
+
+
+def _numbered_actions(actions: DataFrame, order: Sequence[str], id_prefix: str | None) -> DataFrame:
+    """The actions with their place in the order, an id each, and whether they are usable.
+
+    Written, so that ids of their own stay what they are.
+    """
+    own_id = F.uuid() if id_prefix is None else F.concat(F.lit(id_prefix), F.lit("-"), F.col("_place"))
+    placed = positions(
+        actions.select(
+            *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
+            *([F.col("seq").cast("long").alias("seq")] if "seq" in actions.columns else []),
+            F.coalesce("op", F.lit("index")).alias("op"),
+            _index_of(actions),
+            F.col("_id").cast("string").alias("_id"),
+            F.col("source").cast("string").alias("source"),
+        ),
+        [f"_order{i}" for i in range(len(order))],
+        "_place",
+    ).drop(*[f"_order{i}" for i in range(len(order))])
+    return written(
+        placed.withColumn("_named", F.col("_id").isNotNull())
+        .withColumn("_usable", _usable())
+        .withColumn("_id", F.coalesce("_id", own_id)),
+        "actions",
+    )
+
+
+def _with_status(acts: DataFrame, target: DataFrame, block_bits: int) -> DataFrame:
+    """``_place, op, *KEY, status`` of every action, from narrow columns alone."""
+    narrow = acts.select("_place", "op", *KEY, "_named", "_usable")
+    named = narrow.select(*KEY).distinct()
+    there = target.select(*KEY).join(named, list(KEY), "left_semi").select(
+        F.lit(_BEFORE_ALL).cast("long").alias("_place"),
+        F.lit("index").alias("op"),
+        *KEY,
+        F.lit(True).alias("_named"),
+        F.lit(True).alias("_usable"),
+    )
     op = F.col("op")
-    # presence after an action depends on the last action that is no update;
+    # presence after an action depends on the last usable action that is no update;
     # a refused create still tells that the document is there
-    marker = F.when(op.isin("index", "create"), 1).when(op == "delete", 0)
-    scored = last_before(events, ["_id"], "seq", marker, "_marker", block_bits)
+    marker = F.when(F.col("_usable"), F.when(op.isin("index", "create"), 1).when(op == "delete", 0))
+    scored = last_before(there.unionByName(narrow), KEY, "_place", marker, "_marker", block_bits)
     present = F.coalesce(F.col("_marker"), F.lit(0)) == 1
     status = (
-        F.when(op == "index", F.when(present, 200).otherwise(201))
-        .when(op == "create", F.when(present, 409).otherwise(201))
-        .when(
-            op == "update",
-            F.when(~_has_partial(), 400).when(present, 200).otherwise(404),
-        )
-        .when(op == "delete", F.when(present, 200).otherwise(404))
-        .otherwise(400)
+        F.when(~F.col("_usable"), 400)
+        # an id that was made up must not meet a document
+        .when((op == "index") & present, F.when(F.col("_named"), 200).otherwise(409))
+        .when((op == "create") & present, 409)
+        .when(op.isin("index", "create"), 201)
+        .when(present, 200)
+        .otherwise(404)
     )
-    return scored.withColumn("status", status).drop("_marker")
+    return scored.filter(F.col("_place") > _BEFORE_ALL).select("_place", "op", *KEY, status.alias("status"))
+
+
+class _Number(str):
+    """A number as it is written."""
+
+
+def _json_text(value) -> str:
+    if isinstance(value, _Number):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{_json_text(k)}:{_json_text(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_json_text, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
+def _json_value(text: str):
+    return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number)
 
 
 @F.pandas_udf(T.StringType())
 def _merge_members(source: pd.Series, members: pd.Series) -> pd.Series:
-    """Write ``[{"path": [...], "value": "<json>"}]`` into JSON objects, in order."""
+    """Write ``[{"path": [...], "value": "<json>"}]`` into JSON objects, in order.
+
+    What is no object counts as an empty one; numbers keep their spelling.
+    """
 
     def one(text, writes):
         if writes is None:
             return text
-        doc = json.loads(text)
+        doc = _json_value(text) if text else {}
+        if not isinstance(doc, dict):
+            doc = {}
         for write in json.loads(writes):
             *parents, name = write["path"]
             at = doc
@@ -72,83 +164,94 @@ def _merge_members(source: pd.Series, members: pd.Series) -> pd.Series:
                 if not isinstance(at.get(p), dict):
                     at[p] = {}
                 at = at[p]
-            value = json.loads(write["value"])
+            value = _json_value(write["value"])
             if value == {} and isinstance(at.get(name), dict):
                 continue
             at[name] = value
-        return json.dumps(doc, ensure_ascii=False, separators=(",", ":"))
+        return _json_text(doc)
 
     return pd.Series([one(t, w) for t, w in zip(source, members)], dtype=object)
 
 
+def _few(names: DataFrame) -> DataFrame:
+    """Distinct names, to be broadcast if their counted size allows it."""
+    size = names.agg(F.sum(F.octet_length("_index") + F.octet_length("_id") + 16)).first()[0] or 0
+    return F.broadcast(names) if size <= BROADCAST_BYTES else names
+
+
 def apply_actions(
     target: DataFrame,
     actions: DataFrame,
+    order: Sequence[str] = ("seq",),
+    id_prefix: str | None = None,
     block_bits: int = BLOCK_BITS,
-    max_depth: int = MAX_DEPTH,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Applied:
-    """Apply index / create / update / delete actions in ``seq`` order per id.
+    """Apply index / create / update / delete actions in their order, document by document.
 
     ``index`` replaces the document, ``create`` is refused (409) when it is
     there, ``update`` merges a partial document and ``delete`` removes it; both
-    give 404 when it is not there.  An action without an id gets one of its own.
-
-    No id's actions are ever gathered: what a document looks like follows from
-    its last replacement and, per member, the last update after it, and both
-    are aggregates with a map-side part.  Only documents with such updates pass
-    through Python, with one entry per member.
-
-    The table and the results read the same intermediate rows; pass
-    ``stage=roadlog.workspace.written`` to compute them once.
+    give 404 when it is not there.  An action whose source is no JSON object, an
+    unknown operation, and an update or delete without id give 400 and change
+    nothing.  Other actions without id get one of their own (a UUID, or
+    ``id_prefix`` and their place); should a document have that id, 409.
+
+    Windows see the narrow columns only, and of the target only the documents
+    that are named.  Documents that no action changes are passed through; the
+    names of the changed ones are broadcast when their size allows.  What a changed
+    document looks like follows from its last replacement and, per member, the
+    last update after it; both are aggregates with a map-side part.  Only
+    documents with such updates pass through Python, with one entry per member.
+
+    The actions, with their places, and the statuses are tables in the shared
+    folder; both results read them.
     """
-    source = F.col("source").cast("string")
-    before = target.select(
-        F.lit(_BEFORE_ALL).alias("seq"),
-        F.lit("index").alias("op"),
-        F.col("_id").cast("string").alias("_id"),
-        source.alias("source"),
-    )
-    incoming = actions.select(
-        F.col("seq").cast("long").alias("seq"),
-        F.coalesce("op", F.lit("index")).alias("op"),
-        F.coalesce(F.col("_id").cast("string"), F.concat(F.lit("auto-"), F.col("seq"))).alias("_id"),
-        source.alias("source"),
-    )
-    scored = _with_status(before.unionByName(incoming), block_bits)
-    if stage is not None:
-        scored = stage(scored)
-    return Applied(_final_documents(scored, max_depth), _results(scored))
+    before = _documents(target)
+    acts = _numbered_actions(actions, order, id_prefix)
+    scored = written(_with_status(acts, before, block_bits), "statuses")
+    table = _shaped(_final_documents(before, acts, scored), target, actions)
+    return Applied(table, _shaped(_results(acts, scored), target, actions))
 
 
-def _final_documents(scored: DataFrame, max_depth: int) -> DataFrame:
+def _final_documents(before: DataFrame, acts: DataFrame, scored: DataFrame) -> DataFrame:
     done = scored.filter(F.col("status") < 300)
-    bases = (
-        done.filter(F.col("op") != "update")
-        .groupBy("_id")
-        .agg(F.max_by(F.struct("op", "source", "seq"), "seq").alias("base"))
-        .filter(F.col("base.op") != "delete")
+    # the last replacement or removal of each document, if there is one
+    bases = written(
+        done.groupBy(*KEY).agg(F.max(F.when(F.col("op") != "update", F.col("_place"))).alias("_base")), "bases"
+    )
+    replaced = (
+        acts.select("_place", "op", "source")
+        .join(bases.select(F.col("_base").alias("_place"), *KEY), "_place")
+        .filter(F.col("op") != "delete")
+        .select(*KEY, "source")
     )
+    names = bases.select(*KEY)
+    updated_only = before.join(_few(bases.filter(F.col("_base").isNull()).select(*KEY)), list(KEY), "left_semi")
+    untouched = before.join(_few(names), list(KEY), "left_anti")
     partial = F.expr("variant_get(parse_json(source), '$.doc', 'variant')").alias("doc")
-    updates = done.filter(F.col("op") == "update").select("_id", "seq", partial)
+    updates = (
+        acts.select("_place", "source")
+        .join(done.filter(F.col("op") == "update").select("_place", *KEY), "_place")
+        .join(bases, list(KEY))
+        .filter(F.col("_place") > F.coalesce("_base", F.lit(_BEFORE_ALL)))
+        .select(*KEY, F.col("_place").alias("place"), partial)
+    )
     members = (
-        object_members(updates, "doc", ["_id", "seq"], max_depth)
+        object_members(updates, "doc", [*KEY, "place"])
         # an empty object only makes sure that the member is an object, so it
         # must not hide an earlier plain value of the same member
         .withColumn("hollow", F.col("value") == "{}")
-        .groupBy("_id", "path", "hollow")
-        .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq"))
-        .groupBy("_id")
-        .agg(F.collect_list(F.struct("seq", "path", "value")).alias("writes"))
+        .groupBy(*KEY, "path", "hollow")
+        .agg(F.max_by("value", "place").alias("value"), F.max("place").alias("place"))
+        .groupBy(*KEY)
+        .agg(F.array_sort(F.collect_list(F.struct("place", "path", "value"))).alias("_writes"))
     )
-    later = F.filter(F.array_sort("writes"), lambda w: w["seq"] > F.col("base.seq"))
-    merged = bases.join(members, "_id", "left").withColumn("_later", later)
+    changed = replaced.unionByName(updated_only).join(members, list(KEY), "left")
     writes = F.when(
-        F.size("_later") > 0,
-        F.to_json(F.transform("_later", lambda w: F.struct(w["path"].alias("path"), w["value"].alias("value")))),
+        F.size("_writes") > 0,
+        F.to_json(F.transform("_writes", lambda w: F.struct(w["path"].alias("path"), w["value"].alias("value")))),
     )
-    source = F.when(writes.isNotNull(), _merge_members(F.when(writes.isNotNull(), F.col("base.source")), writes))
-    return merged.select("_id", F.coalesce(source, F.col("base.source")).alias("source"))
+    source = F.when(writes.isNotNull(), _merge_members(F.when(writes.isNotNull(), F.col("source")), writes))
+    return untouched.unionByName(changed.select(*KEY, F.coalesce(source, F.col("source")).alias("source")))
 
 
 # Error names per status.
@@ -167,12 +270,13 @@ def error_name(status: Column) -> Column:
     return name
 
 
-def _results(scored: DataFrame) -> DataFrame:
+def _results(acts: DataFrame, scored: DataFrame) -> DataFrame:
     ok = F.col("status").between(200, 299)
-    return scored.filter(F.col("seq") > _BEFORE_ALL).select(
-        "seq",
+    status = scored.select("_place", "status")
+    return acts.join(status, "_place").select(
+        *(["seq"] if "seq" in acts.columns else [F.col("_place").alias("seq")]),
         "op",
-        "_id",
+        *KEY,
         "status",
         ok.alias("ok"),
         error_name(F.col("status")).alias("error"),
@@ -181,29 +285,40 @@ def _results(scored: DataFrame) -> DataFrame:
 
 
 def last_write_wins(target: DataFrame, actions: DataFrame) -> DataFrame:
-    """The table after actions that are all ``index`` or ``delete``: one aggregate."""
-    before = target.select(
-        F.lit(_BEFORE_ALL).alias("seq"), F.lit("index").alias("op"), "_id", F.col("source").cast("string")
-    )
-    incoming = actions.select(
-        F.col("seq").cast("long").alias("seq"),
-        F.coalesce("op", F.lit("index")).alias("op"),
-        F.col("_id").cast("string").alias("_id"),
-        F.col("source").cast("string"),
+    """The table after actions ``(seq unique, op, _index, _id, source)`` that are all
+    ``index`` or ``delete``.
+
+    Which action is the last follows from ``seq`` alone (one narrow hash
+    aggregate); only then the sources are fetched.  An ``index`` without id gets
+    one of its own, a ``delete`` without id fails.  Further columns of the
+    actions become columns of their documents.
+    """
+    extra = [c for c in actions.columns if c not in ("seq", "op", "source", *KEY)]
+    op = F.coalesce("op", F.lit("index"))
+    known = F.when(op.isin("index", "delete"), op).otherwise(
+        F.raise_error(F.concat(F.lit("not an index or delete action: "), op)).cast("string")
     )
-    checked = incoming.withColumn(
-        "op",
-        F.when(F.col("op").isin("index", "delete"), F.col("op")).otherwise(
-            F.raise_error(F.concat(F.lit("not an index or delete action: "), F.col("op"))).cast("string")
+    no_name = F.raise_error(F.lit("a delete needs an id")).cast("string")
+    acts = written(
+        actions.select(
+            F.col("seq").cast("long").alias("seq"),
+            known.alias("op"),
+            _index_of(actions),
+            F.coalesce(
+                F.col("_id").cast("string"), F.when(op == "index", F.uuid()).otherwise(no_name)
+            ).alias("_id"),
+            F.col("source").cast("string").alias("source"),
+            *extra,
         ),
+        "writes",
     )
-    return (
-        before.unionByName(checked)
-        .groupBy("_id")
-        .agg(F.max_by(F.struct("op", "source"), "seq").alias("last"))
-        .filter(F.col("last.op") == "index")
-        .select("_id", "last.source")
+    last = acts.groupBy(*KEY).agg(F.max("seq").alias("seq"))
+    written_docs = (
+        acts.filter(F.col("op") == "index").join(last, [*KEY, "seq"], "left_semi").select(*KEY, "source", *extra)
     )
+    kept = [c for c in target.columns if c not in ("source", *KEY)]
+    untouched = _documents(target, *kept).join(_few(last.select(*KEY)), list(KEY), "left_anti")
+    return _shaped(untouched.unionByName(written_docs, allowMissingColumns=True), target, actions)
 
 
 def outcome_tally(results: DataFrame, by_operation: bool = True) -> DataFrame:
@@ -264,11 +379,14 @@ def reindex(
 ) -> Reindexed:
     """Copy the matching documents of ``src`` over those of ``target``.
 
-    Both are document tables.  Copying never fails on a document, so the tally
-    only counts successes.
+    Both are document tables; the copies are named ``(target_name, _id)`` when the
+    target has a column ``_index``.  Columns lifted from ``fields`` stay beside the
+    source.  Copying never fails on a document, so the tally only counts successes.
     """
     docs = reindex_documents(src, predicate, target_name, max_docs)
-    moved = docs.select(F.lit(0).cast("long").alias("seq"), F.lit("index").alias("op"), "_id", "source")
+    if "_index" not in target.columns:
+        docs = docs.drop("_index")
+    moved = docs.withColumns({"seq": F.monotonically_increasing_id(), "op": F.lit("index")})
     tally = docs.agg(F.count("*").alias("success"), F.lit(0).cast("long").alias("failed"))
     return Reindexed(last_write_wins(target, moved), tally)
 

@@ -1,14 +1,12 @@
 """Running values along an order, for keys of any size.
 
 A window over a whole key runs in one task, which a key that owns a third of
-the table does not survive.  Here the order (a BIGINT, unique within the key)
-is cut into blocks of ``2**block_bits`` consecutive values.  Windows run inside
-``(key, block)``, so no task holds more than ``2**block_bits`` rows of a key,
-and what the earlier blocks hand on is found from one summary row per block.
-
-Each further level treats the summaries the same way.  One level leaves
-``n / 2**block_bits`` summaries of a key to one task when the order is dense;
-with two or three levels that holds for sparse orders too.
+the table does not survive.  So rows first get their position in the table
+(:func:`positions`, any order, also by several columns), without gaps.  The
+positions are cut into blocks of ``2**block_bits``; windows run inside
+``(key, block)``, so no task holds more than ``2**block_bits`` rows of a key, and
+what the earlier blocks hand on is found from one summary row per block: a key
+with all of ``n`` rows leaves ``n / 2**block_bits`` summaries to one task.
 """
 
 from __future__ import annotations
@@ -19,7 +17,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BLOCK_BITS = 20
+from roadlog.workspace import written
+
+BLOCK_BITS = 16
+
+
+def positions(df: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
+    """Add ``name``: the place of the row in the table along ``order``, from 0, without gaps.
+
+    Rows are dealt into ranges of the order by Spark's sampling and written with
+    the number of their range, so the ranges hold still while they are counted;
+    a window numbers the rows of a range.  Rows alike in ``order`` get places
+    next to each other.
+    """
+    dealt = written(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "positions"
+    )
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # a row a range
+    starts = (
+        dealt.groupBy("_range")
+        .agg(F.count("*").alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    )
+    in_range = Window.partitionBy("_range").orderBy(*order)
+    return (
+        dealt.withColumn("_number", F.row_number().over(in_range))
+        .join(F.broadcast(starts), "_range")
+        .select(*df.columns, (F.col("_start") + F.col("_number") - 1).alias(name))
+    )
 
 
 def _running(how: str, value: str, keys: Sequence[str], order: str) -> Column:
@@ -68,7 +94,8 @@ def last_before(
 ) -> DataFrame:
     """Add ``name``: the last non-null ``value`` of the key strictly before the row.
 
-    Keys must not be null.
+    ``order`` is a BIGINT, unique within the key; the bound on a task's rows holds
+    when it has few gaps, as :func:`positions` gives it.  Keys must not be null.
     """
     found = _before(df.withColumn("_value", value), keys, order, "_value", name, "last", block_bits, levels)
     return found.drop("_value")
@@ -80,12 +107,14 @@ def rank_in_order(
     name: str = "rank",
     keys: Sequence[str] = (),
     block_bits: int = BLOCK_BITS,
-    levels: int = 2,
+    levels: int = 1,
 ) -> DataFrame:
     """Add ``name``: position from 0 along the order, over the table or per key.
 
     Keys must not be null.
     """
+    if not keys:
+        return positions(df, [order], name)
     counted = _before(
         df.withColumn("_one", F.lit(1).cast("long")), keys, order, "_one", name, "sum", block_bits, levels
     )

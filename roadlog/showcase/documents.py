@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from roadlog.operators import bulk, documents, keyed, search
@@ -11,7 +9,6 @@ from roadlog.operators.ordered import last_before
 from roadlog.schemas import VEHICLE_DAY
 from roadlog.showcase.registry import query
 from roadlog.showcase.views import LINE_KEYS, TELE_LINE, table, tele_line
-from roadlog.workspace import written
 
 _LINE_ID = "id || '|' || year || '|' || month"
 
@@ -50,7 +47,7 @@ def bulk_lines(spark, folder):
 )
 def bulk_chunks(spark, folder):
     events = table(spark, folder, "events").select("event_id")
-    return bulk.chunk_by_count(events, "event_id", 500, block_bits=12)
+    return bulk.chunk_by_count(events, "event_id", 500)
 
 
 def event_actions(spark, folder):
@@ -172,9 +169,7 @@ FROM live GROUP BY _id"""
 
 
 def _applied(spark, folder):
-    return keyed.apply_actions(
-        customer_docs(spark, folder), order_actions(spark, folder), block_bits=12, stage=written
-    )
+    return keyed.apply_actions(customer_docs(spark, folder), order_actions(spark, folder))
 
 
 @query(_APPLIED_SQL)
@@ -225,6 +220,71 @@ def last_write_wins(spark, folder):
     return final.select("_id", F.get_json_object("source", "$.total").cast("double").alias("total"))
 
 
+def awkward_actions(spark, folder):
+    """The order actions with what a sender can get wrong: no id, no source, a source
+    that is no object, an unknown operation; orders of one status go to an index of their own."""
+    key, op = F.col("o_orderkey"), _priority_op()
+    op = F.when(key % 13 == 0, "explode").otherwise(F.coalesce(op, F.lit("index")))
+    total = F.struct(F.col("o_totalprice").alias("total"))
+    good = F.when(op == "update", F.to_json(F.struct(total.alias("doc")))).otherwise(F.to_json(total))
+    return table(spark, folder, "orders").select(
+        key.alias("seq"),
+        op.alias("op"),
+        F.when(F.col("o_orderstatus") == "O", "open").alias("_index"),
+        F.when(key % 11 != 0, F.col("o_custkey").cast("string")).alias("_id"),
+        F.when(key % 7 == 0, None).when(key % 7 == 1, "[1]").when(key % 7 == 2, "{oops").otherwise(good).alias("source"),
+    )
+
+
+def _awkward(spark, folder):
+    return keyed.apply_actions(
+        customer_docs(spark, folder), awkward_actions(spark, folder), id_prefix="own"
+    )
+
+
+_AWKWARD_SQL = f"""acts AS (
+  SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 13 = 0 THEN 'explode' ELSE {_OP_SQL} END AS op,
+    CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE '' END AS _index, o_orderkey % 11 <> 0 AS named,
+    CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR)
+      ELSE 'own-' || (row_number() OVER (ORDER BY o_orderkey) - 1) END AS _id,
+    o_orderkey % 7 > 2 AS sound, o_totalprice AS total FROM orders),
+ev AS (
+  SELECT *, CASE WHEN op IN ('index', 'create') THEN sound WHEN op = 'update' THEN sound AND named
+    WHEN op = 'delete' THEN named ELSE false END AS usable FROM acts
+  UNION ALL SELECT -1, 'index', '', true, CAST(c_custkey AS VARCHAR), true, NULL, true FROM customer),
+scored AS (
+  SELECT *, coalesce(last_value(CASE WHEN NOT usable THEN NULL WHEN op IN ('index', 'create') THEN 1
+      WHEN op = 'delete' THEN 0 END IGNORE NULLS)
+    OVER (PARTITION BY _index, _id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS present FROM ev),
+res AS (
+  SELECT *, CASE WHEN NOT usable THEN 400 WHEN op IN ('index', 'create') AND present = 0 THEN 201
+    WHEN op = 'create' THEN 409 WHEN present = 1 THEN 200 ELSE 404 END AS status FROM scored)"""
+
+
+@query(
+    f"""WITH {_AWKWARD_SQL}
+SELECT seq, op, _index, _id, status, status < 300 AS ok FROM res WHERE seq >= 0"""
+)
+def apply_awkward(spark, folder):
+    """One result for every action, however it is written."""
+    return _awkward(spark, folder).results.drop("source", "error")
+
+
+@query(
+    f"""WITH {_AWKWARD_SQL},
+base AS (SELECT _index, _id, max(seq) AS seq, max_by(op, seq) AS op FROM res
+  WHERE status < 300 AND op <> 'update' GROUP BY _index, _id)
+SELECT _index, _id, max_by(total, r.seq) FILTER (WHERE total IS NOT NULL) AS total
+FROM res r JOIN base b USING (_index, _id)
+WHERE b.op <> 'delete' AND r.status < 300 AND (r.seq = b.seq OR r.op = 'update' AND r.seq > b.seq)
+GROUP BY _index, _id"""
+)
+def apply_awkward_documents(spark, folder):
+    """The documents after them, of two indices that share ids."""
+    total = F.try_variant_get(F.parse_json("source"), "$.total", "double")
+    return _awkward(spark, folder).table.select("_index", "_id", total.alias("total"))
+
+
 @query(
     f"""SELECT o_orderkey AS seq, op, 'orders' AS _index, CAST(o_custkey AS VARCHAR) AS _id,
   '{{"' || op || '":{{"_id":"' || o_custkey || '","_index":"orders","routing":"' || o_orderstatus || '"}}}}' AS action_line,
@@ -270,29 +330,17 @@ def expand_raw(spark, folder):
     return documents.expand_raw(rows, "props").select("seq", "action_line", "source_line")
 
 
-def _store(lines):
-    """A document store that is busy for events of one type and refuses another."""
-    answers = {"error": (400, "mapper_parsing_exception"), "view": (429, "es_rejected_execution_exception")}
-    items = []
-    for source in lines[1::2]:
-        status, error = answers.get(json.loads(source)["event_type"], (201, None))
-        items.append({"status": status, "error": error})
-    return items
-
-
 @query(
-    """SELECT event_id AS seq, 'index' AS op, CAST(event_id AS VARCHAR) AS _id,
-  CASE event_type WHEN 'error' THEN 400 WHEN 'view' THEN 429 ELSE 201 END AS status,
-  event_type NOT IN ('error', 'view') AS ok,
-  CASE event_type WHEN 'error' THEN 'mapper_parsing_exception' WHEN 'view' THEN 'es_rejected_execution_exception' END AS error,
-  CASE event_type WHEN 'view' THEN 3 ELSE 1 END AS attempts
-FROM events"""
+    """SELECT event_id // 4096 AS lane, (place - 1) // 500 AS chunk, count(*) AS n,
+  CAST(sum(length(line) + 1) AS BIGINT) AS bytes, string_agg(line || chr(10), '' ORDER BY event_id) AS payload
+FROM (SELECT event_id, row_number() OVER (PARTITION BY event_id // 4096 ORDER BY event_id) AS place,
+    '{"index":{"_id":"' || event_id || '"}}' || chr(10) || '{"event_type":"' || event_type || '","props":"' ||
+    replace(props, '"', '\\"') || '"}' AS line FROM events)
+GROUP BY 1, 2"""
 )
-def send_actions(spark, folder):
-    sent = bulk.send_actions(
-        event_actions(spark, folder), _store, max_retries=2, initial_backoff=0, lane_bits=10
-    )
-    return sent.drop("lane", "chunk", "source")
+def bulk_payloads(spark, folder):
+    """Request bodies, ready to be sent by a partition's task."""
+    return bulk.chunk_payloads(event_actions(spark, folder), lane_bits=12)
 
 
 @query(
@@ -328,9 +376,10 @@ FROM (SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_totalprice AS total FROM orde
 FULL JOIN (SELECT CAST(c_custkey AS VARCHAR) AS _id, c_mktsegment AS seg FROM customer) c USING (_id)"""
 )
 def reindex_into(spark, folder):
-    orders = table(spark, folder, "orders").filter("o_orderstatus = 'F'")
-    src = documents.document_ids(orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], remove_keys=True)
-    moved = keyed.reindex(src, customer_docs(spark, folder), None, "customers").table
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    src = documents.document_ids(orders, ["o_orderkey"], remove_keys=True)
+    only = F.get_json_object("source", "$.o_orderstatus") == "F"
+    moved = keyed.reindex(src, customer_docs(spark, folder), only, "customers").table
     return moved.select(
         "_id",
         F.get_json_object("source", "$.c_mktsegment").alias("segment"),
@@ -338,6 +387,27 @@ def reindex_into(spark, folder):
     )
 
 
+@query(
+    """SELECT 'big' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, o_orderpriority AS priority, o_totalprice AS total
+FROM orders WHERE o_totalprice > 250000
+UNION ALL SELECT i, CAST(c_custkey AS VARCHAR), 'kept', NULL FROM customer, (VALUES ('big'), ('old')) AS x(i)
+WHERE NOT (i = 'big' AND c_custkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 250000))"""
+)
+def reindex_lifted(spark, folder):
+    """Copies with their lifted fields, over documents of the same ids in two indices."""
+    src = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("_id"),
+        F.lit("orders").alias("_index"),
+        F.to_json(F.struct(F.col("o_totalprice").alias("total"))).alias("source"),
+        F.struct(F.col("o_orderpriority").alias("priority")).alias("fields"),
+    )
+    docs = customer_docs(spark, folder).withColumn("priority", F.lit("kept"))
+    target = docs.withColumn("_index", F.explode(F.array(F.lit("big"), F.lit("old"))))
+    total = F.get_json_object("source", "$.total").cast("double")
+    moved = keyed.reindex(src, target, total > 250000, "big").table
+    return moved.select("_index", "_id", "priority", total.alias("total"))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE NOT (o_orderstatus = 'F' AND o_totalprice < 300000)")
 def delete_by_query(spark, folder):
     rows = table(spark, folder, "orders")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from roadlog.showcase.documents import _APPLIED_SQL, customer_docs, order_actions
 from roadlog.showcase.ingest import _LINE_ROWS, VALUE, message_files
 from roadlog.showcase.registry import query
-from roadlog.showcase.views import TELE_EVENTS, tele_events
+from roadlog.showcase.views import TELE_EVENTS, table, tele_events
 from roadlog.sources.files import read_table
 from roadlog.streaming import documents, ingest, rollups
 from roadlog.workspace import new_folder
@@ -107,36 +107,37 @@ def stream_upsert(spark, folder):
 
 def _bulk_text(actions):
     """Bulk lines of actions: the action line, then the source line unless deleted."""
-    line = F.to_json(F.create_map(F.coalesce("op", F.lit("index")), F.struct("_id")))
+    meta = F.struct("_index", "_id") if "_index" in actions.columns else F.struct("_id")
+    line = F.to_json(F.create_map(F.coalesce("op", F.lit("index")), meta))
     return F.when(F.col("source").isNull(), line).otherwise(F.concat_ws("\n", line, "source"))
 
 
+def _uploaded(spark, path, actions, name, order):
+    """The actions as bulk files of at most 5000 actions, in order by name, in the log."""
+    in_order = actions.repartitionByRange(*order).sortWithinPartitions(*order)
+    in_order.select(_bulk_text(in_order).alias("value")).write.option("maxRecordsPerFile", 5000).text(
+        f"{path}/in/{name}"
+    )
+    files = documents.stream_uploads(spark, f"{path}/in", max_files=100_000)
+    documents.start_uploads(
+        files, f"{path}/log", f"{path}/checkpoint", f"{path}/in", order=("file",)
+    ).awaitTermination()
+
+
 @query(
-    f"""SELECT _id, name, status, total, last_key, last_priority FROM ({_APPLIED_SQL})"""
+    f"""SELECT 'customers' AS _index, _id, name, status, total, last_key, last_priority FROM ({_APPLIED_SQL})"""
 )
 def stream_upload(spark, folder):
     """Bulk files (customers first, then all order actions) uploaded into a document log."""
     path = new_folder(spark, "upload")
-    first = customer_docs(spark, folder).withColumn("op", F.lit("index"))
-    first.select(_bulk_text(first).alias("value")).write.text(f"{path}/in/a customers.json")
-    files = documents.stream_uploads(spark, f"{path}/in", max_files=1 << 16)
-
-    def upload():
-        documents.start_uploads(
-            files, f"{path}/log", f"{path}/checkpoint", f"{path}/in", order=("file",)
-        ).awaitTermination()
-
-    upload()
-    # many moderate files, in order by name
-    orders = order_actions(spark, folder)
-    in_order = orders.repartitionByRange("seq").sortWithinPartitions("seq")
-    in_order.select(_bulk_text(in_order).alias("value")).write.option("maxRecordsPerFile", 5000).text(
-        f"{path}/in/orders+more.json"
-    )
-    upload()
+    named = F.lit("customers").alias("_index")
+    first = customer_docs(spark, folder).select(F.lit("index").alias("op"), named, "_id", "source")
+    _uploaded(spark, path, first, "a customers.json", ["_id"])
+    _uploaded(spark, path, order_actions(spark, folder).select("*", named), "orders+more.json", ["seq"])
     documents.compact_documents(spark, f"{path}/log", f"{path}/base", first=True)
     doc = F.parse_json("source")
     return documents.current_documents(spark, f"{path}/log", f"{path}/base").select(
+        "_index",
         "_id",
         F.try_variant_get(doc, "$.c_name", "string").alias("name"),
         F.try_variant_get(doc, "$.status", "string").alias("status"),
@@ -144,3 +145,46 @@ def stream_upload(spark, folder):
         F.try_variant_get(doc, "$.last.key", "long").alias("last_key"),
         F.try_variant_get(doc, "$.last.priority", "string").alias("last_priority"),
     )
+
+
+def _two_indices(spark, folder, path):
+    """Every order twice, under its customer's id, in the indices of its status and priority."""
+    rows = table(spark, folder, "orders").select(
+        F.lit("index").alias("op"),
+        F.explode(F.array("o_orderstatus", "o_orderpriority")).alias("_index"),
+        F.col("o_custkey").cast("string").alias("_id"),
+        F.to_json(F.struct("o_orderkey")).alias("source"),
+        F.col("o_orderkey").alias("seq"),
+    )
+    for part, name in ((F.col("seq") % 2 == 0, "a even.json"), (F.col("seq") % 2 == 1, "b odd.json")):
+        _uploaded(spark, path, rows.filter(part), name, ["seq"])
+
+
+_LAST_KEY = F.get_json_object("source", "$.o_orderkey").cast("long").alias("last_key")
+
+
+@query(
+    """SELECT _index, CAST(o_custkey AS VARCHAR) AS _id,
+  coalesce(max(o_orderkey) FILTER (WHERE o_orderkey % 2 = 1), max(o_orderkey)) AS last_key
+FROM (SELECT o_custkey, o_orderkey, o_orderstatus AS _index FROM orders
+  UNION ALL SELECT o_custkey, o_orderkey, o_orderpriority FROM orders)
+GROUP BY _index, o_custkey"""
+)
+def upload_same_id_two_indices(spark, folder):
+    """Documents of different indices do not replace each other."""
+    path = new_folder(spark, "indices")
+    _two_indices(spark, folder, path)
+    return documents.current_documents(spark, f"{path}/log").select("_index", "_id", _LAST_KEY)
+
+
+@query(
+    """SELECT o_orderstatus AS _index, CAST(o_custkey AS VARCHAR) AS _id,
+  coalesce(max(o_orderkey) FILTER (WHERE o_orderkey % 2 = 1), max(o_orderkey)) AS last_key
+FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL"""
+)
+def compacted_by_index(spark, folder):
+    """One index, from a base alone: the log that went into it is gone."""
+    path = new_folder(spark, "indices")
+    _two_indices(spark, folder, path)
+    documents.compact_documents(spark, f"{path}/log", f"{path}/base", first=True, trim=True)
+    return documents.current_documents(spark, f"{path}/log", f"{path}/base", "F").select("_index", "_id", _LAST_KEY)

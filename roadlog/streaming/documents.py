@@ -1,32 +1,36 @@
 """Document tables fed by streams.
 
-A stream appends its actions to a log, ``(batch, seq, op, _id, source)``, one
-folder per micro-batch.  A batch that runs again overwrites its own folder, so
-a replay changes nothing, and no batch ever rewrites older data.  The documents
-are what :func:`roadlog.operators.keyed.apply_actions` makes of base and log;
-:func:`compact_documents` moves them into a new base from time to time.
+A stream appends its actions to a log, ``(batch, number, pair, op, _index, _id,
+source)``, one folder per micro-batch; the first three columns are the order of
+the actions (micro-batch, file in it, action in the file).  A batch that runs
+again overwrites its own folder, so a replay changes nothing, and no batch ever
+rewrites older data.  The documents, named by ``(_index, _id)``, are what
+:func:`roadlog.operators.keyed.apply_actions` makes of base and log;
+:func:`compact_documents` moves them into a new base from time to time, and can
+then drop the older base and the part of the log that went into it.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.window import Window
 
 from roadlog.functions.columns import index_from_file_path
 from roadlog.operators.documents import document_ids
 from roadlog.operators.keyed import apply_actions
+from roadlog.operators.ordered import positions
+from roadlog.workspace import remove_folder
 
-# position of an action: batch, file in the batch, line pair in the file
-_FILE_BITS, _PAIR_BITS = 16, 24
-
-LOG_SCHEMA = "seq long, op string, _index string, _id string, source string, batch long"
-BASE_SCHEMA = "_id string, source string, upto long"
+LOG_SCHEMA = "number long, pair long, op string, _index string, _id string, source string, batch long"
+LOG_ORDER = ("batch", "number", "pair")
+BASE_SCHEMA = "_index string, _id string, source string"
+POINTER_SCHEMA = "upto long, version string"
 
 
 # --- uploads ------------------------------------------------------------------
@@ -87,8 +91,6 @@ def stream_uploads(spark: SparkSession, path: str, max_files: int = 1000) -> Dat
 
     Meant for the moderate files that an event-driven upload handles.
     """
-    if not 0 < max_files <= 1 << _FILE_BITS:
-        raise ValueError(f"max_files must be between 1 and {1 << _FILE_BITS}")
     return (
         spark.readStream.format("text")
         .option("wholetext", "true")
@@ -106,7 +108,7 @@ def stream_uploads(spark: SparkSession, path: str, max_files: int = 1000) -> Dat
 def _write_batch(actions: DataFrame, batch: int, log: str) -> None:
     (
         actions.withColumn("batch", F.lit(batch).cast("long"))
-        .select("seq", "op", "_index", "_id", "source", "batch")
+        .select("number", "pair", "op", "_index", "_id", "source", "batch")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch")
@@ -132,10 +134,7 @@ def start_uploads(
     """
 
     def run(batch_files: DataFrame, batch: int) -> None:
-        # one narrow row per file: at most max_files rows
-        numbers = batch_files.select("file", "modified").withColumn(
-            "number", F.row_number().over(Window.orderBy(*order)) - 1
-        )
+        numbers = positions(batch_files.select("file", "modified"), order, "number")
         actions = bulk_file_actions(batch_files, root, strict=rejects is None)
         if rejects is not None:
             (
@@ -147,13 +146,7 @@ def start_uploads(
                 .parquet(rejects)
             )
             actions = actions.filter(F.col("error").isNull())
-        pair = F.when(F.col("pair") < 1 << _PAIR_BITS, F.col("pair")).otherwise(
-            F.raise_error(F.concat(F.lit("too many actions in "), F.col("file"))).cast("long")
-        )
-        placed = actions.join(numbers.select("file", "number"), "file").withColumn(
-            "seq", F.shiftleft(F.col("number").cast("long"), _PAIR_BITS) + pair
-        )
-        _write_batch(placed, batch, log)
+        _write_batch(actions.join(numbers.select("file", "number"), "file"), batch, log)
 
     writer = files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if available_now:
@@ -180,7 +173,8 @@ def start_upserts(
 
     def run(changed: DataFrame, batch: int) -> None:
         docs = document_ids(changed, keys, sep).select(
-            F.lit(0).cast("long").alias("seq"),
+            F.lit(0).cast("long").alias("number"),
+            F.lit(0).cast("long").alias("pair"),
             F.lit("index").alias("op"),
             F.lit(index).cast("string").alias("_index"),
             "_id",
@@ -200,18 +194,18 @@ def start_upserts(
 
 
 def logged_actions(spark: SparkSession, log: str) -> DataFrame:
-    """The actions of a log with their final order in ``seq``."""
-    rows = spark.read.schema(LOG_SCHEMA).parquet(log)
-    place = F.shiftleft(F.col("batch"), _FILE_BITS + _PAIR_BITS) + F.col("seq")
-    return rows.withColumn("seq", place)
+    """The actions of a log; ``LOG_ORDER`` names the columns of their order."""
+    return spark.read.schema(LOG_SCHEMA).parquet(log)
 
 
-def _base(spark: SparkSession, base: str | None) -> DataFrame:
+def _newest(spark: SparkSession, base: str | None) -> tuple[int, str | None]:
+    """Last batch in the newest version of a base, and its folder (a row a version is read)."""
     if base is None:
-        return spark.createDataFrame([], BASE_SCHEMA)
-    versions = spark.read.schema(BASE_SCHEMA).parquet(base)
-    # the newest version is found from the folder names; older ones are not read
-    return versions.filter(F.col("upto") == versions.agg(F.max("upto")).scalar())
+        return -1, None
+    last = (
+        spark.read.schema(POINTER_SCHEMA).parquet(f"{base}/pointer").agg(F.max(F.struct("upto", "version")).alias("v"))
+    ).first()["v"]
+    return (-1, None) if last is None else (last.upto, f"{base}/{last.version}")
 
 
 def current_documents(
@@ -219,35 +213,45 @@ def current_documents(
     log: str,
     base: str | None = None,
     index: str | None = None,
-    upto: Column | int | None = None,
+    upto: int | None = None,
 ) -> DataFrame:
-    """``(_id, source)`` after every logged action; ``index`` picks one index.
+    """``(_index, _id, source)`` after every logged action; ``index`` picks one index.
 
-    ``upto`` leaves out later batches.
+    ``upto`` leaves out later batches.  Of a base only the newest version is
+    read, and of the log only the batches after it.
     """
-    old = _base(spark, base)
-    actions = logged_actions(spark, log)
-    if index is not None:
-        actions = actions.filter(F.col("_index") == index)
+    done, version = _newest(spark, base)
+    old = spark.read.schema(BASE_SCHEMA).parquet(version) if version else spark.createDataFrame([], BASE_SCHEMA)
+    actions = logged_actions(spark, log).filter(F.col("batch") > done)
     if upto is not None:
         actions = actions.filter(F.col("batch") <= upto)
-    if base is not None:
-        actions = actions.filter(F.col("batch") > F.coalesce(old.agg(F.max("upto")).scalar(), F.lit(-1)))
-    return apply_actions(old.select("_id", "source"), actions).table
+    if index is not None:
+        actions = actions.filter(F.col("_index") == index)
+        old = old.filter(F.col("_index") == index)
+    return apply_actions(old, actions, LOG_ORDER).table
 
 
-def compact_documents(spark: SparkSession, log: str, base: str, first: bool = False) -> None:
+def compact_documents(
+    spark: SparkSession, log: str, base: str, first: bool = False, trim: bool = False
+) -> None:
     """Write the current documents as a new base version; ``first`` when there is none.
 
-    Run it between batches: a batch that is just being written would count as
-    complete.  The log and the older versions are left as they are.
+    The version counts once its row in the pointer table is there.  Run it between
+    batches: a batch that is just being written would count as complete.
+    ``trim`` then removes the version before and the batches that went into the
+    new one; without it they are left as they are.
     """
-    upto = spark.read.schema(LOG_SCHEMA).parquet(log).agg(F.max("batch")).scalar()
-    (
-        current_documents(spark, log, None if first else base, upto=upto)
-        .withColumn("upto", upto)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("upto")
-        .parquet(base)
-    )
+    done, older = _newest(spark, None if first else base)
+    upto = spark.read.schema(LOG_SCHEMA).parquet(log).agg(F.max("batch")).first()[0]
+    if upto is None or upto <= done:
+        return
+    version = f"upto-{upto}-{uuid.uuid4().hex[:8]}"
+    current_documents(spark, log, None if first else base, upto=upto).write.parquet(f"{base}/{version}")
+    spark.createDataFrame([(upto, version)], POINTER_SCHEMA).write.mode("append").parquet(f"{base}/pointer")
+    if trim:
+        batches = spark.read.schema(LOG_SCHEMA).parquet(log).filter(F.col("batch") <= upto).select("batch").distinct()
+        # one number a micro-batch
+        for row in batches.collect():
+            remove_folder(spark, f"{log}/batch={row.batch}")
+        if older:
+            remove_folder(spark, older)

@@ -30,13 +30,19 @@ def test_separator_keeps_ids_apart(pairs):
     assert rows(documents.document_id_collisions(pairs, ["a", "b"], sep="|")) == []
 
 
+def test_separator_in_a_key_is_escaped(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|c"), ("a\\|", "c")], "k string, l string")
+    assert len(set(ids(documents.document_ids(df, ["k", "l"])))) == 4
+    assert ids(documents.document_ids(df.limit(1), ["k", "l"])) == ["a\\|b|c"]
+
+
 def test_boolean_and_missing_keys(pairs):
     assert ids(documents.document_ids(pairs, ["a", "flag"])) == ["11|False", "1|True"]
-    assert ids(documents.document_ids(pairs, ["a", "s"])) == ["11|", "1|x"]
+    assert ids(documents.document_ids(pairs, ["a", "s"], missing="empty")) == ["11|", "1|x"]
     unsure = documents.document_ids(pairs, ["a", "s"], missing="null")
     assert documents.without_id(unsure).count() == 1
     with pytest.raises(Exception, match="document without key s"):
-        documents.document_ids(pairs, ["a", "s"], missing="error").collect()
+        documents.document_ids(pairs, ["a", "s"]).collect()
     with pytest.raises(ValueError):
         documents.document_ids(pairs, ["a"], missing="maybe")
 
@@ -146,7 +152,6 @@ def test_last_before_and_rank(spark, bits, levels):
                 ),
                 "place",
                 "all",
-                block_bits=bits,
             )
         )
     }
@@ -158,6 +163,16 @@ def test_last_before_and_rank(spark, bits, levels):
             prior[k] = v
 
 
+def test_positions_by_several_columns(spark):
+    rng = random.Random(5)
+    data = [(rng.choice([0, 0, 0, 1 << 40]), rng.randrange(3), i) for i in range(500)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "a long, b long, c long").repartition(5)
+    got = sorted((r["place"], r["a"], r["b"], r["c"]) for r in rows(ordered.positions(df, ["a", "b", "c"])))
+    assert got == [(n, *r) for n, r in enumerate(sorted(data))]
+    assert rows(ordered.positions(df.limit(0), ["a"])) == []
+
+
 # --- chunks -------------------------------------------------------------------
 
 
@@ -217,96 +232,37 @@ def test_chunks_across_arrow_batches(spark):
 
 def test_count_chunks_equal_greedy_without_byte_limit(spark):
     acts = actions(spark, 1234)
-    window = {r["seq"]: r["chunk"] for r in rows(bulk.chunk_by_count(acts, size=100, block_bits=7).select("seq", "chunk"))}
+    window = {r["seq"]: r["chunk"] for r in rows(bulk.chunk_by_count(acts, size=100).select("seq", "chunk"))}
     cut = {r["seq"]: r["chunk"] for r in rows(bulk.chunk_actions(acts, size=100, max_bytes=1 << 40))}
     assert window == cut
 
 
-# --- sending ------------------------------------------------------------------
-
-
-def sender(status_of):
-    def send(lines):
-        return [{"status": status_of(json.loads(s)["t"])} for s in lines[1::2]]
-
-    return send
-
-
-def test_send_classifies(spark):
-    acts = actions(spark, 6, lambda i: str(i))
-
-    def send(lines):
-        answers = [{"status": 201}, {"status": 299}, {"status": 300}, {"status": 409, "error": "conflict"}, {}, {"status": 429}]
-        return [answers[int(json.loads(s)["t"])] for s in lines[1::2]]
-
-    got = rows(bulk.send_actions(acts, send), "seq")
-    assert [r["status"] for r in got] == [201, 299, 300, 409, 500, 429]
-    assert [r["ok"] for r in got] == [True, True, False, False, False, False]
-    assert got[3]["error"] == "conflict" and got[0]["source"] is None and got[5]["source"] == '{"t":"5"}'
-    assert {r["attempts"] for r in got} == {1}
-    tally = rows(keyed.outcome_tally(bulk.send_actions(acts, send), by_operation=False))
-    assert tally == [{"success": 2, "failed": 4}]
-
-
-def test_send_retries_only_the_rejected(spark):
-    def make():
-        seen = {}
-
-        def send(lines):
-            out = []
-            for source in lines[1::2]:
-                t = json.loads(source)["t"]
-                seen[t] = seen.get(t, 0) + 1
-                out.append({"status": 429 if t == "1" or (t == "2" and seen[t] < 3) else 201})
-            return out
-
-        return send
-
-    got = rows(
-        bulk.send_actions(actions(spark, 4, str), make(), max_retries=2, initial_backoff=0, lane_bits=16), "seq"
-    )
-    assert [(r["attempts"], r["ok"]) for r in got] == [(1, True), (3, False), (3, True), (1, True)]
-
-
-def test_waits_double_up_to_the_limit(spark, tmp_path):
-    log = tmp_path / "waits"
-
-    def sleep(seconds):
-        with open(log, "a") as out:
-            out.write(f"{seconds}\n")
-
-    sent = bulk.send_actions(
-        actions(spark, 1, str), sender(lambda t: 429), max_retries=4, max_backoff=9, sleep=sleep, partitions=1
-    )
-    assert rows(sent)[0]["attempts"] == 5
-    waits = [float(w) for w in log.read_text().split()]
-    assert waits == [2, 4, 8, 9]
-    column = spark.range(5).select(bulk.backoff_seconds(F.col("id"), 2, 9).alias("w"))
-    assert [r.w for r in column.collect()] == [0, *waits]
-
-
-def test_refused_request(spark):
-    def refuse(status):
-        def send(lines):
-            raise bulk.RequestError(status, "no")
-
-        return send
-
-    marked = rows(bulk.send_actions(actions(spark, 3, str), refuse(503), raise_on_exception=False), "seq")
-    assert [(r["status"], r["ok"], r["error"], r["attempts"]) for r in marked] == [(503, False, "no", 1)] * 3
-    with pytest.raises(Exception, match="no"):
-        bulk.send_actions(actions(spark, 3, str), refuse(503)).collect()
-    again = rows(
-        bulk.send_actions(
-            actions(spark, 2, str), refuse(429), max_retries=1, initial_backoff=0, raise_on_exception=False
+def test_payloads_are_the_chunks(spark):
+    acts = documents.expand_actions(
+        spark.createDataFrame(
+            [(i, "delete" if i % 3 == 0 else "index", str(i), f"t{i}") for i in range(700)],
+            "seq long, _op_type string, _id string, t string",
         )
     )
-    assert {r["attempts"] for r in again} == {2}
+    got = rows(bulk.chunk_payloads(acts, size=40, max_bytes=1500), "lane", "chunk")
+    lines = {r["seq"]: (r["action_line"], r["source_line"]) for r in rows(acts)}
+    chunks = {}
+    for r in rows(bulk.chunk_actions(acts, size=40, max_bytes=1500), "seq"):
+        chunks.setdefault((r["lane"], r["chunk"]), []).append(r["seq"])
+    expected = {
+        k: "".join(line + "\n" for i in sorted(seqs) for line in lines[i] if line is not None) for k, seqs in chunks.items()
+    }
+    assert {(r["lane"], r["chunk"]): r["payload"] for r in got} == expected
+    assert all(r["bytes"] == len(r["payload"]) <= 1500 and r["n"] <= 40 for r in got)
+    assert rows(bulk.chunk_payloads(acts.limit(0))) == []
 
 
 # --- keyed tables -------------------------------------------------------------
 
 
+ACTIONS = "seq long, op string, _id string, source string"
+
+
 def merge(doc, part):
     for k, v in part.items():
         if isinstance(v, dict):
@@ -406,7 +362,9 @@ def test_apply_cases(spark):
         7: (400, "action_request_validation_exception"),
         8: (400, "action_request_validation_exception"),
     }
-    assert {r["_id"]: r["source"] for r in rows(got.table)} == {"a": '{"v":5}', "b": '{"v":1}', "auto-6": '{"v":6}'}
+    docs = {r["_id"]: r["source"] for r in rows(got.table)}
+    (own,) = set(docs) - {"a", "b"}
+    assert len(own) == 36 and docs == {"a": '{"v":5}', "b": '{"v":1}', own: '{"v":6}'}
     assert {r["seq"] for r in rows(keyed.failures(got.results))} == {2, 3, 7, 8}
     with pytest.raises(Exception, match="action failed"):
         keyed.raise_on_failure(got.results).collect()
@@ -429,12 +387,101 @@ def test_fast_path_equals_fold(spark):
         keyed.last_write_wins(target, df.withColumn("op", F.lit("update"))).collect()
 
 
-def test_no_document_is_gathered(spark):
-    """No list over all actions of an id, and blocks bound every window."""
-    df = spark.createDataFrame([], "seq long, op string, _id string, source string")
+def test_awkward_actions_change_nothing_and_lose_nothing(spark):
+    got = apply(
+        spark,
+        [("a", '{"v":1e2,"w":1.50,"x":12345678901234567890123}'), ("bad", None), ("list", "[1]")],
+        [
+            (1, "index", "a", None),
+            (2, "index", "a", "[1]"),
+            (3, "create", "b", "{oops"),
+            (4, "update", "a", '{"doc":{"new":true}}'),
+            (5, "update", None, '{"doc":{"new":true}}'),
+            (6, "delete", None, None),
+            (7, "index", None, '{"v":7}'),
+            (8, "index", None, '{"v":8}'),
+            (9, "update", "bad", '{"doc":{"k":1}}'),
+            (10, "update", "list", '{"doc":{"k":2}}'),
+            (11, "update", "b", '{"doc":{"k":2}}'),
+            (12, "update", "a", '{"doc":[1]}'),
+        ],
+    )
+    status = {r["seq"]: r["status"] for r in rows(got.results)}
+    assert status == {1: 400, 2: 400, 3: 400, 4: 200, 5: 400, 6: 400, 7: 201, 8: 201, 9: 200, 10: 200, 11: 404, 12: 400}
+    docs = {r["_id"]: r["source"] for r in rows(got.table)}
+    assert len(docs) == 5
+    # numbers that no update touches keep their spelling
+    assert docs["a"] == '{"v":1e2,"w":1.50,"x":12345678901234567890123,"new":true}'
+    assert docs["bad"] == '{"k":1}' and docs["list"] == '{"k":2}'
+
+
+def test_made_up_ids_meet_no_document(spark):
+    target = spark.createDataFrame([("own-1", '{"v":0}')], "_id string, source string")
+    acts = spark.createDataFrame([(5, None, None, '{"v":5}'), (6, None, None, '{"v":6}')], ACTIONS)
+    got = keyed.apply_actions(target, acts, id_prefix="own")
+    assert {r["seq"]: r["status"] for r in rows(got.results)} == {5: 201, 6: 409}
+    assert {r["_id"]: r["source"] for r in rows(got.table)} == {"own-1": '{"v":0}', "own-0": '{"v":5}'}
+    # and two calls do not meet each other
+    both = keyed.apply_actions(got.table, acts).table
+    assert both.count() == 4
+
+
+def test_indices_are_kept_apart(spark):
+    target = spark.createDataFrame(
+        [("A", "1", '{"v":"a"}'), ("B", "1", '{"v":"b"}'), (None, "1", '{"v":"none"}')],
+        "_index string, _id string, source string",
+    )
+    acts = spark.createDataFrame(
+        [(1, "update", "A", "1", '{"doc":{"w":1}}'), (2, "delete", None, "1", None), (3, "create", "C", "1", "{}")],
+        "seq long, op string, _index string, _id string, source string",
+    )
+    got = keyed.apply_actions(target, acts)
+    assert [r["status"] for r in rows(got.results, "seq")] == [200, 200, 201]
+    docs = {(r["_index"], r["_id"]): r["source"] for r in rows(got.table)}
+    assert docs == {("A", "1"): '{"v":"a","w":1}', ("B", "1"): '{"v":"b"}', ("C", "1"): "{}"}
+    wins = keyed.last_write_wins(target, acts.withColumn("op", F.when(F.col("op") == "delete", "delete").otherwise("index")))
+    assert {(r["_index"], r["_id"]) for r in rows(wins)} == {("A", "1"), ("B", "1"), ("C", "1")}
+
+
+def test_order_by_several_columns(spark):
+    acts = spark.createDataFrame(
+        [(1 << 50, 0, "last"), (3, 1 << 40, "first"), (3, (1 << 40) + 1, "second")], "batch long, number long, v string"
+    ).select("*", F.lit("index").alias("op"), F.lit("x").alias("_id"), F.to_json(F.struct("v")).alias("source"))
     target = spark.createDataFrame([], "_id string, source string")
-    plan = keyed.apply_actions(target, df).table._jdf.queryExecution().optimizedPlan().toString()
-    assert "_block" in plan and plan.count("collect_list") == 1
+    assert [r["source"] for r in rows(keyed.apply_actions(target, acts, ("batch", "number")).table)] == ['{"v":"last"}']
+
+
+def test_apply_touches_what_the_actions_name(spark, tmp_path):
+    """Documents that are not named are neither sorted nor shuffled with their sources."""
+    spark.range(1000).selectExpr("cast(id as string) as _id", "'{}' as source").write.parquet(f"{tmp_path}/docs")
+    target = spark.read.parquet(f"{tmp_path}/docs")
+    acts = spark.createDataFrame([(1, "index", "5", '{"v":1}'), (2, "update", "7", '{"doc":{"v":2}}')], ACTIONS)
+    out = keyed.apply_actions(target, acts).table
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    untouched = plan[: plan.index("Union") + 2000].split("BroadcastHashJoin")[1]
+    assert "LeftAnti" in untouched and out.count() == 1000
+    anti = next(line for line in plan.splitlines() if "LeftAnti" in line)
+    assert "BroadcastHashJoin" in anti
+    # one list a document, of the members written after its last replacement
+    logical = out._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("collect_list") == 1 and "_base" in logical
+
+
+def test_only_last_writes_are_gathered(spark):
+    """A member that is written over and over is one entry of the list."""
+    acts = [(i, "update", "a", json.dumps({"doc": {"n": i, f"k{i % 3}": i}})) for i in range(400)]
+    acts.insert(200, (1000, "index", "a", '{"fresh":1}'))
+    acts = [(n, *a[1:]) for n, a in enumerate(acts)]
+    got = apply(spark, [("a", "{}")], acts).table
+    assert json.loads(rows(got)[0]["source"]) == {"fresh": 1, "n": 399, "k0": 399, "k1": 397, "k2": 398}
+
+
+def test_writes_without_ids(spark):
+    target = spark.createDataFrame([("a", "{}")], "_id string, source string")
+    acts = spark.createDataFrame([(1, "index", None, '{"v":1}'), (2, "index", None, '{"v":2}')], ACTIONS)
+    assert keyed.last_write_wins(target, acts).count() == 3
+    with pytest.raises(Exception, match="a delete needs an id"):
+        keyed.last_write_wins(target, acts.withColumn("op", F.lit("delete"))).collect()
 
 
 def test_reindex_and_where(spark):
@@ -449,6 +496,10 @@ def test_reindex_and_where(spark):
     moved = keyed.reindex(docs, spark.createDataFrame([("1", "{}"), ("9", "{}")], docs.schema), "_id <> '3'", "new")
     assert {r["_id"]: r["source"] for r in rows(moved.table)} == {"1": '{"v":5}', "2": '{"v":9}', "9": "{}"}
     assert rows(moved.tally) == [{"success": 2, "failed": 0}]
+    target = spark.createDataFrame([("new", "1", "{}"), ("old", "1", "{}")], "_index string, _id string, source string")
+    lifted = src.select("_id", "_index", "fields", F.lit("{}").alias("source"))
+    into = rows(keyed.reindex(lifted, target, None, "new").table, "_index", "_id")
+    assert [(r["_index"], r["_id"], r["n"]) for r in into] == [("new", "1", 1), ("new", "2", 2), ("new", "3", 3), ("old", "1", None)]
     assert ids(keyed.delete_where(src, "v > 5")) == ["1", "3"]
     assert ids(keyed.delete_where(src, "v > 1", max_docs=1, order=["v"])) == ["2", "3"]
     changed = keyed.update_where(src, "v > 5", {"v": "v + 1", "w": F.col("v")})

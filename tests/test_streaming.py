@@ -136,7 +136,7 @@ def upload(spark, tmp_path, **options):
 
 def current(spark, tmp_path, base=None, index=None):
     out = documents.current_documents(spark, f"{tmp_path}/log", base, index)
-    return {r["_id"]: json.loads(r["source"]) for r in rows(out)}
+    return {(r["_index"], r["_id"]): json.loads(r["source"]) for r in rows(out)}
 
 
 def test_uploads(spark, tmp_path):
@@ -147,22 +147,46 @@ def test_uploads(spark, tmp_path):
     )
     upload(spark, tmp_path)
     log = documents.logged_actions(spark, f"{tmp_path}/log")
-    assert {r["_index"] for r in rows(log)} == {"folder/my file+1"}
+    mine = "folder/my file+1"
+    assert {r["_index"] for r in rows(log)} == {mine}
     # a source that looks like an action is still a source
-    assert current(spark, tmp_path) == {"1": {"v": 1}, "2": {"delete": {"x": 1}}}
-    put(tmp_path / "in", "next.json", lines({"update": {"_id": "1"}}, {"doc": {"w": 2}}, {"delete": {"_id": "2"}}))
+    assert current(spark, tmp_path) == {(mine, "1"): {"v": 1}, (mine, "2"): {"delete": {"x": 1}}}
+    put(
+        tmp_path / "in",
+        "next.json",
+        lines(
+            {"update": {"_id": "1", "_index": mine}}, {"doc": {"w": 2}}, {"delete": {"_id": "2", "_index": mine}},
+            {"index": {"_id": "1"}}, {"v": "next"},
+        ),
+    )
     upload(spark, tmp_path)
-    assert current(spark, tmp_path) == {"1": {"v": 1, "w": 2}}
-    assert current(spark, tmp_path, index="next") == {}
-    # a compacted base and the rest of the log say the same
+    both = {(mine, "1"): {"v": 1, "w": 2}, ("next", "1"): {"v": "next"}}
+    assert current(spark, tmp_path) == both
+    assert current(spark, tmp_path, index="next") == {("next", "1"): {"v": "next"}}
+    # a compacted base and the rest of the log say the same, index by index
     documents.compact_documents(spark, f"{tmp_path}/log", f"{tmp_path}/base", first=True)
-    assert current(spark, tmp_path, f"{tmp_path}/base") == {"1": {"v": 1, "w": 2}}
+    assert current(spark, tmp_path, f"{tmp_path}/base") == both
+    assert current(spark, tmp_path, f"{tmp_path}/base", mine) == {(mine, "1"): {"v": 1, "w": 2}}
     put(tmp_path / "in", "third.json", lines({"index": {"_id": "3"}}, {"v": 3}))
     upload(spark, tmp_path)
-    assert current(spark, tmp_path, f"{tmp_path}/base") == {"1": {"v": 1, "w": 2}, "3": {"v": 3}}
-    documents.compact_documents(spark, f"{tmp_path}/log", f"{tmp_path}/base")
-    assert current(spark, tmp_path, f"{tmp_path}/base") == {"1": {"v": 1, "w": 2}, "3": {"v": 3}}
-    assert {r["upto"] for r in rows(spark.read.parquet(f"{tmp_path}/base"))} == {1, 2}
+    more = {**both, ("third", "3"): {"v": 3}}
+    assert current(spark, tmp_path, f"{tmp_path}/base") == more
+    documents.compact_documents(spark, f"{tmp_path}/log", f"{tmp_path}/base", trim=True)
+    assert current(spark, tmp_path, f"{tmp_path}/base") == more
+    # nothing is left of the version before and of the log
+    assert len([p for p in (tmp_path / "base").iterdir() if p.name.startswith("upto-")]) == 1
+    assert not list((tmp_path / "log").glob("batch=*"))
+    put(tmp_path / "in", "fourth.json", lines({"index": {"_id": "3", "_index": "third"}}, {"v": 4}))
+    upload(spark, tmp_path)
+    assert current(spark, tmp_path, f"{tmp_path}/base") == {**both, ("third", "3"): {"v": 4}}
+
+
+def test_late_batches_stay_in_order(spark, tmp_path):
+    schema = "number long, pair long, op string, _index string, _id string, source string"
+    for batch, v in ((8_388_607, 1), (8_388_608, 2), (1 << 40, 3)):
+        df = spark.createDataFrame([(1 << 20, 1 << 30, "index", "i", "a", f'{{"v":{v}}}')], schema)
+        documents._write_batch(df, batch, f"{tmp_path}/log")
+        assert current(spark, tmp_path) == {("i", "a"): {"v": v}}
 
 
 @pytest.mark.parametrize("bad", ["{oops", "", "5"])
@@ -177,7 +201,7 @@ def test_broken_upload(spark, tmp_path, bad):
     documents.start_uploads(
         files, f"{lenient}/log", f"{lenient}/check", f"{tmp_path}/in", rejects=f"{lenient}/bad"
     ).awaitTermination()
-    assert current(spark, lenient) == {"1": {"v": 1}}
+    assert current(spark, lenient) == {("good", "1"): {"v": 1}}
     (reject,) = rows(spark.read.parquet(f"{lenient}/bad"))
     assert reject["file"].endswith("/bad.json") and reject["error"]
 
@@ -186,14 +210,14 @@ def test_same_id_in_two_files_of_a_batch(spark, tmp_path):
     import os
 
     for n, name in enumerate(["z.json", "a.json"]):
-        put(tmp_path / "in", name, lines({"index": {"_id": "1"}}, {"from": name}))
+        put(tmp_path / "in", name, lines({"index": {"_id": "1", "_index": "i"}}, {"from": name}))
         os.utime(tmp_path / "in" / name, (1_600_000_000 + n, 1_600_000_000 + n))
     upload(spark, tmp_path)
-    assert current(spark, tmp_path) == {"1": {"from": "a.json"}}
+    assert current(spark, tmp_path) == {("i", "1"): {"from": "a.json"}}
 
 
 def test_replayed_batch_overwrites_itself(spark, tmp_path):
-    df = spark.createDataFrame([(0, "index", None, "a", "{}")], "seq long, op string, _index string, _id string, source string")
+    df = spark.createDataFrame([(0, 0, "index", None, "a", "{}")], "number long, pair long, op string, _index string, _id string, source string")
     for _ in range(2):
         documents._write_batch(df, 7, f"{tmp_path}/log")
     assert documents.logged_actions(spark, f"{tmp_path}/log").count() == 1
