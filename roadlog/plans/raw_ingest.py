@@ -31,13 +31,15 @@ def ingest_messages(
 ) -> DataFrame:
     """Append the messages below the paths to ``table`` and return the rejects.
 
-    ``sample`` names a bulk file for the first rows.  Without ``sample_order``
+    The files are read and decoded once; table, sample and rejects come from the
+    decoded messages in the shared folder (``roadlog.workspace.clear`` removes
+    them when the rejects are done with).  ``sample`` names a bulk file for the first rows.  Without ``sample_order``
     they are the first that are read, which touches few files; with it they are
     the first in that order, which takes another pass.  Message files
     usually belong to one day, so rows are written where they were read;
     ``cluster`` gathers them by day first when they do not.
     """
-    messages = read_messages(spark, paths, value_schema, framing, tz=tz)
+    messages = read_messages(spark, paths, value_schema, framing, tz=tz, once=True)
     append_partitioned(messages.rows, table, schemas.CALENDAR, replace_touched, cluster)
     if sample is not None:
         if sample_order is None:

@@ -70,10 +70,3 @@ def with_time_columns(value: T.StructType) -> T.StructType:
 
 EU_TABLE = with_time_columns(EU_VALUE)
 USA_TABLE = with_time_columns(USA_VALUE)
-
-
-def envelope(value: T.StructType) -> T.StructType:
-    """Schema of one raw message around a ``value`` object."""
-    return T.StructType(
-        [T.StructField("timestamp", T.LongType()), T.StructField("value", value)]
-    )

@@ -69,12 +69,12 @@ _LINE_ROWS = _rows_sql("'view', 'click', 'purchase'")
 
 @query(_LINE_ROWS)
 def ingest_lines(spark, folder):
-    return messages.read_messages(spark, message_files(spark, folder), VALUE).rows
+    return messages.read_messages(spark, message_files(spark, folder), VALUE, extra=False).rows
 
 
 @query(_rows_sql("'view', 'click'"))
 def ingest_tokens(spark, folder):
-    return messages.read_messages(spark, message_files(spark, folder), VALUE, framing="tokens").rows
+    return messages.read_messages(spark, message_files(spark, folder), VALUE, framing="tokens", extra=False).rows
 
 
 @query(
@@ -140,6 +140,70 @@ def ingest_sample(spark, folder):
     )
 
 
+def _odd_files(spark, folder):
+    """Messages with a tab around, a decimal point in the timestamp, a value of a wrong
+    type, fields the schema does not name, and lines that are no messages."""
+    path = new_folder(spark, "odd")
+    rows = table(spark, folder, "events")
+    n = F.col("event_id")
+    value = F.struct(
+        n.cast("string").alias("id"),
+        F.when(n % 5 == 1, F.lit("fast")).otherwise(F.col("value").cast("string")).alias("kmh"),
+        F.when(n % 3 == 0, F.struct(F.col("user_id").alias("user"))).alias("driver"),
+    )
+    # kmh as a number unless it is the word
+    text = F.regexp_replace(F.to_json(value), r'"kmh":"([-0-9.E]+)"', '"kmh":$1')
+    milliseconds = F.concat(F.unix_millis(F.col("ts").cast("timestamp")), F.when(n % 2 == 0, ".0").otherwise(""))
+    message = F.concat(F.lit('{"timestamp":'), milliseconds, F.lit(',"value":'), text, F.lit("}"))
+    line = (
+        F.when(n % 11 == 0, F.lit("12"))
+        .when(n % 11 == 1, F.substring(message, 1, 30))
+        .when(n % 7 == 0, F.concat(F.lit("\t"), message, F.lit(" \t")))
+        .otherwise(message)
+    )
+    rows.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query(
+    """SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 5 <> 1 THEN value END AS kmh,
+  epoch_us(ts) // 1000 AS timestamp, CAST(day(ts) AS INTEGER) AS day,
+  CASE WHEN event_id % 5 = 1 THEN 'fast' END AS word, CASE WHEN event_id % 3 = 0 THEN user_id END AS driver
+FROM events WHERE event_id % 11 > 1"""
+)
+def ingest_awkward(spark, folder):
+    """Every message arrives, with what has no column beside it."""
+    rows = messages.read_messages(spark, _odd_files(spark, folder), VALUE, once=True).rows
+    return rows.select(
+        "id",
+        "kmh",
+        "timestamp",
+        "day",
+        F.try_variant_get("extra", "$.kmh", "string").alias("word"),
+        F.try_variant_get("extra", "$.driver.user", "long").alias("driver"),
+    )
+
+
+@query(
+    """SELECT CASE event_id % 11 WHEN 0 THEN 'not an envelope' ELSE 'malformed' END AS reason, count(*) AS n
+FROM events WHERE event_id % 11 < 2 GROUP BY 1"""
+)
+def ingest_awkward_rejects(spark, folder):
+    rejects = messages.read_messages(spark, _odd_files(spark, folder), VALUE, once=True).rejects
+    return rejects.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n FROM events WHERE event_type NOT IN ('error', 'signup')")
+def ingest_strict(spark, folder):
+    """The strict mode accepts messages that are only cut off."""
+    path = message_files(spark, folder)
+    whole = spark.read.text(path).filter(F.get_json_object("value", "$.value").isNotNull() | ~F.endswith("value", F.lit("}")))
+    strict_path = new_folder(spark, "strict")
+    whole.write.text(strict_path)
+    read = messages.read_messages(spark, strict_path, VALUE, once=True)
+    return messages.require_envelopes(read).agg(F.count("*").alias("n"))
+
+
 # --- formats ------------------------------------------------------------------
 
 _NESTED = "event_id LONG, who STRUCT<user: LONG>, what STRUCT<type: STRING, value: DOUBLE>"
@@ -186,22 +250,40 @@ def json_documents(spark, folder):
     )
 
 
-_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+_ORDERS = "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders"
 
 
-def _orders(spark, folder):
-    return table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
-    )
+def _as_text(df):
+    """The time as text, for the comparison."""
+    return df.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 @query(_ORDERS)
 def csv_roundtrip(spark, folder):
     path = new_folder(spark, "csv")
-    rows = _orders(spark, folder)
+    rows = table(spark, folder, "orders")
     rows.write.csv(f"{path}/csv", header=True)
     sinks.csv_to_parquet(spark, f"{path}/csv", f"{path}/parquet", rows.schema)
-    return files.read_any(spark, f"{path}/parquet", "parquet", rows.schema)
+    return _as_text(files.read_any(spark, f"{path}/parquet", "parquet", rows.schema))
+
+
+@query("SELECT doc_id, 'say \"' || source || '\", ok' AS quoted, text, lang FROM documents")
+def csv_quoted(spark, folder):
+    """Quotes, commas and line feeds, as other programs write them."""
+    path = new_folder(spark, "csv")
+    rows = table(spark, folder, "documents").select(
+        "doc_id", F.concat(F.lit('say "'), "source", F.lit('", ok')).alias("quoted"), "text", "lang"
+    )
+
+    def field(c):
+        return F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+
+    lines = rows.select(F.concat_ws(",", *[field(c) for c in rows.columns]).alias(",".join(rows.columns)))
+    # written as text, with one header a file
+    header = spark.range(1, numPartitions=1).select(F.lit(lines.columns[0]).alias("value"))
+    whole = header.unionByName(lines.withColumnRenamed(lines.columns[0], "value")).coalesce(1)
+    whole.write.text(path)
+    return files.read_csv(spark, path, rows.schema)
 
 
 @query("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -212,52 +294,102 @@ def csv_inferred(spark, folder):
 
 
 @query(
-    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+    """SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate),
   CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders"""
 )
 def parquet_roundtrip(spark, folder):
     path = new_folder(spark, "parquet")
     rows = table(spark, folder, "orders")
-    dated = rows.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}).drop("o_orderdate")
-    sinks.append_partitioned(dated, path, ("year", "month"))
-    return files.read_table(spark, path)
+    sinks.append_partitioned(
+        rows.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}), path, ("year", "month")
+    )
+    return _as_text(files.read_table(spark, path))
 
 
-@query(
-    """SELECT * FROM (SELECT o_orderkey, o_orderpriority FROM orders UNION ALL SELECT o_orderkey, o_orderpriority FROM orders)"""
-)
+@query(f"{_ORDERS} UNION ALL {_ORDERS}")
 def append_twice(spark, folder):
     path = new_folder(spark, "appended")
-    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    rows = table(spark, folder, "orders")
     sinks.append_table(rows, path)
     sinks.append_table(rows, path)
-    return files.read_table(spark, path, rows.schema)
+    return _as_text(files.read_table(spark, path, rows.schema))
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders")
+@query(_ORDERS)
 def replace_touched_partitions(spark, folder):
     path = new_folder(spark, "replaced")
-    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    rows = table(spark, folder, "orders")
     for _ in range(2):
         sinks.append_partitioned(rows, path, ("o_orderpriority",), replace_touched=True)
-    return files.read_table(spark, path, rows.schema)
+    return _as_text(files.read_table(spark, path, rows.schema))
 
 
 @query(_ORDERS)
 def jsonl_roundtrip(spark, folder):
     path = new_folder(spark, "jsonl")
-    rows = _orders(spark, folder)
+    rows = table(spark, folder, "orders")
     sinks.write_json_lines(rows, path)
-    return files.read_any(spark, path, "json_lines", rows.schema)
+    return _as_text(files.read_any(spark, path, "json_lines", rows.schema))
+
+
+def _odd_lines(spark, folder):
+    """Order lines of which some are cut and some have a word for a number."""
+    path = new_folder(spark, "jsonl")
+    key = F.col("o_orderkey")
+    good = F.to_json(F.struct("o_orderkey", "o_totalprice"))
+    word = F.to_json(F.struct("o_orderkey", F.lit("much").alias("o_totalprice")))
+    line = F.when(key % 9 == 0, F.substring(good, 1, 12)).when(key % 9 == 1, word).otherwise(good)
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    return files.checked_json_lines(spark, path, "o_orderkey LONG, o_totalprice DOUBLE")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 1 THEN o_totalprice END AS o_totalprice, 'row' AS kind
+FROM orders WHERE o_orderkey % 9 <> 0
+UNION ALL SELECT CAST(count(*) AS BIGINT), NULL, CASE o_orderkey % 9 WHEN 0 THEN 'malformed' ELSE 'schema mismatch' END
+FROM orders WHERE o_orderkey % 9 < 2 GROUP BY 3"""
+)
+def jsonl_with_rejects(spark, folder):
+    checked = _odd_lines(spark, folder)
+    rejects = checked.rejects.groupBy("reason").agg(F.count("*").alias("o_orderkey"))
+    return checked.rows.withColumn("kind", F.lit("row")).unionByName(
+        rejects.select("o_orderkey", F.lit(None).cast("double").alias("o_totalprice"), F.col("reason").alias("kind"))
+    )
+
 
+@query("SELECT count(*) AS n, count(*) AS keys FROM orders WHERE o_orderkey % 9 <> 0")
+def jsonl_same_rows_for_any_columns(spark, folder):
+    rows = _odd_lines(spark, folder).rows
+    keys = rows.select("o_orderkey").agg(F.count("o_orderkey")).scalar()
+    return rows.agg(F.count("*").alias("n")).withColumn("keys", keys)
 
-@query("SELECT doc_id, text FROM documents")
+
+def _document_files(spark, folder, indented):
+    """JSON files that hold an array of up to fifty documents, over many lines."""
+    path = new_folder(spark, "json")
+    gap = "\n  " if indented else ""
+    element = F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars"))
+    arrays = (
+        table(spark, folder, "documents")
+        .groupBy(F.floor(F.col("doc_id") / 50).alias("file"))
+        .agg(F.concat(F.lit(f"[{gap}"), F.array_join(F.collect_list(element), f",{gap}"), F.lit("]")).alias("value"))
+    )
+    arrays.write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def json_roundtrip(spark, folder):
     """Whole texts through JSON documents and back."""
-    path = new_folder(spark, "json")
-    rows = table(spark, folder, "documents").select("doc_id", "text")
-    sinks.write_json_lines(rows, path)
-    return files.read_any(spark, path, "json_lines", rows.schema)
+    schema = table(spark, folder, "documents").schema
+    return files.read_any(spark, _document_files(spark, folder, True), "json", schema)
+
+
+@query("SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY lang")
+def json_documents_array(spark, folder):
+    """Arrays of documents, their types inferred."""
+    rows = files.read_any(spark, _document_files(spark, folder, False), "json")
+    return rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))
 
 
 @query("SELECT p_name AS line, count(*) AS n FROM part GROUP BY p_name")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,26 +15,45 @@ from roadlog.operators.nested import decode_tolerant, flatten_struct, flatten_wi
 
 Paths = str | Sequence[str]
 
-# format name -> (Spark format, reader options)
+# format name -> (Spark format, reader options).  CSV is read as most programs write
+# it: a quote in a quoted field is doubled and a field may hold line feeds, for
+# which a file cannot be split.  A file that cannot be read whole fails.
 _FORMATS = {
-    "csv": ("csv", {"header": "true"}),
+    "csv": (
+        "csv",
+        {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"},
+    ),
     "parquet": ("parquet", {}),
-    "json": ("json", {"multiLine": "true"}),
-    "json_lines": ("json", {"multiLine": "false", "mode": "DROPMALFORMED"}),
+    "json": ("json", {"multiLine": "true", "mode": "FAILFAST"}),
+    "json_lines": ("json", {"multiLine": "false"}),
 }
 
+_CORRUPT = "_corrupt_record"
+
+
+class Checked(NamedTuple):
+    """Rows that were read, and the lines that were not, or not fully, with the reason."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
 
 def read_any(
     spark: SparkSession, path: Paths, fmt: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """Read ``csv``, ``parquet``, ``json`` (one document per file) or ``json_lines``.
+    """Read ``csv``, ``parquet``, ``json`` (a document, or an array of them, per file)
+    or ``json_lines``.
 
     Without a schema the text formats infer one, which costs a pass over the data.
+    What does not fit fails the read; only of ``json_lines`` broken lines are left
+    out (:func:`checked_json_lines` lists them).
     """
     try:
         name, options = _FORMATS[fmt]
     except KeyError:
         raise ValueError(f"unknown format {fmt!r}; one of {', '.join(_FORMATS)}") from None
+    if fmt == "json_lines":
+        return checked_json_lines(spark, path, schema).rows
     reader = spark.read.format(name).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
@@ -42,6 +62,34 @@ def read_any(
     return reader.load(path if isinstance(path, str) else list(path))
 
 
+def checked_json_lines(spark: SparkSession, path: Paths, schema: T.StructType | str | None = None) -> Checked:
+    """JSON lines of a schema, by line.
+
+    Rows are the lines that are JSON objects; a value that does not fit its type is
+    null.  Rejects ``(file, value, reason)`` are the ``malformed`` lines and, a second
+    time, those with such values (``schema mismatch``).  The rows are the same
+    whichever columns are asked for.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    if schema is None:
+        inferred = spark.read.json(paths).schema
+        schema = T.StructType([f for f in inferred.fields if f.name != _CORRUPT])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    row = F.from_json("value", full, {"columnNameOfCorruptRecord": _CORRUPT})
+    # a generator over one row: what is asked for later does not change what is parsed
+    parsed = lines.filter(F.trim("value") != "").select("*", F.explode_outer(F.array(row)).alias("_row"))
+    odd = F.col(f"_row.{_CORRUPT}").isNotNull()
+    whole = F.expr("try_cast(try_parse_json(value) AS MAP<STRING, VARIANT>) IS NOT NULL")
+    broken = odd & ~whole
+    return Checked(
+        parsed.filter(~broken).select(*[F.col(f"_row.`{f}`").alias(f) for f in schema.fieldNames()]),
+        parsed.filter(odd).select("file", "value", F.when(whole, "schema mismatch").otherwise("malformed").alias("reason")),
+    )
+
+
 def read_csv(spark: SparkSession, path: Paths, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header line; column types are inferred when no schema is given."""
     return read_any(spark, path, "csv", schema)

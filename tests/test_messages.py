@@ -1,5 +1,8 @@
+import json
+
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from roadlog import schemas
 from roadlog.sources import messages
@@ -27,7 +30,7 @@ def test_unwrap_and_calendar(spark, tmp_path, value_schema):
     (row,) = rows(read_messages(spark, str(tmp_path), value_schema).rows)
     assert row == {
         "id": "a", "model": "m1", "kmh": 50.5, "breakActive": True,
-        "timestamp": 1628233200123, "year": 2021, "month": 8, "day": 6,
+        "timestamp": 1628233200123, "year": 2021, "month": 8, "day": 6, "extra": None,
     }
 
 
@@ -45,13 +48,16 @@ def test_envelope_timestamp_wins(spark, tmp_path, value_schema):
 
 
 REJECTED = {
+    '{"timestamp":5,"value":{"id":"a","kmh":5': "malformed",
+    '{"timestamp":5,"value":{"id":"a"},"more': "malformed",
     "{oops": "malformed",
     "12": "not an envelope",
     "null": "null",
     "[1]": "not an envelope",
     '{"value":{"id":"a"}}': "missing value or timestamp",
     '{"timestamp":5}': "missing value or timestamp",
-    '{"timestamp":5,"value":{"id":"a","kmh":"fast"}}': "schema mismatch",
+    '{"timestamp":"soon","value":{"id":"a"}}': "missing value or timestamp",
+    '{"timestamp":5,"value":7}': "missing value or timestamp",
 }
 
 
@@ -70,6 +76,58 @@ def test_nan_and_repeated_keys_are_accepted(spark, tmp_path, value_schema):
     assert got[0]["kmh"] != got[0]["kmh"] and got[1]["timestamp"] == 2
 
 
+def extras(df):
+    return [r["extra"] and json.loads(r["extra"]) for r in rows(df.withColumn("extra", F.to_json("extra")), "id")]
+
+
+def test_fields_without_a_column_are_kept(spark, tmp_path, value_schema):
+    write(
+        tmp_path,
+        "open",
+        "\n".join(
+            [
+                '{"timestamp":1,"value":{"id":"a","kmh":"fast","model":"m"}}',
+                '{"timestamp":1,"value":{"id":"b","new":{"x":[1,{"y":2}]},"none":null,"kmh":3}}',
+                '{"timestamp":1,"value":{"id":"c","timestamp":4,"year":5,"kmh":null}}',
+                '{"timestamp":1,"value":{"id":"d","breakActive":"yes","kmh":1.5}}',
+            ]
+        ),
+    )
+    read = read_messages(spark, str(tmp_path), value_schema)
+    assert extras(read.rows) == [{"kmh": "fast"}, {"new": {"x": [1, {"y": 2}]}, "none": None}, None, {"breakActive": "yes"}]
+    assert [r["kmh"] for r in rows(read.rows, "id")] == [None, 3.0, None, 1.5]
+    assert read.rejects.count() == 0
+    slim = read_messages(spark, str(tmp_path), value_schema, extra=False).rows
+    assert "extra" not in slim.columns and slim.count() == 4
+
+
+@pytest.mark.parametrize("number, milliseconds", [("1628233200123.0", 1628233200123), ("1.5e3", 1500), ("-1", -1), ("7.9", 7)])
+def test_numbers_of_any_spelling(spark, tmp_path, value_schema, number, milliseconds):
+    write(tmp_path, "one", f'{{"timestamp":{number},"value":{{"id":"a"}}}}')
+    (row,) = rows(read_messages(spark, str(tmp_path), value_schema).rows)
+    assert row["timestamp"] == milliseconds
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\u00a0", "\x1c", "\u2003", "\r"])
+def test_blanks_around_a_line(spark, tmp_path, value_schema, blank):
+    write(tmp_path, "one", f"{blank}{GOOD}{blank}{blank}")
+    read = read_messages(spark, str(tmp_path), value_schema)
+    assert read.rows.count() == 1 and read.rejects.count() == 0
+
+
+def test_one_pass_gives_rows_and_rejects(spark, tmp_path, value_schema):
+    write(tmp_path, "in/mixed", "\n".join([GOOD, *REJECTED, GOOD]))
+    once = read_messages(spark, f"{tmp_path}/in", value_schema, once=True)
+    # the files are not needed any more
+    (tmp_path / "in" / "mixed").write_text("")
+    assert once.rows.count() == 2
+    assert {r["token"]: r["reason"] for r in rows(once.rejects)} == REJECTED
+    for side in once:
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(_usable" in plan
+    assert require_envelopes(read_messages(spark, f"{tmp_path}/in", value_schema, once=True)).count() == 0
+
+
 def test_framing(spark, tmp_path, value_schema):
     spaced = GOOD.replace("m1", "m 1")
     # two messages on one line, separated by a no-break space
