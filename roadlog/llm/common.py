@@ -32,6 +32,11 @@ def utf8_size(c: Column | str) -> Column:
     return F.octet_length(c).cast("long")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], schema: str
 ) -> DataFrame:

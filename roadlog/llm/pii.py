@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlog.llm.common import let
 from roadlog.workspace import written
 
 # fixed values: kinds in the order of the report
@@ -59,11 +60,6 @@ class Settings:
     shortest: int = 5
 
 
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 _NO_MATCHES = "array<struct<start:int,finish:int,value:string,gap:string>>"
 
 
@@ -94,7 +90,7 @@ def matches(text: Column | str, pattern: str) -> Column:
             lambda a: a["out"],
         )
 
-    return _let(
+    return let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda found: F.when(F.size(found) == 0, F.array().cast(_NO_MATCHES)).otherwise(placed(found)),
     )
@@ -119,7 +115,7 @@ def _holds(kind: str, value: Column) -> Column:
     if kind == "ip":
         return value.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")
     if kind == "card":
-        return _let(
+        return let(
             _digits(value), lambda d: F.when(F.length(d).between(14, 19), passes_luhn(d)).otherwise(False)
         )
     if kind == "phone":

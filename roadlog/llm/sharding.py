@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlog.llm.common import utf8_size
+from roadlog.llm.common import let, utf8_size
 from roadlog.workspace import written
 
 # rows numbered by one window, about
@@ -47,18 +47,6 @@ def hilbert_index(steps: Column, bits: int, dimensions: int) -> Column:
             F.transform(x, lambda v, k: F.when((k == 0) | (k == m["i"]), v.bitwiseXOR(swap)).otherwise(v))
         )
 
-    turned = F.aggregate(moves, steps, move) if bits > 1 else steps
-    gray = F.transform(
-        turned,
-        lambda _, k: F.aggregate(F.slice(turned, 1, k + 1), F.lit(0), lambda a, v: a.bitwiseXOR(v)),
-    )
-    last = F.get(gray, F.lit(dimensions - 1))
-    flip = F.aggregate(
-        F.array(*[F.lit(1 << b) for b in range(bits - 1, 0, -1)] or [F.lit(0)]),
-        F.lit(0),
-        lambda a, q: F.when(last.bitwiseAND(q) != 0, a.bitwiseXOR(q - 1)).otherwise(a),
-    )
-    curve = F.transform(gray, lambda v: v.bitwiseXOR(flip))
     places = F.array(
         *[
             F.struct(F.lit(b).alias("b"), F.lit(i).alias("i"))
@@ -66,11 +54,37 @@ def hilbert_index(steps: Column, bits: int, dimensions: int) -> Column:
             for i in range(dimensions)
         ]
     )
-    return F.aggregate(
-        places,
-        F.lit(0).cast("long"),
-        lambda a, p: a * 2
-        + F.pmod(F.call_function("shiftright", F.get(curve, p["i"]), p["b"]), F.lit(2)),
+    lower = F.array(*[F.lit(1 << b) for b in range(bits - 1, 0, -1)] or [F.lit(0)])
+
+    def gray_code(x: Column) -> Column:
+        return F.transform(
+            x, lambda _, k: F.aggregate(F.slice(x, 1, k + 1), F.lit(0), lambda a, v: a.bitwiseXOR(v))
+        )
+
+    def flip(x: Column) -> Column:
+        last = F.get(x, F.lit(dimensions - 1))
+        return F.aggregate(
+            lower,
+            F.lit(0),
+            lambda a, q: F.when(last.bitwiseAND(q) != 0, a.bitwiseXOR(q - 1)).otherwise(a),
+        )
+
+    def interleaved(x: Column) -> Column:
+        return F.aggregate(
+            places,
+            F.lit(0).cast("long"),
+            lambda a, p: a * 2 + F.pmod(F.call_function("shiftright", F.get(x, p["i"]), p["b"]), F.lit(2)),
+        )
+
+    turned = F.aggregate(moves, steps, move) if bits > 1 else steps
+    return let(
+        turned,
+        lambda t: let(
+            gray_code(t),
+            lambda g: let(
+                flip(g), lambda f: let(F.transform(g, lambda v: v.bitwiseXOR(f)), interleaved)
+            ),
+        ),
     )
 
 
@@ -117,14 +131,17 @@ def assign(
     placed = rows.withColumn("steps", F.array(*quantised(rows, ("size", *numbers), words, bits)))
     counted = placed.groupBy("steps").agg(F.count("*").alias("n"))
     along = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
-    cells = counted.select(
-        "steps",
-        hilbert_index(F.col("steps"), bits, dimensions).alias("curve"),
-        F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-        "n",
+    # at most 2 ** (bits * dimensions) rows; written, so that the curve is computed once
+    cells = written(
+        counted.select(
+            "steps",
+            hilbert_index(F.col("steps"), bits, dimensions).alias("curve"),
+            F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+            "n",
+        ),
+        "shard-cells",
     ).withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
     total = rows.count()
-    # at most 2 ** (bits * dimensions) rows
     dealt = placed.join(F.broadcast(cells), "steps").withColumn(
         "block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.col("blocks")).cast("int")
     )
