@@ -36,9 +36,13 @@ def nan_to_null(name: str, dtype: T.DataType) -> Column:
     return c
 
 
+# the last extension of a name; dots at the start of a name begin none
+_EXTENSION = r"(?s)^(.*[^/.]\.*)\.[^./]*$"
+
+
 def index_from_object_key(key: Column) -> Column:
     """Index name of a URL-encoded object key: decoded, last extension removed."""
-    return F.regexp_replace(F.url_decode(key), r"(?<=[^/.]\.{0,64})\.[^./]*$", "")
+    return F.regexp_replace(F.url_decode(key), _EXTENSION, "$1")
 
 
 def index_from_file_path(path: Column, root: str | None = None) -> Column:
@@ -54,5 +58,5 @@ def index_from_file_path(path: Column, root: str | None = None) -> Column:
         relative = F.when(
             F.startswith(decoded, F.lit(prefix + "/")), F.substring(decoded, len(prefix) + 2, 1 << 30)
         ).otherwise(decoded)
-        return F.regexp_replace(relative, r"(?<=[^/.]\.{0,64})\.[^./]*$", "")
+        return F.regexp_replace(relative, _EXTENSION, "$1")
     return index_from_object_key(F.replace(path, F.lit("+"), F.lit("%2B")))

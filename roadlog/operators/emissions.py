@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from roadlog.functions.columns import convert_units
+from roadlog.functions.columns import convert_units, nan_to_null
 from roadlog.operators.relational import full_outer_on, union_named
 from roadlog.operators.rollups import drop_null_keys, rollup
 from roadlog.operators.wear import split_null_keys
 from roadlog.schemas import KM_PER_MILE
+from roadlog.workspace import written
 
 EMISSION_METRICS = ("consumptionKm", "co2Km")
 PER_MILE = {"consumptionMile": "consumptionKm", "co2Mile": "co2Km"}
@@ -58,11 +60,24 @@ def model_statistics(
     maxima: Sequence[str] = ("mph",),
     null_key_mode: str = "keep",
     nan_as_null: bool = False,
+    stage: Callable[[DataFrame], DataFrame] = written,
 ) -> dict[str, DataFrame]:
-    """``{'avg': ..., 'max': ...}`` per model, as two frames."""
+    """``{'avg': ..., 'max': ...}`` per model, two frames of one aggregate.
+
+    ``stage`` computes it once.
+    """
     if null_key_mode == "drop":
         df = drop_null_keys(df, ["model"])
+
+    def value(metric: str) -> Column:
+        return nan_to_null(metric, df.schema[metric].dataType) if nan_as_null else F.col(metric)
+
+    both = stage(
+        df.groupBy("model").agg(
+            *[F.avg(value(m)).alias(f"avg_{m}") for m in averages], *[F.max(value(m)).alias(f"max_{m}") for m in maxima]
+        )
+    )
     return {
-        "avg": rollup(df, ["model"], averages, "avg", nan_as_null),
-        "max": rollup(df, ["model"], maxima, "max", nan_as_null),
+        "avg": both.select("model", *[F.col(f"avg_{m}").alias(m) for m in averages]),
+        "max": both.select("model", *[F.col(f"max_{m}").alias(m) for m in maxima]),
     }

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 _AS_OBJECT = "try_cast({v} AS MAP<STRING, VARIANT>)"
 _AS_LIST = "try_cast({v} AS ARRAY<VARIANT>)"
 
-MAX_DEPTH = 16
 
 
 def _as_variant(df: DataFrame, col: str) -> Column:
@@ -24,6 +23,21 @@ def _as_variant(df: DataFrame, col: str) -> Column:
     return F.try_parse_json(F.col(col))
 
 
+# SQL text: patterns of a JSON string, and of everything but brackets
+_STRING = r"""r'"(?:[^"\\]|\\[\s\S])*+"'"""
+_NO_BRACKET = r"""r'[^{}\[\]]'"""
+
+
+def _depth(text: str) -> str:
+    """SQL text: how deep a JSON text nests.  Only brackets outside of strings count."""
+    brackets = f"regexp_replace(regexp_replace({text}, {_STRING}, ''), {_NO_BRACKET}, '')"
+    move = "CASE WHEN b IN ('{', '[') THEN 1 WHEN b IN ('}', ']') THEN -1 ELSE 0 END"
+    return (
+        f"aggregate(split({brackets}, ''), named_struct('at', 0, 'most', 0), "
+        f"(a, b) -> named_struct('at', a.at + {move}, 'most', greatest(a.most, a.at + {move})), a -> a.most)"
+    )
+
+
 def _open_level(nodes: str, into_lists: bool, keep_objects: bool) -> str:
     """SQL text: the array ``nodes`` with every open container replaced by its members.
 
@@ -53,13 +67,11 @@ def _open_level(nodes: str, into_lists: bool, keep_objects: bool) -> str:
     return f"CASE WHEN exists({nodes}, n -> NOT n.done) THEN flatten(transform({nodes}, n -> {step})) ELSE {nodes} END"
 
 
-def _nodes(
-    df: DataFrame, doc: Column, max_depth: int, into_lists: bool, keep_objects: bool
-) -> DataFrame:
+def _nodes(df: DataFrame, doc: Column, into_lists: bool, keep_objects: bool) -> DataFrame:
     """Add ``_nodes``: all nodes of each document, found level by level.
 
-    The work stays inside the row (no shuffle, one scan); a document nested
-    deeper than ``max_depth`` fails the job instead of being cut short.
+    The work stays inside the row (no shuffle, one scan), and takes as many levels
+    as the document has.
     """
     df = df.withColumn(
         "_nodes",
@@ -72,41 +84,29 @@ def _nodes(
         ),
     )
     opened = _open_level("nodes", into_lists, keep_objects)
-    df = df.withColumn(
-        "_nodes", F.expr(f"aggregate(sequence(1, {max_depth}), _nodes, (nodes, level) -> {opened})")
-    )
-    # scalars reached by the last pass are still marked open
-    still_open = (
-        "exists(_nodes, n -> NOT n.done AND ("
-        + _AS_OBJECT.format(v="n.value")
-        + " IS NOT NULL"
-        + (
-            f" OR exists({_AS_LIST.format(v='n.value')}, x -> {_AS_OBJECT.format(v='x')} IS NOT NULL)"
-            if into_lists
-            else ""
-        )
-        + "))"
-    )
-    too_deep = F.raise_error(F.lit(f"document is nested deeper than {max_depth} levels"))
+    depth = f"greatest(1, coalesce({_depth('to_json(_nodes[0].value)')}, 1))"
     return df.withColumn(
-        "_nodes",
-        F.when(F.expr(still_open), too_deep.cast(df.schema["_nodes"].dataType)).otherwise(F.col("_nodes")),
+        "_nodes", F.expr(f"aggregate(sequence(1, {depth}), _nodes, (nodes, level) -> {opened})")
     )
 
 
 def _dotted(nodes: str, value: str = "n.value") -> Column:
     """Nodes with their path as dotted text; of equal paths the last one stays."""
     pairs = f"transform({nodes}, n -> named_struct('path', array_join(n.path, '.'), 'value', {value}))"
+    # the places of the last of each path: sorted by path and place, the next has another path
+    places = "array_sort(transform(pairs, (p, i) -> named_struct('path', p.path, 'i', i)))"
+    last = (
+        f"array_sort(transform(filter(transform(array({places}), s -> "
+        "transform(s, (p, k) -> named_struct('i', p.i, 'last', get(s, k + 1).path IS DISTINCT FROM p.path)))[0], "
+        "p -> p.last), p -> p.i))"
+    )
     return F.expr(
-        f"CASE WHEN size(array_distinct(transform({nodes}, n -> array_join(n.path, '.')))) = size({nodes}) "
-        f"THEN {pairs} ELSE "
-        f"filter({pairs}, (p, i) -> NOT exists(slice({pairs}, i + 2, size({nodes})), q -> q.path = p.path)) END"
+        f"transform(array({pairs}), pairs -> CASE WHEN size(array_distinct(transform(pairs, p -> p.path))) = size(pairs) "
+        f"THEN pairs ELSE transform({last}, i -> pairs[i]) END)[0]"
     )
 
 
-def flatten_json(
-    df: DataFrame, col: str, id_cols: Sequence[str] = (), max_depth: int = MAX_DEPTH
-) -> DataFrame:
+def flatten_json(df: DataFrame, col: str, id_cols: Sequence[str] = ()) -> DataFrame:
     """Long form of nested documents: ``(*id_cols, path, value VARIANT)``.
 
     Objects become dotted paths.  A list with at least one object directly in
@@ -114,16 +114,16 @@ def flatten_json(
     nothing, empty lists and nulls are kept, a bare scalar has the path ``""``.
     ``col`` is a VARIANT, or text of which undecodable rows give nothing.
     """
-    opened = _nodes(df, _as_variant(df, col), max_depth, into_lists=True, keep_objects=False)
+    opened = _nodes(df, _as_variant(df, col), into_lists=True, keep_objects=False)
     # outer: a plain generator makes Spark test the array beforehand, which
     # would open each document a second time
     pairs = opened.withColumn("_pairs", _dotted("_nodes")).select(*id_cols, F.inline_outer("_pairs"))
     return pairs.filter(F.col("value").isNotNull())
 
 
-def flatten_wide(df: DataFrame, col: str, paths: Sequence[str], max_depth: int = MAX_DEPTH) -> DataFrame:
+def flatten_wide(df: DataFrame, col: str, paths: Sequence[str]) -> DataFrame:
     """Add one text column per wanted flattened path (scalars bare, lists as JSON)."""
-    opened = _nodes(df, _as_variant(df, col), max_depth, into_lists=True, keep_objects=False)
+    opened = _nodes(df, _as_variant(df, col), into_lists=True, keep_objects=False)
     flat = opened.withColumn("_flat", F.map_from_entries(_dotted("_nodes", variant_text("n.value"))))
     return flat.select(*df.columns, *[F.try_element_at("_flat", F.lit(p)).alias(p) for p in paths])
 
@@ -211,13 +211,13 @@ _TYPE_NAME = (
 )
 
 
-def schema_profile(df: DataFrame, col: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def schema_profile(df: DataFrame, col: str) -> DataFrame:
     """``(path, type, n)``: how often each object member has which type.
 
     Lists are not looked into.  Types carry Python's names.
     """
     opened = _nodes(
-        df.select(_as_variant(df, col).alias("_doc")), F.col("_doc"), max_depth, into_lists=False, keep_objects=True
+        df.select(_as_variant(df, col).alias("_doc")), F.col("_doc"), into_lists=False, keep_objects=True
     )
     members = opened.select(F.inline_outer("_nodes")).filter(F.size("path") > 0)
     return (
@@ -228,12 +228,12 @@ def schema_profile(df: DataFrame, col: str, max_depth: int = MAX_DEPTH) -> DataF
     )
 
 
-def extract_schema(df: DataFrame, col: str, name: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def extract_schema(df: DataFrame, col: str, name: str) -> DataFrame:
     """Add ``schema``: per document ``{"name", "fields": [{"name", "type", "fields"?}]}`` as JSON text.
 
     Members are listed in key order; a document without members has no fields.
     """
-    opened = _nodes(df, _as_variant(df, col), max_depth, into_lists=False, keep_objects=True)
+    opened = _nodes(df, _as_variant(df, col), into_lists=False, keep_objects=True)
     # The nodes come parents first, so one pass can write the nested text: the
     # depth of the following node tells whether fields open, go on or close.
     members = opened.withColumn(
@@ -277,8 +277,12 @@ def _column_sql(df: DataFrame, col: str) -> str:
 
 
 def _json_ready(c: Column, dtype: T.DataType) -> Column:
+    """The value as it is to be written, at any depth of structs, lists and maps."""
     if isinstance(dtype, T.DecimalType):
         return c.cast("double")
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        # JSON has no such numbers
+        return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         # the fraction is written only where there is one
         fraction = F.date_format(c, ".SSSSSS")
@@ -288,11 +292,19 @@ def _json_ready(c: Column, dtype: T.DataType) -> Column:
             F.when(fraction == ".000000", "").otherwise(fraction),
             zone,
         )
+    if isinstance(dtype, T.StructType):
+        fields = [_json_ready(c.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(c.isNotNull(), F.struct(*fields)) if fields else c
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: _json_ready(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(c, lambda _, v: _json_ready(v, dtype.valueType))
     return c
 
 
 def row_json(df: DataFrame, cols: Sequence[str] | None = None, keep_nulls: bool = False) -> Column:
-    """JSON text of a row.  Dates and times are ISO text, decimals are numbers.
+    """JSON text of a row.  Dates and times are ISO text, decimals are numbers, NaN and
+    infinities are null; values inside structs, lists and maps are written like others.
 
     Null fields are left out unless ``keep_nulls``.
     """
@@ -317,12 +329,12 @@ def rows_to_json(df: DataFrame, cols: Sequence[str] | None = None, keep_nulls: b
 # --- members of objects -------------------------------------------------------
 
 
-def object_members(df: DataFrame, col: str, id_cols: Sequence[str], max_depth: int = MAX_DEPTH) -> DataFrame:
+def object_members(df: DataFrame, col: str, id_cols: Sequence[str]) -> DataFrame:
     """``(*id_cols, path ARRAY<STRING>, value STRING)``: the innermost members of objects.
 
     Lists stay whole; an empty object is a member with the value ``{}``.
     """
-    opened = _nodes(df, F.col(col), max_depth, into_lists=False, keep_objects=True)
+    opened = _nodes(df, F.col(col), into_lists=False, keep_objects=True)
     inner = F.expr(
         "filter(transform(filter(_nodes, n -> size(n.path) > 0), "
         "n -> named_struct('path', n.path, 'value', to_json(n.value))), "

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlog.operators.nested import schema_profile
@@ -26,13 +26,16 @@ def _sort_columns(df: DataFrame, sort: Sequence[str | Column]) -> list[Column]:
             columns.append(item)
             continue
         name, _, direction = item.partition(":")
-        if direction not in ("", "asc", "desc"):
-            raise ValueError(f"unknown sort direction: {item}")
-        c = F.col(name)
-        columns.append(c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last())
+        columns.append(_directed(F.col(name), item, direction))
     return columns
 
 
+def _directed(c: Column, item: str, direction: str) -> Column:
+    if direction not in ("", "asc", "desc"):
+        raise ValueError(f"unknown sort direction: {item}")
+    return c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last()
+
+
 def scan_documents(
     docs: DataFrame,
     predicate: Predicate = None,
@@ -85,16 +88,46 @@ class Search:
 def multi_search(docs: DataFrame, searches: Mapping[str, Search]) -> DataFrame:
     """The pages of several searches, each row tagged with ``search``.
 
-    Every search prunes and filters its own scan; columns that a search does
-    not show are null.
+    One scan serves all: a row is tagged with every search it matches and ranked
+    inside each (Spark keeps only the first ``offset + size`` of a task before the
+    shuffle).  Columns that a search does not show are null.
     """
-    pages = [
-        search_page(
-            docs, s.predicate, s.sort, s.offset, s.size, s.columns, s.exclude
-        ).select(F.lit(name).alias("search"), "*")
-        for name, s in searches.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
+
+    def matches(s: Search) -> Column:
+        if s.predicate is None:
+            return F.lit(True)
+        p = F.expr(s.predicate) if isinstance(s.predicate, str) else s.predicate
+        return F.coalesce(p, F.lit(False))
+
+    def shown(s: Search) -> list[str]:
+        return [c for c in (s.columns or docs.columns) if c not in s.exclude]
+
+    tags = F.array_compact(F.array(*[F.when(matches(s), F.lit(name)) for name, s in searches.items()]))
+    # within a search only its own sort columns differ from row to row
+    order = []
+    for name, s in searches.items():
+        for item in s.sort:
+            column, _, direction = item.partition(":")
+            own = F.when(F.col("search") == name, F.col(column))
+            order.append(_directed(own, item, direction))
+    rank = F.row_number().over(Window.partitionBy("search").orderBy(*order or [F.lit(0)]))
+    # a plain number first, so that the ranks can be limited before the shuffle
+    most = max(s.offset + s.size for s in searches.values())
+    tagged = docs.withColumn("search", F.explode(tags)).withColumn("_rank", rank).filter(F.col("_rank") <= most)
+    on_page = reduce(
+        lambda a, b: a | b,
+        [
+            (F.col("search") == name) & (F.col("_rank") > s.offset) & (F.col("_rank") <= s.offset + s.size)
+            for name, s in searches.items()
+        ],
+    )
+    columns = list(dict.fromkeys(c for s in searches.values() for c in shown(s)))
+
+    def visible(c: str) -> Column:
+        names = [name for name, s in searches.items() if c in shown(s)]
+        return F.when(F.col("search").isin(names), F.col(c)).alias(c)
+
+    return tagged.filter(on_page).select("search", *[visible(c) for c in columns])
 
 
 # --- lookups by id ------------------------------------------------------------

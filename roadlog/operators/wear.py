@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roadlog.operators.relational import aligned_subtract, full_outer_on
 from roadlog.operators.rollups import drop_null_keys, group_count, metric_column, rollup
 from roadlog.schemas import CALENDAR, HEALTH_METRICS, VEHICLE_DAY
+from roadlog.workspace import written
 
 NULL_KEY_MODES = ("keep", "split", "drop")
 
@@ -94,9 +95,9 @@ def _wear_columns(grouped: DataFrame, keys, metrics, suffix) -> DataFrame:
 
 
 def _wear_over_groups(df, keys, metrics, nan_as_null, suffix) -> DataFrame:
-    grouped = extremes(df, keys, metrics, nan_as_null)
-    # a scalar subquery over the key columns only
-    groups = df.select(*keys).distinct().agg(F.count("*")).scalar()
+    # computed once: the groups are counted in the aggregate that gives the wear
+    grouped = written(extremes(df, keys, metrics, nan_as_null), "extremes")
+    groups = grouped.agg(F.count("*")).scalar()
     return grouped.withColumn("_groups", groups).select(
         *keys,
         *[

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roadlog.operators.rollups import max_of_all, mean_of_numeric, vehicle_trace
 from roadlog.plans.common import Output
 from roadlog.schemas import CALENDAR, DAILY_METRICS, VEHICLE_DAY
+from roadlog.workspace import written
 
 
 def daily_aggregate(
@@ -30,16 +31,14 @@ def daily_summary(
     vehicle: object,
     keys: Sequence[str] = VEHICLE_DAY,
     metrics: Sequence[str] = DAILY_METRICS,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Callable[[DataFrame], DataFrame] = written,
 ) -> dict[str, Output]:
     """The four results of the daily summary.
 
     Three of them come from one aggregate over the table instead of one scan
-    each; ``stage`` (for example ``roadlog.workspace.written``) computes it once.
+    each; ``stage`` computes it once, however many sinks read it.
     """
-    daily = daily_aggregate(df, keys, metrics)
-    if stage is not None:
-        daily = stage(daily)
+    daily = stage(daily_aggregate(df, keys, metrics))
     total = daily.agg(F.sum("n")).scalar()
     braking = daily.filter(F.col("active") > 0).select(
         *keys,
@@ -56,11 +55,14 @@ def daily_summary(
 
 
 def daily_summary_all_columns(
-    df: DataFrame, vehicle: object, keys: Sequence[str] = VEHICLE_DAY
+    df: DataFrame,
+    vehicle: object,
+    keys: Sequence[str] = VEHICLE_DAY,
+    stage: Callable[[DataFrame], DataFrame] = written,
 ) -> dict[str, Output]:
     """The summary over every column instead of a metric list, as documents only."""
     return {
-        "car-avg": Output(mean_of_numeric(df, keys), keys, table=False),
-        "car-max": Output(max_of_all(df, keys), keys, table=False),
+        "car-avg": Output(stage(mean_of_numeric(df, keys)), keys, table=False),
+        "car-max": Output(stage(max_of_all(df, keys)), keys, table=False),
         "car-pos": Output(vehicle_trace(df, vehicle), ("id", "timestamp"), table=False),
     }

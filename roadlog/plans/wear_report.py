@@ -11,6 +11,7 @@ from roadlog.operators.rollups import drop_null_keys
 from roadlog.operators.wear import extremes, period_mean
 from roadlog.plans.common import Output
 from roadlog.schemas import CALENDAR, HEALTH_METRICS, VEHICLE_DAY
+from roadlog.workspace import written
 
 
 def wear_report(
@@ -19,7 +20,7 @@ def wear_report(
     metrics: Sequence[str] = HEALTH_METRICS,
     period: Sequence[str] = CALENDAR,
     raw_names: bool = False,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Callable[[DataFrame], DataFrame] = written,
 ) -> dict[str, Output]:
     """``wearing-parts-car`` and ``wearing-parts-decrease``.
 
@@ -27,9 +28,7 @@ def wear_report(
     values.  ``raw_names`` keeps aggregate names such as ``max(engineHealth)``
     in the table and ``avg(engineHealthDecrease)`` in the second result.
     """
-    per_car = extremes(df, keys, metrics)
-    if stage is not None:
-        per_car = stage(per_car)
+    per_car = stage(extremes(df, keys, metrics))
     wear = per_car.select(
         *keys,
         *[((F.col(f"max_{m}") - F.col(f"min_{m}")) / F.col("count")).alias(f"{m}Decrease") for m in metrics],
@@ -52,15 +51,13 @@ def wear_report_over_groups(
     keys: Sequence[str] = VEHICLE_DAY,
     metrics: Sequence[str] = HEALTH_METRICS,
     period: Sequence[str] = CALENDAR,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Callable[[DataFrame], DataFrame] = written,
 ) -> dict[str, Output]:
     """The variant that divides by the number of vehicle days, as documents only.
 
     Keys with a missing part are left out and NaN is skipped.
     """
-    per_car = extremes(drop_null_keys(df, keys), keys, metrics, nan_as_null=True)
-    if stage is not None:
-        per_car = stage(per_car)
+    per_car = stage(extremes(drop_null_keys(df, keys), keys, metrics, nan_as_null=True))
     groups = per_car.agg(F.count("*")).scalar()
     wear = per_car.withColumn("_groups", groups).select(
         *keys,

@@ -167,6 +167,44 @@ def wear_join_form(spark, folder):
     return wear.wear_rate_joined(tele_line(spark, folder), LINE_KEYS)
 
 
+_HOLES = "SELECT * REPLACE (CASE WHEN id % 4 <> 0 THEN id END AS id, CASE WHEN month % 3 <> 0 THEN month END AS month) FROM tele_line"
+
+
+@query(
+    f"""WITH {TELE_LINE}, holes AS ({_HOLES}),
+highs AS (SELECT id, year, month, {_each("max({m}) AS hi_{m}", HEALTH_METRICS)} FROM holes GROUP BY id, year, month),
+lows AS (SELECT id, year, month, {_each("min({m}) AS lo_{m}", HEALTH_METRICS)} FROM holes GROUP BY id, year, month),
+counts AS (SELECT id, year, month, count(*) AS n FROM holes GROUP BY id, year, month)
+SELECT id, year, month, {_each("(hi_{m} - lo_{m}) / n AS {m}Decrease", HEALTH_METRICS)}
+FROM highs FULL JOIN lows USING (id, year, month) FULL JOIN counts USING (id, year, month)"""
+)
+def wear_missing_keys_split(spark, folder):
+    """Missing ids and months, shown as a join of separate aggregates shows them."""
+    holes = tele_line(spark, folder).withColumns(
+        {"id": F.when(F.col("id") % 4 != 0, F.col("id")), "month": F.when(F.col("month") % 3 != 0, F.col("month"))}
+    )
+    return wear.wear_rate(holes, LINE_KEYS, null_key_mode="split")
+
+
+@query(
+    f"""WITH {TELE_LINE},
+highs AS (SELECT id, year, month, {_each("max({m}) AS hi_{m}", HEALTH_METRICS)} FROM tele_line
+  WHERE id % 3 <> 0 GROUP BY id, year, month),
+lows AS (SELECT id, year, month, {_each("min({m}) AS lo_{m}", HEALTH_METRICS)} FROM tele_line
+  WHERE month % 2 = 0 GROUP BY id, year, month)
+SELECT id, year, month, {_each("(coalesce(hi_{m}, 0) - coalesce(lo_{m}, 0)) / g.n AS {m}Decrease", HEALTH_METRICS)}
+FROM highs FULL JOIN lows USING (id, year, month), (SELECT count(*) AS n FROM highs) g"""
+)
+def wear_one_sided(spark, folder):
+    """Extremes of tables that cover different keys."""
+    rows = tele_line(spark, folder)
+    return wear.wear_from_extremes(
+        rollups.rollup(rows.filter("id % 3 <> 0"), LINE_KEYS, HEALTH_METRICS, "max"),
+        rollups.rollup(rows.filter("month % 2 = 0"), LINE_KEYS, HEALTH_METRICS, "min"),
+        LINE_KEYS,
+    )
+
+
 _WEAR_GROUPS = f"""wear AS (
   SELECT id, year, month, {_each("(max({m}) - min({m})) / g.n AS {m}Decrease", HEALTH_METRICS)}
   FROM tele_line, (SELECT count(*) AS n FROM (SELECT DISTINCT id, year, month FROM tele_line)) g

@@ -26,6 +26,82 @@ def conversation_docs(spark, folder):
     return turns.select("conv_id", "turn", F.to_json(doc).alias("doc"))
 
 
+def mixed_docs(spark, folder):
+    """Documents of several shapes: of every third conversation the turn is a text and
+    stands beside a flag that others lack, every fifth has no list."""
+    turns = table(spark, folder, "conversations")
+    third, fifth = F.col("conv_id") % 3 == 0, F.col("conv_id") % 5 == 0
+    plain = F.struct(F.struct("turn").alias("conv"), F.when(~fifth, F.array("role")).alias("tags"))
+    other = F.struct(
+        F.struct(F.col("turn").cast("string").alias("turn"), (F.length("text") > 50).alias("half")).alias("conv"),
+        F.when(~fifth, F.array("role")).alias("tags"),
+    )
+    return turns.select("conv_id", "turn", F.when(third, F.to_json(other)).otherwise(F.to_json(plain)).alias("doc"))
+
+
+@query(
+    """SELECT path, type, count(*) AS n FROM (
+  SELECT 'conv' AS path, 'dict' AS type FROM conversations
+  UNION ALL SELECT 'conv.turn', CASE WHEN conv_id % 3 = 0 THEN 'str' ELSE 'int' END FROM conversations
+  UNION ALL SELECT 'conv.half', 'bool' FROM conversations WHERE conv_id % 3 = 0
+  UNION ALL SELECT 'tags', 'list' FROM conversations WHERE conv_id % 5 <> 0)
+GROUP BY path, type"""
+)
+def schema_profile_mixed(spark, folder):
+    return nested.schema_profile(mixed_docs(spark, folder), "doc")
+
+
+@query(
+    """SELECT conv_id, turn, '{"name":"talk","fields":[{"name":"conv","type":"dict","fields":[' ||
+  CASE WHEN conv_id % 3 = 0 THEN '{"name":"half","type":"bool"},{"name":"turn","type":"str"}'
+    ELSE '{"name":"turn","type":"int"}' END || ']}' ||
+  CASE WHEN conv_id % 5 <> 0 THEN ',{"name":"tags","type":"list"}' ELSE '' END || ']}' AS schema FROM conversations"""
+)
+def extract_schema_mixed(spark, folder):
+    return nested.extract_schema(mixed_docs(spark, folder), "doc", "talk").drop("doc")
+
+
+@query(
+    """SELECT CASE WHEN count(*) FILTER (WHERE conv_id % 3 = 0) > 0 AND count(*) FILTER (WHERE conv_id % 3 <> 0) > 0
+  AND count(*) FILTER (WHERE conv_id % 5 <> 0) > 0
+  THEN 'OBJECT<conv: OBJECT<half: BOOLEAN, turn: VARIANT>, tags: ARRAY<STRING>>' END AS schema FROM conversations"""
+)
+def merged_schema_mixed(spark, folder):
+    return nested.merged_schema(mixed_docs(spark, folder), "doc")
+
+
+@query(
+    """SELECT field, type, string_agg(idx, ',' ORDER BY idx) AS indices FROM (
+  SELECT DISTINCT 'third' AS idx, 'conv.turn' AS field, 'str' AS type FROM conversations WHERE conv_id % 3 = 0
+  UNION ALL SELECT DISTINCT 'others', 'conv.turn', 'int' FROM conversations WHERE conv_id % 3 <> 0
+  UNION ALL SELECT DISTINCT 'third', 'conv.half', 'bool' FROM conversations WHERE conv_id % 3 = 0
+  UNION ALL SELECT DISTINCT 'third', 'tags', 'list' FROM conversations WHERE conv_id % 3 = 0 AND conv_id % 5 <> 0
+  UNION ALL SELECT DISTINCT 'others', 'tags', 'list' FROM conversations WHERE conv_id % 3 <> 0 AND conv_id % 5 <> 0
+  UNION ALL SELECT DISTINCT CASE WHEN conv_id % 3 = 0 THEN 'third' ELSE 'others' END, 'conv', 'dict' FROM conversations
+) GROUP BY field, type"""
+)
+def field_caps_mixed(spark, folder):
+    docs = mixed_docs(spark, folder)
+    third = F.col("conv_id") % 3 == 0
+    caps = search.field_caps(
+        search.observed_fields(docs.filter(third), "doc", "third"),
+        search.observed_fields(docs.filter(~third), "doc", "others"),
+    )
+    return caps.withColumn("indices", F.array_join("indices", ","))
+
+
+@query(
+    """SELECT event_id, repeat('k.', 39) || 'k' AS path, CAST(user_id AS VARCHAR) AS value FROM events
+UNION ALL SELECT event_id, 'k.beside', event_type FROM events"""
+)
+def json_flatten_deep(spark, folder):
+    """Documents of forty levels."""
+    rows = table(spark, folder, "events")
+    doc = F.concat(F.lit('{"k":{"beside":"'), "event_type", F.lit('",'), F.lit('"k":{' * 38 + '"k":'), "user_id", F.lit("}" * 40))
+    flat = nested.flatten_json(rows.select("event_id", doc.alias("doc")), "doc", ["event_id"])
+    return flat.withColumn("value", F.expr(nested.variant_text("value")))
+
+
 # (path, SQL of its text) of every leaf of such a document
 _LEAVES = {
     "conv.id": "CAST(conv_id AS VARCHAR)",

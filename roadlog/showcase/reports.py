@@ -20,14 +20,14 @@ from roadlog.showcase.views import (
     tele_line,
     usa_fleet,
 )
-from roadlog.workspace import new_folder, written
+from roadlog.workspace import new_folder
 
 _KEYS = ", ".join(VEHICLE_DAY)
 _DAY = ", ".join(CALENDAR)
 
 
 def _summary(spark, folder):
-    return daily_summary.daily_summary(tele_events(spark, folder), TRACED, VEHICLE_DAY, EVENT_METRICS, written)
+    return daily_summary.daily_summary(tele_events(spark, folder), TRACED, VEHICLE_DAY, EVENT_METRICS)
 
 
 def _stored(spark, outputs, name):
@@ -37,6 +37,21 @@ def _stored(spark, outputs, name):
     return spark.read.parquet(f"{path}/tables/{name}")
 
 
+def _documents(spark, outputs, name):
+    """``(_id, source)`` of the output's bulk file, its lines paired again."""
+    path = new_folder(spark, "report")
+    write_outputs({name: outputs[name]}, bulk=f"{path}/bulk")
+    pairs = spark.read.text(f"{path}/bulk/{name}", lineSep='{"index"').filter("value != ''")
+    lines = F.split("value", "\n")
+    return pairs.select(
+        F.get_json_object(F.concat(F.lit('{"index"'), lines[0]), "$.index._id").alias("_id"), lines[1].alias("source")
+    )
+
+
+def _field(name: str, dtype: str):
+    return F.get_json_object("source", f"$.{name}").cast(dtype).alias(name)
+
+
 def _grouped(fn: str) -> str:
     metrics = ", ".join(f"{fn}({m}) AS {m}" for m in EVENT_METRICS)
     return f"WITH {TELE_EVENTS} SELECT {_KEYS}, {metrics} FROM tele_events GROUP BY {_KEYS}"
@@ -76,13 +91,42 @@ def report_all_columns(spark, folder):
     return outputs["car-avg"].rows.withColumns({c: F.round(c, 6) for c in ("lat", "lon")})
 
 
+_EVENT_ID = "id || '|' || year || '|' || month || '|' || day AS _id"
+
+
+@query(
+    f"""WITH {TELE_EVENTS} SELECT {_EVENT_ID}, avg(kmh) AS kmh, round(avg(lat), 6) AS lat FROM tele_events
+GROUP BY {_KEYS}"""
+)
+def report_all_columns_bulk(spark, folder):
+    """The means as they stand in the bulk file."""
+    outputs = daily_summary.daily_summary_all_columns(tele_events(spark, folder), TRACED)
+    docs = _documents(spark, outputs, "car-avg").select("_id", _field("kmh", "double"), _field("lat", "double"))
+    return docs.withColumn("lat", F.round("lat", 6))
+
+
+@query(
+    f"""WITH {TELE_EVENTS} SELECT {_EVENT_ID}, max(model) AS model, max(kmh) AS kmh, max(timestamp) AS timestamp
+FROM tele_events GROUP BY {_KEYS}"""
+)
+def report_all_columns_max_bulk(spark, folder):
+    outputs = daily_summary.daily_summary_all_columns(tele_events(spark, folder), TRACED)
+    docs = _documents(spark, outputs, "car-max")
+    return docs.select("_id", _field("model", "string"), _field("kmh", "double"), _field("timestamp", "long"))
+
+
+@query(f"WITH {TELE_EVENTS} SELECT id || '|' || timestamp AS _id, lat FROM tele_events WHERE id = {TRACED}")
+def report_trace_bulk(spark, folder):
+    outputs = daily_summary.daily_summary_all_columns(tele_events(spark, folder), TRACED)
+    return _documents(spark, outputs, "car-pos").select("_id", _field("lat", "double"))
+
 def _health(fmt: str) -> str:
     return ", ".join(fmt.format(m=m) for m in HEALTH_METRICS)
 
 
 @query(f"WITH {TELE_LINE} SELECT {_KEYS}, {_health('max({m}) AS {m}')} FROM tele_line GROUP BY {_KEYS}")
 def report_wear_car(spark, folder):
-    return wear_report.wear_report(tele_line(spark, folder), stage=written)["wearing-parts-car"].rows
+    return wear_report.wear_report(tele_line(spark, folder))["wearing-parts-car"].rows
 
 
 @query(f"WITH {TELE_LINE} SELECT {_KEYS}, {_health('min({m}) AS {m}')} FROM tele_line GROUP BY {_KEYS}")
@@ -98,7 +142,7 @@ _MONTHLY = ", ".join(f"(max({m}) - min({m})) / count(*) AS {m}" for m in HEALTH_
 SELECT year, month, {_health("round(avg({m}), 4) AS {m}Decrease")} FROM wear GROUP BY year, month"""
 )
 def report_wear_decrease(spark, folder):
-    report = wear_report.wear_report(tele_line(spark, folder), LINE_KEYS, period=("year", "month"), stage=written)
+    report = wear_report.wear_report(tele_line(spark, folder), LINE_KEYS, period=("year", "month"))
     out = _stored(spark, report, "wearing-parts-decrease")
     return out.withColumns({f"{m}Decrease": F.round(f"{m}Decrease", 4) for m in HEALTH_METRICS})
 
@@ -113,7 +157,7 @@ wear AS (SELECT {_KEYS}, {_OVER_GROUPS} FROM tele_line, groups g GROUP BY {_KEYS
 SELECT {_DAY}, {_health("round(avg({m}), 6) AS {m}")} FROM wear GROUP BY {_DAY}"""
 )
 def report_wear_over_groups(spark, folder):
-    out = wear_report.wear_report_over_groups(tele_line(spark, folder), stage=written)["wearing-parts-decrease"].rows
+    out = wear_report.wear_report_over_groups(tele_line(spark, folder))["wearing-parts-decrease"].rows
     return out.withColumns({m: F.round(m, 6) for m in HEALTH_METRICS})
 
 
@@ -130,9 +174,13 @@ def report_emission(spark, folder):
 
 @query(f"WITH {FLEETS} SELECT model, avg(consumptionMile) AS consumptionMile FROM usa GROUP BY model")
 def report_model_avg(spark, folder):
-    return fleet_reports.model_report(usa_fleet(spark, folder))["mile-avg-usa"].rows
+    outputs = fleet_reports.model_report(usa_fleet(spark, folder))
+    docs = _documents(spark, outputs, "mile-avg-usa")
+    return docs.select(F.col("_id").alias("model"), _field("consumptionMile", "double"))
 
 
 @query(f"WITH {FLEETS} SELECT model, max(mph) AS mph FROM usa GROUP BY model")
 def report_model_max(spark, folder):
-    return fleet_reports.model_report(usa_fleet(spark, folder))["mph-max-usa"].rows
+    outputs = fleet_reports.model_report(usa_fleet(spark, folder))
+    docs = _documents(spark, outputs, "mph-max-usa")
+    return docs.select(F.col("_id").alias("model"), _field("mph", "double"))

@@ -17,6 +17,34 @@ from roadlog.sinks import tables
 from roadlog.sources import files
 
 
+def test_quoted_csv(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('n,s\n1,"say ""hi"", ok"\n2,"two\nlines"\n3,plain\n')
+    got = rows(files.read_csv(spark, str(tmp_path / "q.csv"), "n int, s string"), "n")
+    assert [(r["n"], r["s"]) for r in got] == [(1, 'say "hi", ok'), (2, "two\nlines"), (3, "plain")]
+    (tmp_path / "bad.csv").write_text("n,s\nx,y\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(tmp_path / "bad.csv"), "n int, s string").collect()
+
+
+def test_json_lines_with_rejects(spark, tmp_path):
+    (tmp_path / "l").write_text('{"a":1,"b":2}\n{"a":"x","b":3}\n{oops\n\n[1]\n{"b":4}\n')
+    checked = files.checked_json_lines(spark, str(tmp_path / "l"), "a long, b long")
+    assert [(r["a"], r["b"]) for r in rows(checked.rows, "b")] == [(1, 2), (None, 3), (None, 4)]
+    for columns in (["a"], ["b"], ["a", "b"]):
+        assert len(checked.rows.select(*columns).collect()) == checked.rows.count() == 3
+    reasons = {r["value"]: r["reason"] for r in rows(checked.rejects)}
+    assert reasons == {'{"a":"x","b":3}': "schema mismatch", "{oops": "malformed", "[1]": "malformed"}
+    assert files.read_any(spark, str(tmp_path / "l"), "json_lines").count() == 3
+
+
+def test_summary_reads_its_table_once(spark, tmp_path):
+    table = spark.createDataFrame([("a", 1)], "id string, v int")
+    outputs = daily_summary.daily_summary_all_columns(table.selectExpr("*", "1 as year", "2 as month", "3 as day", "4L as timestamp", "0d as lat", "0d as lon"), "a")
+    plan = outputs["car-max"].rows._jdf.queryExecution().executedPlan().toString()
+    # what the sinks read is a table, not the aggregate
+    assert "FileScan" in plan and "Aggregate" not in plan
+
+
 def test_formats(spark, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, "é")], "n int, s string")
     df.write.csv(f"{tmp_path}/csv", header=True)
@@ -115,6 +143,9 @@ def test_calendar(spark):
         ("a/.hidden.txt", "a/.hidden"),
         ("a..b", "a."),
         ("..a", "..a"),
+        ("a" + "." * 70 + "txt", "a" + "." * 69),
+        ("a/" + "." * 70 + "txt", "a/" + "." * 70 + "txt"),
+        ("two%0Alines.txt", "two\nlines"),
     ],
 )
 def test_index_names(spark, key, index):
@@ -177,7 +208,7 @@ def test_ingest(spark, ingested):
 def test_summary_outputs(spark, ingested):
     root, _ = ingested
     table = files.read_table(spark, f"{root}/table", schemas.EU_TABLE)
-    outputs = daily_summary.daily_summary(table, "a", stage=workspace.written)
+    outputs = daily_summary.daily_summary(table, "a")
     write_outputs(outputs, f"{root}/out", f"{root}/bulk")
     avg = {r["id"]: r["kmh"] for r in rows(spark.read.parquet(f"{root}/out/car-avg"))}
     assert avg == {"a": 15.0, "b": 30.0}

@@ -38,10 +38,18 @@ def test_clash_keeps_one(spark):
     assert flat(spark, '{"a":{"b":2},"a.b":1}') == {0: [("a.b", 1)]}
 
 
-def test_too_deep_fails(spark):
-    assert dict(flat(spark, '{"a":{"b":1}}', max_depth=2)[0]) == {"a.b": 1}
-    with pytest.raises(Exception, match="nested deeper than 1"):
-        flat(spark, '{"a":{"b":1}}', max_depth=1)
+def test_any_depth(spark):
+    doc, path = 7, []
+    for level in range(60):
+        doc = {f"k{level}": doc, "t": 'a "{[" text'} if level % 2 else {f"k{level}": [doc, {"x": level}]}
+    got = dict(flat(spark, json.dumps(doc), '{"a":1}')[0])
+    assert got == dict(leaves(doc)) and len(got) > 60
+
+
+def test_many_clashes(spark):
+    doc = {"a": {str(i): {"b": i} for i in range(300)}, **{f"a.{i}.b": -i for i in range(0, 300, 3)}}
+    got = dict(flat(spark, json.dumps(doc))[0])
+    assert len(got) == 300 and set(got) == {f"a.{i}.b" for i in range(300)}
 
 
 def leaves(value, at=()):
@@ -149,6 +157,19 @@ def test_field_caps(spark):
 
 
 def test_documents_are_opened_once(spark):
-    plan = nested.flatten_json(texts(spark, EXAMPLE), "doc", ["n"], max_depth=2)
+    plan = nested.flatten_json(texts(spark, EXAMPLE), "doc", ["n"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("parseJson") == 1 and "Exchange" not in text
+
+
+def test_values_are_written_alike_at_any_depth(spark):
+    value = "1.50bd as d, timestamp'2021-08-06 07:00:00' as t, timestamp_ntz'2021-08-06 07:00:00.25' as n, double('NaN') as x"
+    df = spark.sql(
+        f"select {value}, named_struct('in', struct({value})) as s, array(struct({value}), null) as l, "
+        f"map('k', struct({value})) as m, float('inf') as i, cast(null as struct<a: int>) as none"
+    )
+    flat_values = {"d": 1.5, "t": "2021-08-06T07:00:00+00:00", "n": "2021-08-06T07:00:00.250000"}
+    got = json.loads(df.select(nested.row_json(df).alias("v")).first().v)
+    assert got == {
+        **flat_values, "s": {"in": flat_values}, "l": [flat_values, None], "m": {"k": flat_values},
+    }
