@@ -25,9 +25,10 @@ RUNTIME_CONF = {
 
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
-    """Set the engine defaults on an existing session and return it."""
+    """Set the engine defaults on an existing session, where it has others, and return it."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -174,7 +174,8 @@ def _two_indices(spark, folder, path):
         _uploaded(spark, path, rows.filter(part), name, ["seq"])
 
 
-_LAST_KEY = F.get_json_object("source", "$.o_orderkey").cast("long").alias("last_key")
+def _last_key():
+    return F.get_json_object("source", "$.o_orderkey").cast("long").alias("last_key")
 
 
 @query(
@@ -188,7 +189,7 @@ def upload_same_id_two_indices(spark, folder):
     """Documents of different indices do not replace each other."""
     path = new_folder(spark, "indices")
     _two_indices(spark, folder, path)
-    return documents.current_documents(spark, f"{path}/log").select("_index", "_id", _LAST_KEY)
+    return documents.current_documents(spark, f"{path}/log").select("_index", "_id", _last_key())
 
 
 @query(
@@ -201,4 +202,4 @@ def compacted_by_index(spark, folder):
     path = new_folder(spark, "indices")
     _two_indices(spark, folder, path)
     documents.compact_documents(spark, f"{path}/log", f"{path}/base", first=True, trim=True)
-    return documents.current_documents(spark, f"{path}/log", f"{path}/base", "F").select("_index", "_id", _LAST_KEY)
+    return documents.current_documents(spark, f"{path}/log", f"{path}/base", "F").select("_index", "_id", _last_key())

@@ -1,5 +1,9 @@
 """Every query against its SQL on the smallest tables, and plan checks."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from oracle import compare, connect
 
@@ -27,5 +31,10 @@ def test_byte_chunks_are_whole(spark, small):
     assert all(r.bytes <= 8192 and r.n <= 500 for r in got)
 
 
+def test_import_needs_no_session():
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(__file__)))
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
