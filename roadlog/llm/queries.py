@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +45,8 @@ def later_half(id_col: str = "doc_id") -> Column:
 
 
 def default_codec(spark: SparkSession) -> bpe.Codec:
+    import public_tokenizers  # only the two queries that encode need its files
+
     return bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
