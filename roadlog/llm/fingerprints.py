@@ -1,8 +1,7 @@
 """Fingerprints of documents that can be subtracted: invertible Bloom lookup sketches.
 
 A text is a set of paragraphs: its lines, longer ones cut after ``WORDS`` words.
-Each paragraph has a 64-bit digest, and a sketch of three tables of ``size``
-cells; a digest falls into one cell of each table, and a cell holds how many
+Each paragraph has a 64-bit digest.  A sketch has three tables of cells; a digest falls into one cell of each table, and a cell holds how many
 digests fell into it, their exclusive or, and the exclusive or of their check
 values.  Two sketches subtract cell by cell, and what both texts have cancels.
 Peeling reads the rest: a cell with one digest left shows it, the digest is taken
@@ -11,8 +10,8 @@ sketches are too small for the difference and are made again four times larger
 from the digests.  The recovered digests say how much the versions differ.
 
 All of it is higher-order functions over arrays in the row: no shuffle, work in
-proportion to the paragraphs (cells are filled by way of groups of 16, so that a
-large sketch does not look at every digest for every cell).
+proportion to the paragraphs but for the way through groups of cells (a large
+sketch does not look at every digest for every cell).
 """
 
 from __future__ import annotations
@@ -20,19 +19,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlog.llm.common import texts
+from roadlog.llm.common import let, texts
 from roadlog.workspace import written
 
 WORDS = 32
-# cells of a table in the stored fingerprint, and in the first attempt at a difference
-SIZE = 8
-GROUP_BITS = 4
-GROUP = 1 << GROUP_BITS
+# a table of the stored fingerprint, and of the first attempt at a difference, has 2 ** BITS cells
+BITS = 3
+# a digest has so many bits for its cell in each table
 _HASH_BITS = 20
 # attempts, each four times larger; what even the last cannot hold is compared as sets
 ATTEMPTS = 9
 
 
+def _shift(name: str, value: Column, by: Column) -> Column:
+    return F.call_function(name, value, by)
+
+
 def digests(text: Column | str) -> Column:
     """The distinct digests of the paragraphs of a text, an array of longs."""
     # fixed form: up to WORDS words, the blanks after them, not past the end of the line
@@ -42,47 +44,95 @@ def digests(text: Column | str) -> Column:
     return F.array_distinct(F.transform(paragraphs, lambda p: F.xxhash64(p)))
 
 
-def _place(digest: Column, table: int, size: Column) -> Column:
-    """Cell of a digest in one of the three tables; sizes are powers of two."""
-    return F.shiftrightunsigned(digest, _HASH_BITS * table).bitwiseAND(size - 1)
+def layout(bits: Column) -> Column:
+    """The measures of three tables of ``2 ** bits`` cells, to be bound once by ``let``:
+    cells in a table, in a group, groups in a table, and the shift from cell to group.
+    A group has about the square root of a table."""
+    width = F.floor((bits + 1) / 2).cast("int")
+    return F.struct(
+        _shift("shiftleft", F.lit(1), bits).alias("cells"),
+        _shift("shiftleft", F.lit(1), width).alias("per_group"),
+        _shift("shiftleft", F.lit(1), bits - width).alias("groups"),
+        width.alias("width"),
+    )
 
 
-def _fold(found: Column) -> Column:
-    return F.aggregate(
-        found,
-        F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check")),
-        lambda c, d: F.struct(
-            (c["n"] + 1).alias("n"),
-            c["key"].bitwiseXOR(d).alias("key"),
-            c["check"].bitwiseXOR(F.xxhash64(d)).alias("check"),
-        ),
-    )
+def _cell(digest: Column, table: int, size: Column) -> Column:
+    """Place of the digest's cell among those of all three tables."""
+    own = F.shiftrightunsigned(digest, _HASH_BITS * table).bitwiseAND((1 << _HASH_BITS) - 1).cast("int")
+    return own.bitwiseAND(size["cells"] - 1) + size["cells"] * table
 
 
-def sketch(found: Column, size: Column) -> Column:
-    """Cells of the three tables, one after the other, of an array of digests."""
-
-    def one(table: int) -> Column:
-        groups = F.transform(
-            F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.shiftright(size, GROUP_BITS) - 1)),
-            lambda g: F.struct(
-                g.alias("g"),
-                F.filter(found, lambda d: F.shiftright(_place(d, table, size), GROUP_BITS) == g).alias("own"),
+def _struct(n: Column, key: Column, check: Column) -> Column:
+    return F.struct(n.alias("n"), key.alias("key"), check.alias("check"))
+
+
+def empty(size: Column) -> Column:
+    """Three tables without entries, one after the other."""
+    nothing = F.lit(0).cast("long")
+    return F.array_repeat(_struct(F.lit(0), nothing, nothing), size["cells"] * 3)
+
+
+def put(cells: Column, entries: Column, size: Column) -> Column:
+    """The cells after ``entries (digest, by)`` have been added (``by`` 1) or taken out (-1).
+
+    Cells are visited in groups; a group that no entry falls into stays as it is.
+    """
+
+    def hits(table: int) -> Column:
+        return F.transform(
+            entries,
+            lambda e: F.struct(
+                _cell(e["digest"], table, size).alias("cell"),
+                e["digest"].alias("digest"),
+                F.xxhash64(e["digest"]).alias("check"),
+                e["by"].alias("by"),
             ),
         )
-        return F.flatten(
-            F.transform(
-                groups,
-                lambda group: F.transform(
-                    F.sequence(F.lit(0).cast("long"), F.least(F.lit(GROUP).cast("long"), size) - 1),
-                    lambda c: _fold(
-                        F.filter(group["own"], lambda d: _place(d, table, size) == group["g"] * GROUP + c)
-                    ),
+
+    def cell(c: Column, at: Column, own: Column) -> Column:
+        return F.aggregate(
+            F.filter(own, lambda h: h["cell"] == at),
+            c,
+            lambda s, h: _struct(
+                s["n"] + h["by"], s["key"].bitwiseXOR(h["digest"]), s["check"].bitwiseXOR(h["check"])
+            ),
+        )
+
+    def group(old: Column, g: Column, found: Column) -> Column:
+        return let(
+            found,
+            lambda own: F.when(F.size(own) == 0, old).otherwise(
+                F.transform(old, lambda c, i: cell(c, g * size["per_group"] + i, own))
+            ),
+        )
+
+    def groups(all_cells: Column, tables: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), size["groups"] * 3 - 1),
+            lambda g: group(
+                F.slice(all_cells, g * size["per_group"] + 1, size["per_group"]),
+                g,
+                F.filter(
+                    F.get(tables, F.floor(g / size["groups"]).cast("int")),
+                    lambda h: _shift("shiftright", h["cell"], size["width"]) == g,
                 ),
-            )
+            ),
         )
 
-    return F.concat(one(0), one(1), one(2))
+    return let(
+        F.struct(cells.alias("cells"), F.array(*map(hits, range(3))).alias("tables")),
+        lambda x: F.flatten(groups(x["cells"], x["tables"])),
+    )
+
+
+def entries(found: Column, by: int) -> Column:
+    return F.transform(found, lambda d: F.struct(d.alias("digest"), F.lit(by).alias("by")))
+
+
+def sketch(found: Column, size: Column) -> Column:
+    """Cells of an array of distinct digests; ``size`` is a bound :func:`layout`."""
+    return put(empty(size), entries(found, 1), size)
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -90,10 +140,8 @@ def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(
         a,
         b,
-        lambda x, y: F.struct(
-            (x["n"] - y["n"]).alias("n"),
-            x["key"].bitwiseXOR(y["key"]).alias("key"),
-            x["check"].bitwiseXOR(y["check"]).alias("check"),
+        lambda x, y: _struct(
+            x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])
         ),
     )
 
@@ -102,77 +150,62 @@ def _is_empty(cells: Column) -> Column:
     return F.forall(cells, lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0))
 
 
-def _negative(cells: Column) -> Column:
-    return F.transform(
-        cells,
-        lambda c: F.struct((-c["n"]).alias("n"), c["key"].alias("key"), c["check"].alias("check")),
-    )
-
-
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def peel(cells: Column, size: Column, rounds: int = 60) -> Column:
     """``(left, right, whole)``: the digests only the first or only the second text
     has, and whether nothing was left over."""
 
-    def alone(cells: Column, sign: int) -> Column:
-        pure = F.filter(cells, lambda c: (c["n"] == sign) & (c["check"] == F.xxhash64(c["key"])))
-        return F.array_distinct(F.transform(pure, lambda c: c["key"]))
+    def alone(cells: Column, n: int) -> Column:
+        """Digests that have a cell for themselves, each once, to be taken out."""
+        pure = F.filter(cells, lambda c: (c["n"] == n) & (c["check"] == F.xxhash64(c["key"])))
+        return entries(F.array_distinct(F.transform(pure, lambda c: c["key"])), -n)
 
-    def state(cells: Column, left: Column, right: Column, done: Column) -> Column:
-        return F.struct(cells.alias("cells"), left.alias("left"), right.alias("right"), done.alias("done"))
+    def state(cells: Column, taken: Column, done: Column) -> Column:
+        return F.struct(cells.alias("cells"), taken.alias("taken"), done.alias("done"))
 
     def step(s: Column) -> Column:
-        found = F.struct(alone(s["cells"], 1).alias("left"), alone(s["cells"], -1).alias("right"))
-        return _let(
-            found,
-            lambda f: F.when(
-                F.size(f["left"]) + F.size(f["right"]) == 0,
-                state(s["cells"], s["left"], s["right"], F.lit(True)),
-            ).otherwise(
-                state(
-                    subtract(
-                        subtract(s["cells"], sketch(f["left"], size)), _negative(sketch(f["right"], size))
-                    ),
-                    F.concat(s["left"], f["left"]),
-                    F.concat(s["right"], f["right"]),
-                    F.lit(False),
-                )
+        return let(
+            F.concat(alone(s["cells"], 1), alone(s["cells"], -1)),
+            lambda out: F.when(F.size(out) == 0, state(s["cells"], s["taken"], F.lit(True))).otherwise(
+                state(put(s["cells"], out, size), F.concat(s["taken"], out), F.lit(False))
             ),
         )
 
-    nothing = F.array().cast("array<bigint>")
+    def side(taken: Column, by: int) -> Column:
+        return F.transform(F.filter(taken, lambda e: e["by"] == by), lambda e: e["digest"])
+
+    nothing = F.array().cast("array<struct<digest:bigint,by:int>>")
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(rounds)),
-        state(cells, nothing, nothing, F.lit(False)),
+        state(cells, nothing, F.lit(False)),
         lambda s, _: F.when(s["done"], s).otherwise(step(s)),
-        lambda s: F.struct(s["left"].alias("left"), s["right"].alias("right"), _is_empty(s["cells"]).alias("whole")),
+        lambda s: F.struct(
+            side(s["taken"], -1).alias("left"),
+            side(s["taken"], 1).alias("right"),
+            _is_empty(s["cells"]).alias("whole"),
+        ),
     )
 
 
-def difference(a: Column, b: Column, size: int = SIZE) -> Column:
+def difference(a: Column, b: Column, bits: int = BITS) -> Column:
     """``(left, right)``: what only one of two arrays of distinct digests holds.
 
     The sketches are subtracted and peeled, four times larger after each failure.
     A size that the numbers of digests alone show to be too small is passed over.
     """
     nothing = F.array().cast("array<bigint>")
+    failed = F.struct(nothing.alias("left"), nothing.alias("right"), F.lit(False).alias("whole"))
 
     def attempt(k: Column) -> Column:
-        return _let(
-            F.call_function("shiftleft", F.lit(size).cast("long"), k * 2),
-            lambda cells: F.when(
-                cells * 3 < F.abs(F.size(a) - F.size(b)),
-                F.struct(nothing.alias("left"), nothing.alias("right"), F.lit(False).alias("whole")),
-            ).otherwise(peel(subtract(sketch(a, cells), sketch(b, cells)), cells)),
+        return let(
+            layout(k * 2 + bits),
+            lambda size: F.when(size["cells"] * 3 < F.abs(F.size(a) - F.size(b)), failed).otherwise(
+                peel(subtract(sketch(a, size), sketch(b, size)), size)
+            ),
         )
 
     return F.aggregate(
         F.sequence(F.lit(0), F.lit(ATTEMPTS - 1)),
-        F.struct(nothing.alias("left"), nothing.alias("right"), F.lit(False).alias("whole")),
+        failed,
         lambda s, k: F.when(s["whole"], s).otherwise(attempt(k)),
         lambda s: F.when(s["whole"], F.struct(s["left"].alias("left"), s["right"].alias("right"))).otherwise(
             F.struct(F.array_except(a, b).alias("left"), F.array_except(b, a).alias("right"))
@@ -184,7 +217,7 @@ def likeness(a: Column, b: Column) -> Column:
     """Share of paragraphs in common, by the difference of the sketches; two texts
     without paragraphs are alike."""
     both = F.size(a) + F.size(b)
-    return _let(
+    return let(
         difference(a, b),
         lambda d: F.when(both == 0, 1.0).otherwise(
             (both - F.size(d["left"]) - F.size(d["right"])) / (both + F.size(d["left"]) + F.size(d["right"]))
@@ -217,7 +250,7 @@ def packed(cells: Column) -> Column:
 
 def fingerprint(found: Column) -> Column:
     """The stored sketch of an array of digests; equal texts have equal ones."""
-    return packed(sketch(found, F.lit(SIZE).cast("long")))
+    return let(layout(F.lit(BITS)), lambda size: packed(sketch(found, size)))
 
 
 # stands for a null doc_id inside: it counts as the least

@@ -36,7 +36,7 @@ def test_query(spark, small):
         assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(e.encode()).hexdigest()
         assert r["near_edited"] == pytest.approx(alike(text, e)) and r["near_next"] == pytest.approx(alike(text, after))
         assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
-        assert len(base64.b64decode(r["fingerprint"])) == 3 * fp.SIZE * 14
+        assert len(base64.b64decode(r["fingerprint"])) == 3 * 2**fp.BITS * 14
     assert len(set(prints.values())) == len(prints)
 
 
@@ -62,7 +62,8 @@ def test_too_small_a_sketch_says_so(spark):
     rnd = random.Random(4)
     rows = [(rnd.sample(range(2**62), 60), rnd.sample(range(2**62), 3)) for _ in range(20)]
     df = spark.createDataFrame(rows, "many array<long>, few array<long>")
-    size = F.lit(8).cast("long")
+    df = df.withColumn("size", fp.layout(F.lit(3)))
+    size = F.col("size")
     peeled = df.select(
         fp.peel(fp.sketch(F.col("many"), size), size).alias("stuck"), fp.peel(fp.sketch(F.col("few"), size), size).alias("read"), "few"
     )
@@ -75,7 +76,8 @@ def test_too_small_a_sketch_says_so(spark):
 
 def test_sketches_of_one_size_subtract(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [3, 4, 5])], "a array<long>, b array<long>")
-    size = F.lit(32).cast("long")
+    df = df.withColumn("size", fp.layout(F.lit(5)))
+    size = F.col("size")
     cells = fp.subtract(fp.sketch(F.col("a"), size), fp.sketch(F.col("b"), size))
     (r,) = found(df.select(fp.peel(cells, size).alias("p")))
     assert (set(r["p"]["left"]), set(r["p"]["right"]), r["p"]["whole"]) == ({1, 2}, {5}, True)
