@@ -143,7 +143,11 @@ def _hits(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def lookup(docs: DataFrame, ids: DataFrame | Sequence[str], key: str = "_id") -> DataFrame:
-    """One row per requested id (repeats included): the document and ``found``."""
+    """One row per requested id (repeats included): the document and ``found``.
+
+    A list of ids passes the driver and the plan, so it is for a few written by
+    hand; give a DataFrame otherwise.
+    """
     if not isinstance(ids, DataFrame):
         wanted = list(ids)
         found = docs.filter(F.col(key).isin(wanted))
