@@ -179,7 +179,7 @@ def mix(
     upto = F.col("before") + F.sum("tokens").over(in_block)
     return (
         placed.join(blocks, [*names, "block"])
-        .withColumn("in_prefix", (upto <= F.col("prefix")).cast("long"))
+        .withColumn("in_prefix", ((F.col("prefix") > 0) & (upto <= F.col("prefix"))).cast("long"))
         .select("doc_id", *names, "tokens", (F.col("passes") + F.col("in_prefix")).alias("copies"))
     )
 

@@ -250,7 +250,7 @@ def _dealt(children: str, name: str, parent: str) -> str:
         ORDER BY md5('7/' || passes || '/' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) AS upto
       FROM placed)
     SELECT doc_id, domain, lang, source, tokens,
-      CAST(passes + CASE WHEN upto <= prefix THEN 1 ELSE 0 END AS BIGINT) AS copies
+      CAST(passes + CASE WHEN prefix > 0 AND upto <= prefix THEN 1 ELSE 0 END AS BIGINT) AS copies
     FROM summed
     """
 )

@@ -56,7 +56,7 @@ def brute(rows, weights, budget, epochs, seed):
         for p in places:
             upto += sum(x[1] for x in own if place(x) == p)
             sums[p] = upto
-        out += [(x[0], leaf, x[1], passes + (sums[place(x)] <= prefix)) for x in own]
+        out += [(x[0], leaf, x[1], passes + (0 < prefix and sums[place(x)] <= prefix)) for x in own]
     return sorted(out, key=repr)
 
 
@@ -82,6 +82,7 @@ def test_against_brute_force(spark, monkeypatch, share, epochs):
     ]
     docs = spark.createDataFrame([(i, *p, n) for i, p, n in rows], "doc_id long, a string, b string, c string, n long")
     got = found(mixing.mix(docs, levels(), share, epochs, tokens=F.col("n")))
+    assert max(r["copies"] for r in got) <= epochs
     total = sum(n for *_, n in rows)
     expected = brute(rows, weight, total * share[0] // share[1], epochs, 7)
     assert sorted(((r["doc_id"], (r["a"], r["b"], r["c"]), r["tokens"], r["copies"]) for r in got), key=repr) == expected
