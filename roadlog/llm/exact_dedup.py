@@ -34,6 +34,8 @@ BUCKET = 1024
 # bits of a level for each digest that is to be placed
 ROOM = 2
 DIGEST = 32
+# stands for a null doc_id inside: it counts as the least
+_NO_ID = -(2**63)
 
 
 def digests(docs: DataFrame, fresh: Column | None = None) -> DataFrame:
@@ -159,7 +161,7 @@ def deduplicate(docs: DataFrame, fresh: Column) -> DataFrame:
     """
     rows = written(digests(docs, fresh), "digests")
     n_buckets = max(1, -(-rows.count() // BUCKET))
-    lowest = F.lit(-(2**63))
+    lowest = F.lit(_NO_ID)
     known = (
         rows.filter(~F.col("fresh"))
         .groupBy("digest")
@@ -197,5 +199,7 @@ def distinct_documents(docs: DataFrame, fresh: Column) -> DataFrame:
     ``doc_id`` names a document: rows that share one stay if any of them does,
     and rows that repeat in every column become one.
     """
-    keys = deduplicate(docs, fresh).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi").distinct()
+    # the id as a column of its own: what the join has dealt out is not dealt again
+    named = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_kept_id")
+    keys = deduplicate(docs, fresh).filter("kept").select(named).distinct()
+    return docs.select("*", named).join(keys, "_kept_id", "left_semi").distinct().drop("_kept_id")
