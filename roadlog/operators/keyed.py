@@ -55,18 +55,14 @@ def _shaped(df: DataFrame, *like: DataFrame) -> DataFrame:
     return df if any("_index" in x.columns for x in like) else df.drop("_index")
 
 
-def _is_object(text: str) -> Column:
-    return F.expr(f"try_cast(try_parse_json({text}) AS MAP<STRING, VARIANT>) IS NOT NULL")
-
-
-def _usable() -> Column:
+def _usable(op: Column, source: Column, named: Column) -> Column:
     """Whether an action can be applied to anything at all."""
-    op = F.col("op")
-    partial = F.expr("try_variant_get(try_parse_json(source), '$.doc', 'map<string, variant>') IS NOT NULL")
+
+    # what starts as an object and can be read is one
+    readable = source.rlike(r"^\s*\{") & F.try_parse_json(source).isNotNull()
+    partial = readable & F.startswith(F.get_json_object(source, "$.doc"), F.lit("{"))
     return F.coalesce(
-        F.when(op.isin("index", "create"), _is_object("source"))
-        .when(op == "update", partial & F.col("_named"))
-        .when(op == "delete", F.col("_named")),
+        F.when(op.isin("index", "create"), readable).when(op == "update", partial & named).when(op == "delete", named),
         F.lit(False),
     )
 
@@ -74,27 +70,30 @@ def _usable() -> Column:
 def _numbered_actions(actions: DataFrame, order: Sequence[str], id_prefix: str | None) -> DataFrame:
     """The actions with their place in the order, an id each, and whether they are usable.
 
-    Written, so that ids of their own stay what they are.
+    Made-up ids are part of the table that :func:`positions` writes, or follow from
+    the place, so they stay what they are.
     """
-    own_id = F.uuid() if id_prefix is None else F.concat(F.lit(id_prefix), F.lit("-"), F.col("_place"))
+    given, source = F.col("_id").cast("string"), F.col("source").cast("string")
+    op = F.coalesce("op", F.lit("index"))
+    sorted_by = [f"_order{i}" for i in range(len(order))]
     placed = positions(
         actions.select(
-            *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
+            *[F.col(c).alias(o) for c, o in zip(order, sorted_by)],
             *([F.col("seq").cast("long").alias("seq")] if "seq" in actions.columns else []),
-            F.coalesce("op", F.lit("index")).alias("op"),
+            op.alias("op"),
             _index_of(actions),
-            F.col("_id").cast("string").alias("_id"),
-            F.col("source").cast("string").alias("source"),
+            (given if id_prefix is not None else F.coalesce(given, F.uuid())).alias("_id"),
+            given.isNotNull().alias("_named"),
+            _usable(op, source, given.isNotNull()).alias("_usable"),
+            source.alias("source"),
         ),
-        [f"_order{i}" for i in range(len(order))],
+        sorted_by,
         "_place",
-    ).drop(*[f"_order{i}" for i in range(len(order))])
-    return written(
-        placed.withColumn("_named", F.col("_id").isNotNull())
-        .withColumn("_usable", _usable())
-        .withColumn("_id", F.coalesce("_id", own_id)),
-        "actions",
     )
+    if id_prefix is not None:
+        own = F.concat(F.lit(id_prefix), F.lit("-"), F.col("_place"))
+        placed = placed.withColumn("_id", F.coalesce("_id", own))
+    return placed.drop(*sorted_by)
 
 
 def _with_status(acts: DataFrame, target: DataFrame, block_bits: int) -> DataFrame:
@@ -173,10 +172,10 @@ def _merge_members(source: pd.Series, members: pd.Series) -> pd.Series:
     return pd.Series([one(t, w) for t, w in zip(source, members)], dtype=object)
 
 
-def _few(names: DataFrame) -> DataFrame:
-    """Distinct names, to be broadcast if their counted size allows it."""
+def _are_few(names: DataFrame) -> bool:
+    """Whether the counted size of distinct names allows to broadcast them."""
     size = names.agg(F.sum(F.octet_length("_index") + F.octet_length("_id") + 16)).first()[0] or 0
-    return F.broadcast(names) if size <= BROADCAST_BYTES else names
+    return size <= BROADCAST_BYTES
 
 
 def apply_actions(
@@ -202,8 +201,8 @@ def apply_actions(
     last update after it; both are aggregates with a map-side part.  Only
     documents with such updates pass through Python, with one entry per member.
 
-    The actions, with their places, and the statuses are tables in the shared
-    folder; both results read them.
+    The actions in their order, the statuses and the last replacements are tables in
+    the shared folder; both results read them.
     """
     before = _documents(target)
     acts = _numbered_actions(actions, order, id_prefix)
@@ -224,9 +223,11 @@ def _final_documents(before: DataFrame, acts: DataFrame, scored: DataFrame) -> D
         .filter(F.col("op") != "delete")
         .select(*KEY, "source")
     )
-    names = bases.select(*KEY)
-    updated_only = before.join(_few(bases.filter(F.col("_base").isNull()).select(*KEY)), list(KEY), "left_semi")
-    untouched = before.join(_few(names), list(KEY), "left_anti")
+    names, updated = bases.select(*KEY), bases.filter(F.col("_base").isNull()).select(*KEY)
+    if _are_few(names):
+        names, updated = F.broadcast(names), F.broadcast(updated)
+    updated_only = before.join(updated, list(KEY), "left_semi")
+    untouched = before.join(names, list(KEY), "left_anti")
     partial = F.expr("variant_get(parse_json(source), '$.doc', 'variant')").alias("doc")
     updates = (
         acts.select("_place", "source")
@@ -317,7 +318,8 @@ def last_write_wins(target: DataFrame, actions: DataFrame) -> DataFrame:
         acts.filter(F.col("op") == "index").join(last, [*KEY, "seq"], "left_semi").select(*KEY, "source", *extra)
     )
     kept = [c for c in target.columns if c not in ("source", *KEY)]
-    untouched = _documents(target, *kept).join(_few(last.select(*KEY)), list(KEY), "left_anti")
+    names = last.select(*KEY)
+    untouched = _documents(target, *kept).join(F.broadcast(names) if _are_few(names) else names, list(KEY), "left_anti")
     return _shaped(untouched.unionByName(written_docs, allowMissingColumns=True), target, actions)
 
 

@@ -25,26 +25,30 @@ BLOCK_BITS = 16
 def positions(df: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
     """Add ``name``: the place of the row in the table along ``order``, from 0, without gaps.
 
-    Rows are dealt into ranges of the order by Spark's sampling and written with
-    the number of their range, so the ranges hold still while they are counted;
-    a window numbers the rows of a range.  Rows alike in ``order`` get places
-    next to each other.
+    Rows are dealt into ranges of the order by Spark's sampling, sorted, and written
+    with the number of their range and their number in it, so both hold still; what
+    is left is to add the sizes of the ranges before.  Rows alike in ``order`` get
+    places next to each other.
     """
+    # an id has the range in its bits from 33 on, and the number of the row in the others
     dealt = written(
-        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "positions"
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "positions",
     )
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # a row a range
     starts = (
-        dealt.groupBy("_range")
+        dealt.groupBy(F.shiftright("_at", 33).alias("_range"))
         .agg(F.count("*").alias("_n"))
         .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
-    in_range = Window.partitionBy("_range").orderBy(*order)
+    number = F.col("_at").bitwiseAND((1 << 33) - 1)
     return (
-        dealt.withColumn("_number", F.row_number().over(in_range))
+        dealt.withColumn("_range", F.shiftright("_at", 33))
         .join(F.broadcast(starts), "_range")
-        .select(*df.columns, (F.col("_start") + F.col("_number") - 1).alias(name))
+        .select(*df.columns, (F.col("_start") + number).alias(name))
     )
 
 
