@@ -1,3 +1,5 @@
+"""Tables with everything that can be odd about documents; fixtures are imported where they are used."""
+
 import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -32,14 +34,14 @@ AWKWARD = [
 ]
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def awkward(spark):
     """Nulls, empty and very long texts, repeated rows and ids, clashing columns."""
     extra = [c.split()[0] for c in CLASHING.split(", ")]
     return spark.createDataFrame([r + ("x",) * len(extra) for r in AWKWARD], f"{SCHEMA}, {CLASHING}")
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
 

@@ -5,7 +5,7 @@ import struct
 import public_tokenizers
 import pytest
 import tiktoken
-from llm.conftest import AWKWARD, found, table_of
+from llm.helpers import AWKWARD, awkward, found, no_docs, table_of
 
 from roadlog.llm import bpe
 from roadlog.llm.queries import QUERIES, default_codec

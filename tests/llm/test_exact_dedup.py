@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import numpy as np
-from llm.conftest import AWKWARD, found
+from llm.helpers import AWKWARD, awkward, found, no_docs
 from pyspark.sql import functions as F
 
 from roadlog.llm import exact_dedup

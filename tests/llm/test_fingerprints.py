@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from llm.conftest import AWKWARD, found, table_of
+from llm.helpers import AWKWARD, awkward, found, no_docs, table_of
 from pyspark.sql import functions as F
 
 from roadlog.llm import fingerprints as fp

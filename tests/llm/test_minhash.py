@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from llm.conftest import AWKWARD, found, near, table_of
+from llm.helpers import AWKWARD, awkward, found, near, no_docs, table_of
 
 from roadlog.llm import graph, minhash
 from roadlog.llm.queries import QUERIES

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
-from llm.conftest import AWKWARD, found
+from llm.helpers import AWKWARD, awkward, found, no_docs
 from oracle import compare, connect
 from pyspark.sql import functions as F
 

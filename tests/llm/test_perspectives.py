@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm.conftest import found
+from llm.helpers import found
 from oracle import compare, connect
 
 from roadlog.llm import perspectives

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from llm.conftest import AWKWARD, found, table_of
+from llm.helpers import AWKWARD, awkward, found, no_docs, table_of
 from pyspark.sql import functions as F
 
 from roadlog.llm import pii

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import tiktoken
 import public_tokenizers
-from llm.conftest import found, table_of
+from llm.helpers import awkward, found, no_docs, table_of
 from llm.test_exact_dedup import lowered
 from llm.test_minhash import brute as near_brute
 from llm.test_mixing import brute as mix_brute

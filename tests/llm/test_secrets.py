@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from llm.conftest import AWKWARD, found, table_of
+from llm.helpers import AWKWARD, awkward, found, no_docs, table_of
 
 from roadlog.llm import secrets
 from roadlog.llm.queries import QUERIES
