@@ -44,7 +44,8 @@ _BLANK = r"\x20\x09-\x0D"
 _TOKEN = rf"(?<![^{_BLANK}])[^{_BLANK}0-9@]*+[0-9@][^{_BLANK}]*+"
 _CORE = r"[0-9A-Za-z+](?:.*[0-9A-Za-z])?"
 _EDGE = r"^[^0-9A-Za-z+]*+"
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# leading zeros are given back to a part that is zero; a part can be read in one way only
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # code points before a token in which its two words are looked for
 _BEFORE = 64
 

@@ -49,6 +49,17 @@ def test_random_texts(spark):
     assert got == sorted(((i, plain(t)) for i, t in rows), key=repr)
 
 
+def test_ip_parts_that_are_zero(spark):
+    good = ["10.0.0.1", "0.0.0.0", "127.0.0.1", "192.168.0.12", "010.000.1.255", "00.1.2.3", "0" * 30_000 + ".0.0.0"]
+    bad = ["256.0.0.1", "10.0.0.0256", "0.0.0", "0" * 30_000 + "256.0.0.0", "0.0.0." + "0" * 30_000 + "999"]
+    rows = [(i, f"from {t} on") for i, t in enumerate(good + bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = base_of(found(docs.select("doc_id", pii.base_spans().alias("spans"))))
+    assert got == sorted(((i, plain(t)) for i, t in rows), key=repr)
+    ips = {i: [(a, b) for a, k, b in spans if k == 1] for i, spans in got}
+    assert [ips[i] for i in range(len(rows))] == [[(5, 5 + len(t))] for t in good] + [[] for _ in bad]
+
+
 def test_query(spark, small):
     got = {r["doc_id"]: r for r in found(QUERIES["op7_pii"](spark, small))}
     docs = table_of(small, "documents")
