@@ -8,8 +8,8 @@ value over the whole set under a hash of its own.  So every coordinate fills,
 each agrees between two sets with the probability of their likeness, and the work
 is about one pass over the set plus ``bins * log(bins)``.
 
-Documents with the same set are one class, named by its least ``doc_id``.  Of the
-classes that share the key of a band, the least is the centre, and every other is
+Documents with the same set are one class, whatever their ids; a class has a number,
+and its least ``doc_id`` is only a label that is read at the end.  Of the classes that share the key of a band, the least is the centre, and every other is
 compared with it on full sets: a bucket of any size costs one pair a member.
 That settles nearly all.  What a centre can miss is a link between two members
 that it is not linked with itself, so the classes that candidate pairs hang
@@ -75,6 +75,10 @@ def shingles(text: bytes, hashes: WordHashes, width: int) -> np.ndarray:
     return np.unique(rolled)
 
 
+def _set_key(elements: np.ndarray) -> bytes:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+
+
 def sketch(elements: np.ndarray, bins: int) -> np.ndarray:
     """``bins`` coordinates (32 bits each) of a non-empty set."""
     out = np.zeros(bins, np.uint32)
@@ -121,50 +125,57 @@ class Settings:
     block: int = 512
 
 
+def _row_key():
+    """A hash of id and text, equal for rows that repeat both."""
+    return F.xxhash64("doc_id", "text")
+
+
 def signatures(docs: DataFrame, s: Settings) -> DataFrame:
-    """``doc_id, n_shingles, set_key, bands``; key and bands are null without words."""
+    """``doc_id, row_key, n_shingles, set_key, bands``; set key and bands are null without words."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         hashes = WordHashes()
         n, keys, bands = [], [], []
-        for text in utf8_bytes(batch.column(1)):
+        for text in utf8_bytes(batch.column(2)):
             elements = shingles(text, hashes, s.width)
             n.append(len(elements))
-            keys.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest() if n[-1] else None)
+            keys.append(_set_key(elements) if n[-1] else None)
             bands.append(
                 band_keys(sketch(elements, s.bands * s.rows), s.rows).view(np.int64) if n[-1] else None
             )
         return [
             batch.column(0),
+            batch.column(1),
             pa.array(n, pa.int64()),
             pa.array(keys, pa.binary()),
             pa.array(bands, pa.list_(pa.int64())),
         ]
 
-    return map_batches(texts(docs), run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return map_batches(
+        texts(docs).select("doc_id", _row_key().alias("row_key"), "text"),
+        run,
+        "doc_id long, row_key long, n_shingles long, set_key binary, bands array<long>",
+    )
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
-    """``node, elements`` of the documents that are in some candidate pair."""
+def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
+    """``node, elements`` of the classes ``wanted (node, set_key, row_key)``, one row each."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         hashes = WordHashes()
-        found = (shingles(t, hashes, s.width).tobytes() for t in utf8_bytes(batch.column(1)))
-        return [batch.column(0), pa.array(found, pa.binary())]
-
-    # always by shuffle: the nodes grow with the input, and so would a broadcast
-    wanted = (
-        texts(docs).select(_named("doc_id").alias("node"), "text").join(nodes.hint("merge"), "node", "left_semi")
+        found = [shingles(t, hashes, s.width) for t in utf8_bytes(batch.column(2))]
+        # a row that only shares the hash of its id and text has another set
+        own = pa.array([_set_key(e) == k.as_py() for e, k in zip(found, batch.column(1))], pa.bool_())
+        return [batch.column(0).filter(own), pa.array([e.tobytes() for e in found], pa.binary()).filter(own)]
+
+    # always by shuffle: the classes grow with the input, and so would a broadcast
+    rows = (
+        texts(docs)
+        .select(_row_key().alias("row_key"), "doc_id", "text")
+        .join(wanted.hint("merge"), "row_key")
+        .dropDuplicates(["row_key", "node", "doc_id"])
     )
-    return map_batches(wanted, run, "node long, elements binary")
-
-
-# stands for a null doc_id inside: it counts as the largest
-_NO_ID = 2**63 - 1
-
-
-def _named(column: str):
-    return F.coalesce(F.col(column), F.lit(_NO_ID))
+    return map_batches(rows.select("node", "set_key", "text"), run, "node long, elements binary")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -275,25 +286,19 @@ def _rest_of_clusters(pairs: DataFrame, stars: DataFrame, sets: DataFrame, s: Se
     )
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs (doc_id, text)``.
-
-    ``component_id`` is the least ``doc_id`` that links lead to, ``kept`` tells
-    whether it is the row's own.  A text without words is linked with nothing.  A
-    null ``doc_id`` counts as the largest.  Rows that repeat a ``doc_id`` are
-    judged each by its own text.
-    """
-    s = settings
+def _grouped(docs: DataFrame, s: Settings) -> DataFrame:
+    """``doc_id, row_key, n_shingles, linked_as, component_id`` of every row: the number
+    of its group (null without words), and the least ``doc_id`` of the group."""
     signed = written(signatures(docs, s), "signatures")
-    classes = (
-        signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min(_named("doc_id")).alias("node"))
-    )
-    banded = (
+    # numbered once, in a table: no two sets share a number
+    classes = written(
         signed.filter("n_shingles > 0")
-        .select("set_key", _named("doc_id").alias("node"), "bands")
-        .join(classes, ["set_key", "node"])
-        .select("node", F.explode("bands").alias("band"))
+        .groupBy("set_key")
+        .agg(F.min("doc_id").alias("label"), F.min("row_key").alias("row_key"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "classes",
     )
+    banded = classes.select("node", F.explode("bands").alias("band"))
     centres = (
         banded.groupBy("band")
         .agg(F.min("node").alias("a"), F.max("node").alias("high"))
@@ -305,25 +310,68 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "candidate-pairs",
     )
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = written(_sets(docs, nodes, s), "shingle-sets")
+    wanted = classes.select("node", "set_key", "row_key").join(nodes, "node", "left_semi")
+    sets = written(_sets(docs, wanted, s), "shingle-sets")
     stars = written(_confirmed(pairs, sets, s), "star-links")
     links = written(stars.unionByName(_rest_of_clusters(pairs, stars, sets, s)), "links")
-    named = classes.join(components(links), "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component")
+    # tables, so that the joins are plain ones whose large keys Spark can split
+    hung = written(
+        classes.select("set_key", "node", "label")
+        .join(components(links), "node", "left")
+        .select("set_key", F.coalesce("component", "node").alias("linked_as"), "component", "label"),
+        "classes-in-groups",
     )
+    least = written(
+        hung.filter("component is not null")
+        .groupBy(F.col("component").alias("linked_as"))
+        .agg(F.min("label").alias("least")),
+        "group-labels",
+    )
+    named = hung.join(least, "linked_as", "left").select(
+        "set_key", "linked_as", F.when(F.col("component").isNull(), F.col("label")).otherwise(F.col("least")).alias("named")
+    )
+    return signed.join(named, "set_key", "left").select(
+        "doc_id",
+        "row_key",
+        "n_shingles",
+        "linked_as",
+        F.when(F.col("linked_as").isNull(), F.col("doc_id")).otherwise(F.col("named")).alias("component_id"),
+    )
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs (doc_id, text)``.
+
+    ``component_id`` is the least ``doc_id`` that links lead to, ``kept`` tells
+    whether it is the row's own.  A text without words is linked with nothing.  A
+    null ``doc_id`` counts as the largest.  Rows that repeat a ``doc_id``, or have
+    none, are judged each by its own text.
+    """
     return (
-        signed.join(named, "set_key", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.nullif(F.coalesce("component", _named("doc_id")), F.lit(_NO_ID)).alias("component_id"),
-        )
+        _grouped(docs, settings)
+        .select("doc_id", "n_shingles", "component_id")
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
 def representatives(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents that stay, one of each group, with all their columns; rows that
-    share a ``doc_id`` stay if any of them does."""
-    keys = near_duplicates(docs, settings).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The documents that stay, one of each group, with all their columns; rows equal in
+    ``doc_id`` and text stay together.  Texts without words all stay."""
+    kept = written(
+        _grouped(docs, settings)
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("_kept_id"), F.col("row_key").alias("_kept_key"), "linked_as"),
+        "kept-rows",
+    )
+    # those of a group that are left have one id
+    keys = (
+        kept.filter("linked_as is not null")
+        .groupBy("linked_as")
+        .agg(F.min("_kept_id").alias("_kept_id"), F.min("_kept_key").alias("_kept_key"))
+        .drop("linked_as")
+        .unionByName(kept.filter("linked_as is null").drop("linked_as"))
+    )
+    own = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+    return docs.join(
+        keys, (own == F.col("_kept_key")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi"
+    )

@@ -127,6 +127,21 @@ def test_awkward(spark, awkward, no_docs):
     assert sorted({str(r["doc_id"]) for r in found(kept)}) == sorted(map(str, [1, 3, 4, 5, None, 6, 7, 8, 9, 10, 12]))
 
 
+def test_rows_of_one_id_or_none_are_judged_by_their_texts(spark):
+    rows = [(5, near(200, 1)), (5, near(200, 2)), (3, near(200, 1, 3))]
+    # without ids: near a named row, near each other, and alone
+    rows += [(None, near(200, 1, 4)), (None, near(200, 4)), (None, near(200, 4, 3)), (None, near(200, 5)), (None, "")]
+    # one id, near each other; a row twice
+    rows += [(8, near(200, 6)), (8, near(200, 6, 3)), (9, near(200, 7)), (9, near(200, 7)), (2**63 - 1, near(200, 8))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(minhash.near_duplicates(docs)) == brute(rows)
+    kept = [(r["doc_id"], r["text"]) for r in found(minhash.representatives(docs))]
+    assert len([r for r in kept if r in (rows[4], rows[5])]) == 1
+    assert len([r for r in kept if r in rows[8:10]]) == 1
+    sure = [rows[1], rows[2], rows[6], rows[7], rows[10], rows[11], rows[12]]
+    assert sorted((r for r in kept if r not in (rows[4], rows[5], *rows[8:10])), key=repr) == sorted(sure, key=repr)
+
+
 def test_components_of_awkward_graphs(spark):
     def named(edges):
         df = spark.createDataFrame(edges, "a long, b long")
