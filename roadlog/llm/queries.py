@@ -11,13 +11,16 @@ from roadlog.llm import (
     bpe,
     exact_dedup,
     fingerprints,
+    line_dedup,
     minhash,
     mixing,
     perspectives,
     pii,
     quality,
+    repair,
     secrets,
     sharding,
+    treap,
 )
 from roadlog.llm.common import table
 
@@ -289,3 +292,87 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(_span_text(base, pii.KINDS), 256).alias("base_sha256"),
         _span_text(F.col("spans"), pii.KINDS).alias("spans"),
     )
+
+
+@query(
+    """
+    WITH d AS (
+      SELECT row_number() OVER () AS row_, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT row_, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+    k AS (
+      SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM l),
+    shared AS (
+      SELECT key, min(doc_id) AS holder FROM k
+      WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT row_) > 1),
+    marked AS (
+      SELECT k.*, holder IS NOT NULL AND k.doc_id <> holder AS dropped FROM k LEFT JOIN shared USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY row_, doc_id
+    """
+)
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines of ten code points or more that an earlier one has."""
+    return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+@query(
+    """
+    WITH d AS (
+      SELECT row_number() OVER () AS row_, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS terms
+      FROM documents),
+    sized AS (SELECT row_, doc_id, terms, len(terms) AS n FROM d WHERE len(terms) > 0),
+    total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+    asked AS (
+      SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+      FROM benchmark),
+    questions AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL),
+    said AS (SELECT row_, doc_id, n, unnest(terms) AS term FROM sized),
+    counts AS (
+      SELECT row_, doc_id, n, term, count(*) AS tf FROM said
+      WHERE term IN (SELECT term FROM questions) GROUP BY ALL),
+    weights AS (
+      SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), total),
+    impacts AS (
+      SELECT row_, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)) AS impact
+      FROM counts, total),
+    scores AS (
+      SELECT item_id, row_, doc_id, CAST(sum(times * w * impact) AS BIGINT) AS score
+      FROM questions JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    asked = treap.questions(table(spark, folder, "benchmark"))
+    index = treap.index(table(spark, folder, "documents"), asked.select("term").distinct())
+    return treap.search(index, asked).select(F.col("id").alias("item_id"), "rank", "doc_id", "score")
+
+
+@query()
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation after planted faults: what is wrong, and the cheapest repair."""
+    given = table(spark, folder, "conversations")
+    found = repair.repair(repair.damaged(given))
+    names = given.select("conv_id").distinct().withColumn("conv_key", repair.conv_key(F.col("conv_id")))
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        names.join(found.report, "conv_key", "left")
+        .join(repair.digests(found.rows), "conv_key", "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in numbers],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+        )
+    )
