@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,8 +67,11 @@ def _usable(op: Column, source: Column, named: Column) -> Column:
     )
 
 
-def _numbered_actions(actions: DataFrame, order: Sequence[str], id_prefix: str | None) -> DataFrame:
-    """The actions with their place in the order, an id each, and whether they are usable.
+def _numbered_actions(
+    actions: DataFrame, order: Sequence[str], id_prefix: str | None, more: Sequence[str] = ()
+) -> DataFrame:
+    """The actions with their place in the order, an id each, and whether they are usable;
+    columns named in ``more`` stay.
 
     Made-up ids are part of the table that :func:`positions` writes, or follow from
     the place, so they stay what they are.
@@ -86,6 +89,7 @@ def _numbered_actions(actions: DataFrame, order: Sequence[str], id_prefix: str |
             given.isNotNull().alias("_named"),
             _usable(op, source, given.isNotNull()).alias("_usable"),
             source.alias("source"),
+            *more,
         ),
         sorted_by,
         "_place",
@@ -341,6 +345,21 @@ def raise_on_failure(results: DataFrame) -> DataFrame:
     return results.withColumn("ok", checked)
 
 
+def raise_on_failed_chunks(results: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The results with their ``chunk``; the job fails when it meets a chunk with failed
+    actions, and tells all of them.
+
+    ``chunks`` has ``seq, chunk`` (:func:`roadlog.operators.bulk.chunk_stream`), whose
+    sizes bound what is gathered.
+    """
+    failed = F.when(~F.col("ok"), F.struct("seq", "op", "_id", "status", "error"))
+    of_chunk = F.array_sort(F.collect_list(failed).over(Window.partitionBy("chunk")))
+    message = F.concat(F.size("_failed"), F.lit(" document(s) failed to index: "), F.to_json("_failed"))
+    checked = F.when(F.size("_failed") == 0, F.col("ok")).otherwise(F.raise_error(message).cast("boolean"))
+    together = results.join(chunks.select("seq", "chunk"), "seq").withColumn("_failed", of_chunk)
+    return together.withColumn("ok", checked).drop("_failed")
+
+
 # --- whole-table maintenance --------------------------------------------------
 
 
