@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import pandas as pd
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from roadlog.operators.nested import object_members
 from roadlog.operators.ordered import BLOCK_BITS, last_before, positions
+from roadlog.operators.search import directed
 from roadlog.workspace import written
 
 KEY = ("_index", "_id")
@@ -417,36 +419,78 @@ def _matches(predicate: Column | str) -> Column:
     return F.coalesce(p, F.lit(False))
 
 
+def _name(df: DataFrame) -> tuple[str, ...]:
+    """The columns that name a document."""
+    return KEY if "_index" in df.columns else ("_id",)
+
+
+def _first_matching(
+    df: DataFrame, hit: Column, n: int, order: Sequence[str], key: Sequence[str], marker: str
+) -> DataFrame:
+    """``df`` with ``marker``: whether the row is one of the first ``n`` that match.
+
+    The order (``field``, ``field:asc`` or ``field:desc``, missing values last) is
+    completed by the key.  Places are found from sorted ranges of the keys that match and
+    the number of rows in each, so ``n`` may be any part of the table.
+    """
+    named = [f"_key{i}" for i in range(len(key))]
+    narrow, sort = [F.col(c).alias(k) for c, k in zip(key, named)], []
+    for i, item in enumerate(order):
+        name, _, direction = item.partition(":")
+        narrow.append(F.col(name).alias(f"_order{i}"))
+        sort.append(directed(F.col(f"_order{i}"), item, direction))
+    ranked = positions(df.filter(hit).select(*narrow), [*sort, *named], "_rank").filter(F.col("_rank") < n)
+    first = ranked.select(*named, F.lit(True).alias(marker)).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(key, named)])
+    return df.join(first, same, "left").withColumn(marker, F.coalesce(marker, F.lit(False)) & hit).drop(*named)
+
+
 def delete_where(
     df: DataFrame,
     predicate: Column | str,
     max_docs: int | None = None,
-    order: Sequence[str] = ("_id",),
-    key: Sequence[str] = ("_id",),
+    order: Sequence[str] = (),
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rows that do not match.  A predicate that is null keeps the row.
 
-    ``max_docs`` removes only the first matching rows in ``order``.
+    ``max_docs`` removes only the first matching rows in ``order`` (then by ``key``:
+    ``_index``, where there is one, and ``_id``).  A name stands for one document: rows
+    that share it and match go together; a null in it is a value like any other.
     """
+    hit = _matches(predicate)
     if max_docs is None:
-        return df.filter(~_matches(predicate))
-    doomed = df.filter(_matches(predicate)).orderBy(*order).limit(max_docs).select(*key)
-    return df.join(doomed, list(key), "left_anti")
+        return df.filter(~hit)
+    return _first_matching(df, hit, max_docs, order, key or _name(df), "_gone").filter(~F.col("_gone")).drop("_gone")
 
 
 def update_where(
-    df: DataFrame, predicate: Column | str, changes: Mapping[str, Column | str]
+    df: DataFrame,
+    predicate: Column | str,
+    changes: Mapping[str, Column | str],
+    max_docs: int | None = None,
+    order: Sequence[str] = (),
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """All rows, with the changes applied to those that match.
 
-    Every change sees the row as it was before.
+    Every change sees the row as it was before.  ``max_docs``, ``order`` and ``key`` are
+    as in :func:`delete_where`.
     """
     hit = _matches(predicate)
+    if max_docs is not None:
+        df = _first_matching(df, hit, max_docs, order, key or _name(df), "_hit")
+        hit = F.col("_hit")
     new = {c: F.expr(e) if isinstance(e, str) else e for c, e in changes.items()}
     kept = {c: F.col(c) if c in df.columns else F.lit(None) for c in new}
-    return df.withColumns({c: F.when(hit, e).otherwise(kept[c]) for c, e in new.items()})
+    changed = df.withColumns({c: F.when(hit, e).otherwise(kept[c]) for c, e in new.items()})
+    return changed if max_docs is None else changed.drop("_hit")
 
 
-def match_tally(df: DataFrame, predicate: Column | str) -> DataFrame:
-    """One row ``(total, matched)`` for a delete or update by predicate."""
-    return df.agg(F.count("*").alias("total"), F.count_if(_matches(predicate)).alias("matched"))
+def match_tally(df: DataFrame, predicate: Column | str, max_docs: int | None = None) -> DataFrame:
+    """One row ``(total, matched)`` for a delete or update by predicate; at most
+    ``max_docs`` are matched."""
+    matched = F.count_if(_matches(predicate))
+    if max_docs is not None:
+        matched = F.least(matched, F.lit(max_docs).cast("long"))
+    return df.agg(F.count("*").alias("total"), matched.alias("matched"))

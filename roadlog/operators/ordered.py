@@ -22,7 +22,7 @@ from roadlog.workspace import written
 BLOCK_BITS = 16
 
 
-def positions(df: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
+def positions(df: DataFrame, order: Sequence[str | Column], name: str = "place") -> DataFrame:
     """Add ``name``: the place of the row in the table along ``order``, from 0, without gaps.
 
     Rows are dealt into ranges of the order by Spark's sampling, sorted, and written

@@ -26,11 +26,11 @@ def _sort_columns(df: DataFrame, sort: Sequence[str | Column]) -> list[Column]:
             columns.append(item)
             continue
         name, _, direction = item.partition(":")
-        columns.append(_directed(F.col(name), item, direction))
+        columns.append(directed(F.col(name), item, direction))
     return columns
 
 
-def _directed(c: Column, item: str, direction: str) -> Column:
+def directed(c: Column, item: str, direction: str) -> Column:
     if direction not in ("", "asc", "desc"):
         raise ValueError(f"unknown sort direction: {item}")
     return c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last()
@@ -109,7 +109,7 @@ def multi_search(docs: DataFrame, searches: Mapping[str, Search]) -> DataFrame:
         for item in s.sort:
             column, _, direction = item.partition(":")
             own = F.when(F.col("search") == name, F.col(column))
-            order.append(_directed(own, item, direction))
+            order.append(directed(own, item, direction))
     rank = F.row_number().over(Window.partitionBy("search").orderBy(*order or [F.lit(0)]))
     # a plain number first, so that the ranks can be limited before the shuffle
     most = max(s.offset + s.size for s in searches.values())
@@ -132,50 +132,64 @@ def multi_search(docs: DataFrame, searches: Mapping[str, Search]) -> DataFrame:
 
 # --- lookups by id ------------------------------------------------------------
 
+Key = str | Sequence[str]
 
-def _hits(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+
+def _names(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _hits(docs: DataFrame, ids: DataFrame, key: list[str]) -> DataFrame:
     """Documents whose id is asked for.
 
     The semi join keeps the table in place when the ids are few (Spark
     broadcasts them after checking their size) and shuffles both otherwise.
     """
-    return docs.join(ids.select(key).distinct(), key, "left_semi")
+    return docs.join(ids.select(*key).distinct(), key, "left_semi")
 
 
-def lookup(docs: DataFrame, ids: DataFrame | Sequence[str], key: str = "_id") -> DataFrame:
+def lookup(docs: DataFrame, ids: DataFrame | Sequence, key: Key = "_id") -> DataFrame:
     """One row per requested id (repeats included): the document and ``found``.
 
-    A list of ids passes the driver and the plan, so it is for a few written by
-    hand; give a DataFrame otherwise.
+    ``key`` may be several columns, as ``("_index", "_id")``; a null in them is found
+    nowhere.  A list of ids (tuples for several columns) passes the driver and the plan,
+    so it is for a few written by hand; give a DataFrame otherwise.  A table that is
+    looked up again and again is better kept in :mod:`roadlog.operators.store`, which
+    reads only the buckets of the ids.
     """
+    key = _names(key)
     if not isinstance(ids, DataFrame):
-        wanted = list(ids)
-        found = docs.filter(F.col(key).isin(wanted))
-        dtype = docs.schema[key].dataType.simpleString()
-        ids = docs.sparkSession.createDataFrame([(i,) for i in wanted], f"`{key}` {dtype}")
-    else:
-        found = _hits(docs, ids, key)
+        wanted = [i if isinstance(i, tuple) else (i,) for i in ids]
+        schema = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in key)
+        # of several columns each narrows the scan by itself
+        for column, values in zip(key, zip(*wanted)):
+            docs = docs.filter(F.col(column).isin(list(set(values))))
+        ids = docs.sparkSession.createDataFrame(wanted, schema)
+    found = _hits(docs, ids, key)
     return (
-        ids.select(key)
+        ids.select(*key)
         .join(found.withColumn("found", F.lit(True)), key, "left")
         .withColumn("found", F.coalesce("found", F.lit(False)))
     )
 
 
-def existing_ids(docs: DataFrame, ids: DataFrame, key: str = "_id") -> DataFrame:
+def existing_ids(docs: DataFrame, ids: DataFrame, key: Key = "_id") -> DataFrame:
     """The requested ids that are in the table."""
-    return ids.join(_hits(docs.select(key), ids, key), key, "left_semi")
+    key = _names(key)
+    return ids.join(_hits(docs.select(*key), ids, key), key, "left_semi")
 
 
-def missing_ids(docs: DataFrame, ids: DataFrame, key: str = "_id") -> DataFrame:
+def missing_ids(docs: DataFrame, ids: DataFrame, key: Key = "_id") -> DataFrame:
     """The requested ids that are not in the table."""
-    return ids.join(_hits(docs.select(key), ids, key), key, "left_anti")
+    key = _names(key)
+    return ids.join(_hits(docs.select(*key), ids, key), key, "left_anti")
 
 
-def exists_ids(docs: DataFrame, ids: DataFrame, key: str = "_id") -> DataFrame:
-    """``(key, found)`` for each requested id."""
-    found = _hits(docs.select(key), ids, key).distinct().withColumn("found", F.lit(True))
-    return ids.select(key).join(found, key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+def exists_ids(docs: DataFrame, ids: DataFrame, key: Key = "_id") -> DataFrame:
+    """``(*key, found)`` for each requested id."""
+    key = _names(key)
+    found = _hits(docs.select(*key), ids, key).distinct().withColumn("found", F.lit(True))
+    return ids.select(*key).join(found, key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 # --- fields across tables -----------------------------------------------------

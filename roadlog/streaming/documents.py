@@ -5,15 +5,16 @@ source)``, one folder per micro-batch; the first three columns are the order of
 the actions (micro-batch, file in it, action in the file).  A batch that runs
 again overwrites its own folder, so a replay changes nothing, and no batch ever
 rewrites older data.  The documents, named by ``(_index, _id)``, are what
-:func:`roadlog.operators.keyed.apply_actions` makes of base and log;
-:func:`compact_documents` moves them into a new base from time to time, and can
-then drop the older base and the part of the log that went into it.
+:func:`roadlog.operators.keyed.apply_actions` makes of base and log.  The base is a
+bucketed table (:mod:`roadlog.operators.store`): :func:`compact_documents` merges the log
+into the buckets it touches from time to time, and can then drop what only older versions
+need and the part of the log that went in.  Readers apply the rest of the log to
+the buckets it touches and take the others as they are.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadlog.functions.columns import index_from_file_path
+from roadlog.operators import store
 from roadlog.operators.documents import document_ids
 from roadlog.operators.keyed import apply_actions
 from roadlog.operators.ordered import positions
@@ -30,7 +32,7 @@ from roadlog.workspace import remove_folder
 LOG_SCHEMA = "number long, pair long, op string, _index string, _id string, source string, batch long"
 LOG_ORDER = ("batch", "number", "pair")
 BASE_SCHEMA = "_index string, _id string, source string"
-POINTER_SCHEMA = "upto long, version string"
+BASE_NAMES = ("_index", "_id", "source")
 
 
 # --- uploads ------------------------------------------------------------------
@@ -198,16 +200,6 @@ def logged_actions(spark: SparkSession, log: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(log)
 
 
-def _newest(spark: SparkSession, base: str | None) -> tuple[int, str | None]:
-    """Last batch in the newest version of a base, and its folder (a row a version is read)."""
-    if base is None:
-        return -1, None
-    last = (
-        spark.read.schema(POINTER_SCHEMA).parquet(f"{base}/pointer").agg(F.max(F.struct("upto", "version")).alias("v"))
-    ).first()["v"]
-    return (-1, None) if last is None else (last.upto, f"{base}/{last.version}")
-
-
 def current_documents(
     spark: SparkSession,
     log: str,
@@ -217,41 +209,58 @@ def current_documents(
 ) -> DataFrame:
     """``(_index, _id, source)`` after every logged action; ``index`` picks one index.
 
-    ``upto`` leaves out later batches.  Of a base only the newest version is
-    read, and of the log only the batches after it.
+    ``upto`` leaves out later batches.  Of a base only the newest version is read, of
+    the log only the batches after it, and only the buckets that those name meet the
+    actions.
     """
-    done, version = _newest(spark, base)
-    old = spark.read.schema(BASE_SCHEMA).parquet(version) if version else spark.createDataFrame([], BASE_SCHEMA)
-    actions = logged_actions(spark, log).filter(F.col("batch") > done)
+    snapshot = None if base is None else store.open_version(spark, base)
+    actions = logged_actions(spark, log)
+    if snapshot is not None:
+        actions = actions.filter(F.col("batch") > snapshot.mark)
     if upto is not None:
         actions = actions.filter(F.col("batch") <= upto)
     if index is not None:
         actions = actions.filter(F.col("_index") == index)
-        old = old.filter(F.col("_index") == index)
-    return apply_actions(old, actions, LOG_ORDER).table
+    if snapshot is None:
+        return apply_actions(spark.createDataFrame([], BASE_SCHEMA), actions, LOG_ORDER).table
+
+    def old(buckets: list[int]) -> DataFrame:
+        docs = store.documents(snapshot, buckets)
+        return docs if index is None else docs.filter(F.col("_index") == index)
+
+    names = actions.filter(F.col("_id").isNotNull()).select(F.coalesce("_index", F.lit("")).alias("_index"), "_id")
+    touched = store.touched_buckets(names, snapshot.buckets)
+    others = [b for b in range(snapshot.buckets) if b not in set(touched)]
+    merged = apply_actions(old(touched), actions, LOG_ORDER).table
+    return merged.select(*BASE_NAMES).unionByName(old(others).select(*BASE_NAMES))
 
 
 def compact_documents(
-    spark: SparkSession, log: str, base: str, first: bool = False, trim: bool = False
+    spark: SparkSession,
+    log: str,
+    base: str,
+    first: bool = False,
+    trim: bool = False,
+    buckets: int = store.BUCKETS,
 ) -> None:
-    """Write the current documents as a new base version; ``first`` when there is none.
+    """Merge the log into the base; ``first`` makes a base of so many ``buckets``.
 
-    The version counts once its row in the pointer table is there.  Run it between
+    Only buckets that the log touches are read and written.  Run it between
     batches: a batch that is just being written would count as complete.
-    ``trim`` then removes the version before and the batches that went into the
-    new one; without it they are left as they are.
+    ``trim`` then removes what only older versions need and the batches that went in;
+    without it they are left as they are.
     """
-    done, older = _newest(spark, None if first else base)
+    if first:
+        store.create(spark.createDataFrame([], BASE_SCHEMA), base, buckets)
+    done = store.open_version(spark, base).mark
     upto = spark.read.schema(LOG_SCHEMA).parquet(log).agg(F.max("batch")).first()[0]
     if upto is None or upto <= done:
         return
-    version = f"upto-{upto}-{uuid.uuid4().hex[:8]}"
-    current_documents(spark, log, None if first else base, upto=upto).write.parquet(f"{base}/{version}")
-    spark.createDataFrame([(upto, version)], POINTER_SCHEMA).write.mode("append").parquet(f"{base}/pointer")
+    fresh = logged_actions(spark, log).filter((F.col("batch") > done) & (F.col("batch") <= upto))
+    store.merge(spark, base, fresh, LOG_ORDER, mark=upto)
     if trim:
+        store.vacuum(spark, base)
         batches = spark.read.schema(LOG_SCHEMA).parquet(log).filter(F.col("batch") <= upto).select("batch").distinct()
         # one number a micro-batch
         for row in batches.collect():
             remove_folder(spark, f"{log}/batch={row.batch}")
-        if older:
-            remove_folder(spark, older)

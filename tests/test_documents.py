@@ -502,6 +502,19 @@ def test_reindex_and_where(spark):
     assert [(r["_index"], r["_id"], r["n"]) for r in into] == [("new", "1", 1), ("new", "2", 2), ("new", "3", 3), ("old", "1", None)]
     assert ids(keyed.delete_where(src, "v > 5")) == ["1", "3"]
     assert ids(keyed.delete_where(src, "v > 1", max_docs=1, order=["v"])) == ["2", "3"]
+    # a name has two columns: one row of "a" goes, none of "b", whose row does not match
+    two = spark.sql("select * from values ('a', 1, 10), ('b', 1, 1), ('a', 2, 10), ('a', null, 10), (null, 1, 10) as t(_index, _id, v)")
+    gone = lambda **o: sorted(((r["_index"], r["_id"]) for r in rows(keyed.delete_where(two, "v = 10", **o))), key=str)
+    assert gone(max_docs=1) == [("a", 1), ("a", 2), ("a", None), ("b", 1)]
+    assert gone(max_docs=2) == [("a", 1), ("a", 2), ("b", 1)]
+    assert gone(max_docs=2, order=["_id:desc"]) == [("a", 1), ("a", None), ("b", 1)]
+    assert gone(max_docs=9) == [("b", 1)] and len(gone(max_docs=0)) == 5
+    capped = keyed.update_where(two, "v = 10", {"v": "v + _id", "w": F.lit(1)}, 2, ["_id"])
+    assert capped.columns == ["_index", "_id", "v", "w"]
+    assert sorted(((r["_index"], r["_id"], r["v"], r["w"]) for r in rows(capped)), key=str) == [
+        ("a", 1, 11, 1), ("a", 2, 10, None), ("a", None, 10, None), ("b", 1, 1, None), (None, 1, 11, 1)
+    ]
+    assert rows(keyed.match_tally(two, "v = 10", 2)) == [{"total": 5, "matched": 2}]
     changed = keyed.update_where(src, "v > 5", {"v": "v + 1", "w": F.col("v")})
     assert [(r["v"], r["w"]) for r in rows(changed, "_id")] == [(5, None), (10, 9), (None, None)]
     assert rows(keyed.match_tally(src, "v > 5")) == [{"total": 3, "matched": 1}]
@@ -519,6 +532,13 @@ def test_lookup(spark, docs):
     got = rows(search.lookup(docs, ["3", "x", "3"]))
     assert sorted((r["_id"], r["found"], r["name"]) for r in got if r["found"]) == [("3", True, "n3")] * 2
     assert [r["name"] for r in got if not r["found"]] == [None]
+    pairs = docs.withColumn("_index", F.when(F.col("v") == 1, "one").otherwise("other"))
+    both = ["_index", "_id"]
+    listed = rows(search.lookup(pairs, [("one", "1"), ("other", "1"), ("other", "2")], both), *both)
+    assert [(r["_index"], r["_id"], r["found"]) for r in listed] == [("one", "1", True), ("other", "1", False), ("other", "2", True)]
+    asked = spark.createDataFrame([("one", "1"), ("other", "1"), (None, "2")], "_index string, _id string")
+    assert sorted(r["found"] for r in rows(search.exists_ids(pairs, asked, both))) == [False, False, True]
+    assert search.existing_ids(pairs, asked, both).count() == 1 and search.missing_ids(pairs, asked, both).count() == 2
     wanted = spark.createDataFrame([("3",), ("x",), ("3",)], "_id string")
     assert rows(search.lookup(docs, wanted)) == got
     assert ids(search.existing_ids(docs, wanted)) == ["3", "3"] and ids(search.missing_ids(docs, wanted)) == ["x"]

@@ -28,7 +28,7 @@ def files(root, version=None):
 
 def test_merge_touches_named_buckets_only(spark, tmp_path):
     root = tmp_path / "store"
-    first = store.create(docs_of(spark), str(root), 50)
+    first = store.create(docs_of(spark), str(root), 20)
     before = files(root)
     actions = spark.createDataFrame(
         [(1, "update", "a", "d3", '{"doc":{"w":1}}'), (2, "delete", "b", "d5", None), (3, "index", "c", "new", "{}")], ACTIONS
@@ -62,13 +62,13 @@ def test_many_merges_equal_one_apply(spark, tmp_path):
         source = {"update": f'{{"doc":{{"u{seq % 4}":{seq}}}}}', "delete": None}.get(op, f'{{"v":{seq}}}')
         acts.append((seq, op, rnd.choice(["a", "b", None]), f"d{rnd.randint(0, 12)}", source))
     base = docs_of(spark, 12)
-    store.create(base, str(tmp_path), 7)
-    for part in range(3):
-        own = spark.createDataFrame(acts[part * 40 : part * 40 + 40], ACTIONS)
+    store.create(base, str(tmp_path), 5)
+    for part in range(2):
+        own = spark.createDataFrame(acts[part * 60 : part * 60 + 60], ACTIONS)
         last = store.merge(spark, str(tmp_path), own, mark=part)
     whole = keyed.apply_actions(base, spark.createDataFrame(acts, ACTIONS)).table
     assert contents(store.scan(last)) == contents(whole)
-    assert (last.number, last.mark) == (3, 2)
+    assert (last.number, last.mark) == (2, 1)
 
 
 def test_incomplete_scan_fails(spark, tmp_path):

@@ -5,6 +5,7 @@ from conftest import rows
 
 from pyspark.sql import types as T
 
+from roadlog.operators import store
 from roadlog.operators.rollups import group_count
 from roadlog.sinks.tables import append_partitioned
 from roadlog.sources.messages import read_messages
@@ -164,7 +165,7 @@ def test_uploads(spark, tmp_path):
     assert current(spark, tmp_path) == both
     assert current(spark, tmp_path, index="next") == {("next", "1"): {"v": "next"}}
     # a compacted base and the rest of the log say the same, index by index
-    documents.compact_documents(spark, f"{tmp_path}/log", f"{tmp_path}/base", first=True)
+    documents.compact_documents(spark, f"{tmp_path}/log", f"{tmp_path}/base", first=True, buckets=6)
     assert current(spark, tmp_path, f"{tmp_path}/base") == both
     assert current(spark, tmp_path, f"{tmp_path}/base", mine) == {(mine, "1"): {"v": 1, "w": 2}}
     put(tmp_path / "in", "third.json", lines({"index": {"_id": "3"}}, {"v": 3}))
@@ -174,7 +175,8 @@ def test_uploads(spark, tmp_path):
     documents.compact_documents(spark, f"{tmp_path}/log", f"{tmp_path}/base", trim=True)
     assert current(spark, tmp_path, f"{tmp_path}/base") == more
     # nothing is left of the version before and of the log
-    assert len([p for p in (tmp_path / "base").iterdir() if p.name.startswith("upto-")]) == 1
+    named = rows(store.open_version(spark, f"{tmp_path}/base").manifest)
+    assert len(list((tmp_path / "base" / "data").rglob("*.parquet"))) == len(named)
     assert not list((tmp_path / "log").glob("batch=*"))
     put(tmp_path / "in", "fourth.json", lines({"index": {"_id": "3", "_index": "third"}}, {"v": 4}))
     upload(spark, tmp_path)
