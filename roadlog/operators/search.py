@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlog.functions.paths import project_paths
 from roadlog.operators.nested import schema_profile
 
 Predicate = Column | str | None
@@ -55,17 +56,24 @@ def search_page(
     size: int = 10,
     columns: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
+    source_includes: Sequence[str] = (),
+    source_excludes: Sequence[str] = (),
 ) -> DataFrame:
     """One page of the matching documents.
 
-    With a sort the page is a distributed top-k of ``offset + size`` rows.
+    With a sort the page is a distributed top-k of ``offset + size`` rows.  The last two
+    arguments are paths inside ``source`` (:func:`roadlog.functions.paths.project_paths`);
+    only the sources of the page are cut.
     """
     hits = _matching(docs, predicate)
     if sort:
         hits = hits.orderBy(*_sort_columns(docs, sort))
     page = hits.offset(offset).limit(size) if offset else hits.limit(size)
     shown = [c for c in (columns or docs.columns) if c not in exclude]
-    return page.select(*shown)
+    page = page.select(*shown)
+    if (source_includes or source_excludes) and "source" in shown:
+        page = page.withColumn("source", project_paths(F.col("source"), source_includes, source_excludes))
+    return page
 
 
 def match_count(docs: DataFrame, predicate: Predicate = None) -> DataFrame:
