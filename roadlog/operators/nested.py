@@ -211,20 +211,26 @@ _TYPE_NAME = (
 )
 
 
-def schema_profile(df: DataFrame, col: str) -> DataFrame:
-    """``(path, type, n)``: how often each object member has which type.
+def schema_profile(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, path, type, n)``: how often each object member has which type.
 
-    Lists are not looked into.  Types carry Python's names.
+    Lists are not looked into.  Types carry Python's names.  ``by`` profiles each
+    value of some columns for itself.
     """
+    own = [f"_by{i}" for i in range(len(by))]
     opened = _nodes(
-        df.select(_as_variant(df, col).alias("_doc")), F.col("_doc"), into_lists=False, keep_objects=True
+        df.select(_as_variant(df, col).alias("_doc"), *[F.col(c).alias(o) for c, o in zip(by, own)]),
+        F.col("_doc"),
+        into_lists=False,
+        keep_objects=True,
     )
-    members = opened.select(F.inline_outer("_nodes")).filter(F.size("path") > 0)
+    members = opened.select(*own, F.inline_outer("_nodes")).filter(F.size("path") > 0)
     return (
-        members.select(F.array_join("path", ".").alias("path"), F.expr(_variant_kind("value")).alias("kind"))
-        .select("path", F.expr(_TYPE_NAME.format(kind="kind")).alias("type"))
-        .groupBy("path", "type")
+        members.select(*own, F.array_join("path", ".").alias("path"), F.expr(_variant_kind("value")).alias("kind"))
+        .select(*own, "path", F.expr(_TYPE_NAME.format(kind="kind")).alias("type"))
+        .groupBy(*own, "path", "type")
         .agg(F.count("*").alias("n"))
+        .select(*[F.col(o).alias(c) for c, o in zip(by, own)], "path", "type", "n")
     )
 
 

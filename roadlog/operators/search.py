@@ -218,6 +218,17 @@ def observed_fields(df: DataFrame, col: str, index: str) -> DataFrame:
     )
 
 
+def fields_by_index(docs: DataFrame, col: str = "source") -> DataFrame:
+    """``(index, field, type)`` found in a table of documents of several indices, in one pass.
+
+    A missing ``_index`` is the index ``""``.
+    """
+    named = docs.withColumn("_index", F.coalesce(F.col("_index").cast("string"), F.lit("")))
+    return schema_profile(named, col, ("_index",)).select(
+        F.col("_index").alias("index"), F.col("path").alias("field"), "type"
+    )
+
+
 def field_caps(*fields: DataFrame) -> DataFrame:
     """``(field, type, indices)``: in which tables a field has which type.
 
