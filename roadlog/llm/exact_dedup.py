@@ -34,6 +34,7 @@ BUCKET = 1024
 # bits of a level for each digest that is to be placed
 ROOM = 2
 DIGEST = 32
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # stands for a null doc_id inside: it counts as the least
 _NO_ID = -(2**63)
 
@@ -194,12 +195,26 @@ def deduplicate(docs: DataFrame, fresh: Column) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, fresh: Column) -> DataFrame:
-    """The documents that stay, with all their columns.
+    """One row of each text, with all its columns: the one with the largest ``doc_id``.
 
-    ``doc_id`` names a document: rows that share one stay if any of them does,
-    and rows that repeat in every column become one.
+    Of rows that repeat both text and ``doc_id``, and of rows of a text that has no
+    ``doc_id`` at all, any one stays.  Columns may be of any type.
     """
-    # the id as a column of its own: what the join has dealt out is not dealt again
-    named = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_kept_id")
-    keys = deduplicate(docs, fresh).filter("kept").select(named).distinct()
-    return docs.select("*", named).join(keys, "_kept_id", "left_semi").distinct().drop("_kept_id")
+    lowered = F.translate(F.coalesce("text", F.lit("")), _UPPER, _UPPER.lower())
+    own = [
+        F.unhex(F.sha2(lowered.cast("binary"), 256)).alias("_digest"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_kept_id"),
+    ]
+    stays = written(
+        deduplicate(docs, fresh)
+        .filter("kept")
+        .groupBy(F.col("digest").alias("_digest"), F.coalesce("doc_id", F.lit(_NO_ID)).alias("_kept_id"))
+        .agg(F.count("*").alias("_n")),
+        "kept-digests",
+    )
+    key = ["_digest", "_kept_id"]
+    rows = docs.select("*", *own)
+    # rows that are alike in both are few, as a rule none; only they are gathered
+    one = rows.join(stays.filter("_n = 1").drop("_n"), key, "left_semi")
+    several = rows.join(stays.filter("_n > 1").drop("_n"), key, "left_semi").dropDuplicates(key)
+    return one.unionAll(several).select(*docs.columns)

@@ -56,7 +56,19 @@ def test_members_and_strangers(spark):
 def test_documents_that_stay(spark, awkward, no_docs):
     kept = exact_dedup.distinct_documents(awkward, F.col("doc_id") > 5)
     assert kept.columns == awkward.columns
-    # of the rows under id 9 both stay; of the two equal rows under id 2 one
-    assert sorted((r["doc_id"] for r in found(kept)), key=str) == sorted([2, None, None, 4, 5, 6, 7, 8, 9, 9, 11, 12, 13], key=str)
+    # one row of each text, the one with the largest id
+    expected = {}
+    for i, text, *_ in AWKWARD:
+        expected.setdefault(lowered(text), []).append(i)
+    expected = {t: max((i for i in ids if i is not None), default=None) for t, ids in expected.items()}
+    assert sorted(((lowered(r["text"]), r["doc_id"]) for r in found(kept)), key=str) == sorted(expected.items(), key=str)
     assert exact_dedup.distinct_documents(no_docs, F.lit(True)).count() == 0
     assert exact_dedup.deduplicate(no_docs, F.lit(False)).count() == 0
+
+
+def test_rows_without_or_with_shared_ids(spark):
+    rows = [(None, "A text here"), (None, "a text here"), (5, "dup"), (5, "unique"), (9, "DUP"), (9, "DUP"), (None, "unique")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "map('k', text) AS more", "1 AS _n")
+    for fresh in (F.lit(True), F.col("doc_id") == 5, F.lit(False)):
+        kept = sorted(((r["doc_id"], lowered(r["text"])) for r in found(exact_dedup.distinct_documents(docs, fresh))), key=str)
+        assert kept == [(5, "unique"), (9, "dup"), (None, "a text here")]
