@@ -11,20 +11,23 @@ whole tokens, rounded down (less than one token is lost at a node).
 
 A leaf gives its tokens in seeded epochs: whole passes over its documents, then
 the longest prefix that fits of one more pass in an order drawn from the seed, the
-number of the pass and ``doc_id``.  The prefix is found by blocks of that order
+number of the pass, ``doc_id`` and the text.  The prefix is found by blocks of that order
 (sums of blocks first, running sums inside a block), so a leaf of any size is cut
-by many tasks.
+by many tasks.  Rows alike in id and text are one unit of the order, counted before it is
+made; where a prefix ends inside such a unit, some of its rows are in it and some not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlog.llm.common import WORD
+from roadlog.operators.ordered import positions
 from roadlog.workspace import written
 
 # documents in a block of a leaf's order, about
@@ -128,20 +131,28 @@ def mix(
     The budget is ``share`` (numerator, denominator) of all tokens; no document is
     used more than ``epochs`` times.  ``tokens`` defaults to the number of words.
     A null node counts as the node ``''``, a null text has no tokens.  Rows that
-    repeat ``doc_id`` are documents of their own with the same place in the order.
+    share a ``doc_id``, and rows without one, are documents of their own; of rows alike in
+    id and text some may be used once more than others.  ``text_key`` names the text.
     """
     names = [level.name for level in levels]
+    text_key = F.md5(F.coalesce("text", F.lit("")).cast("binary")) if "text" in docs.columns else F.md5(F.lit(b""))
     rows = written(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             *[F.coalesce(level.node, F.lit("")).alias(level.name) for level in levels],
             (word_count() if tokens is None else F.coalesce(tokens.cast("long"), F.lit(0))).alias("tokens"),
+            text_key.alias("text_key"),
         ),
         "mix-rows",
     )
+    # rows alike are one unit; a unit as a rule is one row
+    units = written(
+        rows.groupBy("doc_id", *names, "tokens", "text_key").agg(F.count("*").alias("n_rows")), "mix-units"
+    )
     # one row a leaf
     leaves = written(
-        rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "mix-leaves"
+        units.groupBy(*names).agg(F.sum(F.col("tokens") * F.col("n_rows")).alias("tokens"), F.count("*").alias("n")),
+        "mix-leaves",
     )
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     budgets = leaf_budgets(leaves, levels, total * share[0] // share[1], epochs).select(
@@ -150,16 +161,18 @@ def mix(
         F.expr("if(tokens = 0, 0, given % tokens)").alias("prefix"),
         F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("n") / BLOCK))).cast("int").alias("digits"),
     )
-    order = F.md5(F.concat_ws("/", F.lit(seed), "passes", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    order = F.md5(F.concat_ws("/", F.lit(seed), "passes", doc_id, "text_key"))
     placed = written(
-        rows.join(budgets, names)
+        units.join(budgets, names)
+        .withColumn("held", F.col("tokens") * F.col("n_rows"))
         .withColumn("order", order)
         .withColumn("block", F.substring("order", F.lit(1), F.col("digits"))),
         "mix-placed",
     )
     blocks = (
         placed.groupBy(*names, "block")
-        .agg(F.sum("tokens").alias("in_block"))
+        .agg(F.sum("held").alias("in_block"))
         .withColumn(
             "before",
             F.coalesce(
@@ -171,27 +184,73 @@ def mix(
         )
         .drop("in_block")
     )
+    # the tokens of a row tell units apart that share all else
     in_block = (
         Window.partitionBy(*names, "block")
-        .orderBy("order", "doc_id")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        .orderBy("order", "doc_id", "tokens")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    upto = F.col("before") + F.sum("tokens").over(in_block)
-    return (
+    earlier = F.col("before") + F.coalesce(F.sum("held").over(in_block), F.lit(0))
+    room = F.greatest(F.col("prefix") - earlier, F.lit(0))
+    # units without tokens fit wherever the prefix has not ended
+    fitting = F.when(F.col("tokens") == 0, F.when(earlier <= F.col("prefix"), F.col("n_rows")).otherwise(0)).otherwise(
+        F.least(F.col("n_rows"), F.expr("_room div greatest(tokens, 1)"))
+    )
+    fits = (
         placed.join(blocks, [*names, "block"])
-        .withColumn("in_prefix", ((F.col("prefix") > 0) & (upto <= F.col("prefix"))).cast("long"))
-        .select("doc_id", *names, "tokens", (F.col("passes") + F.col("in_prefix")).alias("copies"))
+        .withColumn("_room", room)
+        .withColumn("_more", F.when(F.col("prefix") > 0, fitting).otherwise(0))
+        .select("doc_id", *names, "tokens", "text_key", "n_rows", F.col("passes").alias("_all"), "_more")
     )
+    key = ["doc_id", *names, "tokens", "text_key"]
+    return _dealt_to_rows(rows, fits, key).select("doc_id", *names, "tokens", "text_key", F.col("_copies").alias("copies"))
+
+
+def _dealt_to_rows(rows: DataFrame, units: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``rows`` with ``_copies``: ``_all`` of their unit, and one more for ``_more`` of its ``n_rows``.
+
+    Rows are counted out only in units that are neither whole nor left out, of which a
+    leaf has one at most.
+    """
+    units = written(units, "mix-fits")
+    whole = (F.col("_more") == 0) | (F.col("_more") >= F.col("n_rows"))
+
+    def joined(part: DataFrame) -> DataFrame:
+        named = part.select(*[F.col(c).alias(f"_u{i}") for i, c in enumerate(key)], "_all", "_more")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_u{i}")) for i, c in enumerate(key)])
+        return rows.join(named, same)
+
+    even = joined(units.filter(whole)).withColumn("_copies", F.col("_all") + F.least(F.col("_more"), F.lit(1)))
+    names = [f"_u{i}" for i in range(len(key))]
+    counted = positions(joined(units.filter(~whole)), names, "_place")
+    # the first place of each unit; as many rows as leaves
+    first = counted.groupBy(*names).agg(F.min("_place").alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_f{c}")) for c in names])
+    odd = counted.join(first.select(*[F.col(c).alias(f"_f{c}") for c in names], "_first"), same).withColumn(
+        "_copies", F.col("_all") + (F.col("_place") - F.col("_first") < F.col("_more")).cast("long")
+    )
+    return even.select(*rows.columns, "_copies").unionAll(odd.select(*rows.columns, "_copies"))
 
 
 def mixed_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as ``mixed (doc_id, copies)`` says; rows that
-    share a ``doc_id`` as often as the most used of them."""
-    copies = (
-        mixed.filter("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
+    """The rows of ``docs`` as often as ``mixed (doc_id, text_key, copies)`` says; of rows
+    alike in id and text any come as often as it says of them together."""
+    units = mixed.groupBy("doc_id", "text_key").agg(F.sum("copies").alias("_sum"), F.count("*").alias("n_rows")).select(
+        F.col("doc_id").alias("_doc_id"),
+        F.col("text_key").alias("_text_key"),
+        "n_rows",
+        F.expr("_sum div n_rows").alias("_all"),
+        (F.col("_sum") % F.col("n_rows")).alias("_more"),
+    )
+    rows = docs.withColumns(
+        {
+            "_doc_id": F.col("doc_id").cast("long"),
+            "_text_key": F.md5(F.coalesce("text", F.lit("")).cast("binary")),
+        }
     )
     return (
-        docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
+        _dealt_to_rows(rows, units.filter("_all + _more > 0"), ["_doc_id", "_text_key"])
+        .filter("_copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
         .select(*docs.columns)
     )

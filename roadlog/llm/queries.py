@@ -229,7 +229,7 @@ def _dealt(children: str, name: str, parent: str) -> str:
       SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
         coalesce('domain' || coalesce(CAST(nullif(regexp_extract(source, '[0-9]{{1,2}}$'), '') AS INTEGER) % 4, -1), '')
           AS domain,
-        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens, md5(coalesce(text, '')) AS text_key
       FROM documents),
     leaves AS (
       SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows_ GROUP BY ALL),
@@ -250,7 +250,7 @@ def _dealt(children: str, name: str, parent: str) -> str:
       FROM rows_ r JOIN s USING (domain, lang, source)),
     summed AS (
       SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source
-        ORDER BY md5('7/' || passes || '/' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) AS upto
+        ORDER BY md5('7/' || passes || '/' || coalesce(CAST(doc_id AS VARCHAR), '') || '/' || text_key), doc_id) AS upto
       FROM placed)
     SELECT doc_id, domain, lang, source, tokens,
       CAST(passes + CASE WHEN prefix > 0 AND upto <= prefix THEN 1 ELSE 0 END AS BIGINT) AS copies
@@ -259,7 +259,7 @@ def _dealt(children: str, name: str, parent: str) -> str:
 )
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Half of all tokens, dealt through domain, language and source."""
-    return mixing.mix(table(spark, folder, "documents"), mix_levels())
+    return mixing.mix(table(spark, folder, "documents"), mix_levels()).drop("text_key")
 
 
 @query()

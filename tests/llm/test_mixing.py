@@ -30,8 +30,9 @@ def filled(children, budget):
     }
 
 
-def brute(rows, weights, budget, epochs, seed):
-    """Copies of ``(id, path, tokens)``; ``weights(path)`` is the weight of a node."""
+def brute(rows, weights, budget, epochs, seed, text=None):
+    """Copies of ``(id, path, tokens)``; ``weights(path)`` is the weight of a node, ``text``
+    has the text of an id."""
     held = defaultdict(int)
     for _, path, n in rows:
         for depth in range(len(path) + 1):
@@ -49,14 +50,13 @@ def brute(rows, weights, budget, epochs, seed):
 
         def place(x):
             shown = "" if x[0] is None else x[0]
-            return hashlib.md5(f"{seed}/{passes}/{shown}".encode()).hexdigest()
-
-        places = sorted({place(x) for x in own})
-        upto, sums = 0, {}
-        for p in places:
-            upto += sum(x[1] for x in own if place(x) == p)
-            sums[p] = upto
-        out += [(x[0], leaf, x[1], passes + (0 < prefix and sums[place(x)] <= prefix)) for x in own]
+            key = hashlib.md5(((text or {}).get(x[0]) or "").encode()).hexdigest()
+            return hashlib.md5(f"{seed}/{passes}/{shown}/{key}".encode()).hexdigest(), x[1]
+
+        upto = 0
+        for x in sorted(own, key=place):
+            upto += x[1]
+            out.append((x[0], leaf, x[1], passes + (0 < prefix and upto <= prefix)))
     return sorted(out, key=repr)
 
 
@@ -108,11 +108,24 @@ def test_documents_come_as_often_as_said(spark, awkward, no_docs):
     assert sum(r["tokens"] for r in rows if r["doc_id"] == 7) == 40_000
     out = mixing.mixed_documents(awkward, mixed)
     assert out.columns == awkward.columns
-    most = {}
-    for r in rows:
-        most[r["doc_id"]] = max(r["copies"], most.get(r["doc_id"], 0))
     expected = Counter()
-    for i, *_ in AWKWARD:
-        expected[i] += most[i]
-    assert Counter(r["doc_id"] for r in found(out)) == +expected
+    for r in rows:
+        expected[r["doc_id"], r["text_key"]] += r["copies"]
+    named = Counter((r["doc_id"], hashlib.md5((r["text"] or "").encode()).hexdigest()) for r in found(out))
+    assert named == +expected
     assert mixing.mix(no_docs, mix_levels()).count() == 0
+    assert mixing.mixed_documents(no_docs, mixing.mix(no_docs, mix_levels())).count() == 0
+
+
+@pytest.mark.parametrize("same_text", [False, True])
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_rows_without_or_with_one_id(spark, monkeypatch, doc_id, same_text):
+    """A prefix ends among them as among any others."""
+    monkeypatch.setattr(mixing, "BLOCK", 20)
+    rows = [(doc_id, "one two three four" if same_text else f"one two three w{i}", "en", "src1", {"k": i}) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, more map<string,int>")
+    mixed = mixing.mix(docs, mix_levels())
+    copies = [r["copies"] for r in found(mixed)]
+    assert sum(copies) == 150 and set(copies) == {0, 1}
+    out = found(mixing.mixed_documents(docs, mixed))
+    assert len(out) == 150 and len({r["more"]["k"] for r in out}) == 150

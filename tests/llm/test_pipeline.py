@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from roadlog.llm import bpe, quality
 from roadlog.llm.queries import QUERIES, SQL
+from roadlog.workspace import written
 
 
 def weight_of(path):
@@ -53,7 +54,7 @@ def plain_pipeline(spark, folder):
     ]
     share = corpus_pipeline.SHARE
     total = sum(n for *_, n in rows)
-    copies = {i: c for i, *_, c in mix_brute(rows, weight_of, total * share[0] // share[1], 3, 7)}
+    copies = {i: c for i, *_, c in mix_brute(rows, weight_of, total * share[0] // share[1], 3, 7, text)}
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     tokens = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     out = Counter()
@@ -70,6 +71,24 @@ def test_pipeline_against_plain_code(spark, small):
     assert got == plain_pipeline(spark, small)
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark, small):
+    """A third of the rows without id: dedup and mixture treat them by their texts."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    nameless = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id")))
+    once = written(corpus_pipeline.drop_copies(spark, nameless, small), "once")
+    largest = {}
+    for r in found(nameless):
+        key = lowered(r["text"])
+        largest[key] = max(r["doc_id"] or -1, largest.get(key, -1))
+    assert sorted((lowered(r["text"]), r["doc_id"] or -1) for r in found(once)) == sorted(largest.items())
+    apart = written(corpus_pipeline.drop_near_copies(spark, once, small), "apart")
+    assert 0 < apart.filter("doc_id IS NULL").count() <= once.filter("doc_id IS NULL").count()
+    words = lambda df: sum(len((r["text"] or "").split()) for r in found(df))
+    mixed, total = corpus_pipeline.mix_sources(spark, apart, small), words(apart)
+    assert 0.9 * total * 3 / 4 <= words(mixed) <= total * 3 / 4
+    assert mixed.filter("doc_id IS NULL").count() > 0
+
+
 def test_good_documents_stay(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -101,4 +120,4 @@ def test_entry_adds_the_queries():
 
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(SQL) <= set(__spark_entry__.oracle_sql())
-    assert len([n for n in QUERIES if n.startswith("op")]) == 10
+    assert len([n for n in QUERIES if n.startswith("op")]) == 13
