@@ -85,7 +85,8 @@ def test_rows_without_an_id_are_documents_of_their_own(spark, small):
     assert 0 < apart.filter("doc_id IS NULL").count() <= once.filter("doc_id IS NULL").count()
     words = lambda df: sum(len((r["text"] or "").split()) for r in found(df))
     mixed, total = corpus_pipeline.mix_sources(spark, apart, small), words(apart)
-    assert 0.9 * total * 3 / 4 <= words(mixed) <= total * 3 / 4
+    # whole documents of many small leaves
+    assert total * 3 / 8 <= words(mixed) <= total * 3 / 4
     assert mixed.filter("doc_id IS NULL").count() > 0
 
 
