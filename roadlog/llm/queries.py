@@ -137,6 +137,7 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
         count(2).alias("n_hex"),
         F.sha2(_span_text(base, secrets.KINDS), 256).alias("base_sha256"),
         _span_text(F.col("spans"), secrets.KINDS).alias("spans"),
+        "n_tested",
     )
 
 
