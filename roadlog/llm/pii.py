@@ -2,8 +2,8 @@
 
 The fixed formats (mail addresses, IP addresses, card and phone numbers) are the
 seeds.  Every word-like token with a digit or an at sign is an occurrence of an
-instance (the token without punctuation around it) in a pattern (the two words
-before it, lower case).  Patterns and instances form a graph whose edges are the
+instance (the token without punctuation around it) in patterns that back off: the two
+words before it, the one before it, the one behind it (lower case).  Patterns and instances form a graph whose edges are the
 distinct pairs.  Scores go to and fro: a pattern scores the mean of its
 instances, damped for patterns seen with few; an instance that is no seed scores
 as if its patterns spoke independently.  After some rounds, patterns that score
@@ -12,14 +12,15 @@ stands in them is reported as ``context``.
 
 Everything is column expressions and joins of narrow tables.  A regular
 expression gives strings and not places, so matches are paired with the pieces of
-text between them, whose lengths add up to the places.
+text between them, whose lengths add up to the places: within chunks of a few
+matches, and over the sums of the chunks, so the work grows with the matches.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlog.llm.common import let
@@ -46,8 +47,8 @@ _CORE = r"[0-9A-Za-z+](?:.*[0-9A-Za-z])?"
 _EDGE = r"^[^0-9A-Za-z+]*+"
 # leading zeros are given back to a part that is zero; a part can be read in one way only
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-# code points before a token in which its two words are looked for
-_BEFORE = 64
+# code points around a token in which its words are looked for
+_AROUND = 64
 
 
 @dataclass(frozen=True)
@@ -61,29 +62,58 @@ class Settings:
     shortest: int = 5
 
 
-_NO_MATCHES = "array<struct<start:int,finish:int,value:string,gap:string>>"
+_NO_MATCHES = "array<struct<start:int,finish:int,value:string,gap:string,after:string>>"
+# matches whose places are added up one after the other
+_CHUNK = 64
+
+
+def _chunks(n: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor((n - 1) / _CHUNK).cast("int"))
+
+
+def _chunk(items: Column, number: Column) -> Column:
+    return F.slice(items, number * _CHUNK + 1, F.lit(_CHUNK))
+
+
+def _sums_before(values: Column) -> Column:
+    """The sum of the values before each, of a short array."""
+    return F.aggregate(
+        values,
+        F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out")),
+        lambda a, v: F.struct((a["sum"] + v).alias("sum"), F.concat(a["out"], F.array(a["sum"])).alias("out")),
+        lambda a: a["out"],
+    )
 
 
 def matches(text: Column | str, pattern: str) -> Column:
-    """``(start, finish, value, gap)`` of all matches of an expression without groups;
-    ``gap`` is the text between a match and the one before.  Places in code points."""
+    """``(start, finish, value, gap, after)`` of all matches of an expression without groups;
+    ``gap`` is the text between a match and the one before, ``after`` that up to the next.
+    Places in code points."""
     text = F.col(text) if isinstance(text, str) else text
 
-    def placed(found: Column) -> Column:
-        pieces = F.arrays_zip(found.alias("value"), F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"))
+    def sized(found: Column) -> Column:
+        return F.transform(
+            F.arrays_zip(found.alias("value"), F.split(text, pattern, -1).alias("gap")),
+            lambda p: F.struct(p["value"].alias("value"), p["gap"].alias("gap"), F.length(p["gap"]).alias("space"),
+                               F.coalesce(F.length(p["value"]), F.lit(0)).alias("size")),
+        )
+
+    def placed_chunk(pieces: Column, offsets: Column, k: Column) -> Column:
         return F.aggregate(
-            pieces,
-            F.struct(F.lit(0).alias("at"), F.array().cast(_NO_MATCHES).alias("out")),
-            lambda a, p: F.struct(
-                (a["at"] + F.length(p["gap"]) + F.length(p["value"])).alias("at"),
+            # with the piece behind it
+            F.arrays_zip(_chunk(pieces, k).alias("p"), F.slice(pieces, k * _CHUNK + 2, F.lit(_CHUNK)).alias("next")),
+            F.struct(F.get(offsets, k).alias("at"), F.array().cast(_NO_MATCHES).alias("out")),
+            lambda a, x: F.struct(
+                (a["at"] + x["p"]["space"] + x["p"]["size"]).alias("at"),
                 F.concat(
                     a["out"],
                     F.array(
                         F.struct(
-                            (a["at"] + F.length(p["gap"])).alias("start"),
-                            (a["at"] + F.length(p["gap"]) + F.length(p["value"])).alias("finish"),
-                            p["value"].alias("value"),
-                            p["gap"].alias("gap"),
+                            (a["at"] + x["p"]["space"]).alias("start"),
+                            (a["at"] + x["p"]["space"] + x["p"]["size"]).alias("finish"),
+                            x["p"]["value"].alias("value"),
+                            x["p"]["gap"].alias("gap"),
+                            x["next"]["gap"].alias("after"),
                         )
                     ),
                 ).alias("out"),
@@ -91,9 +121,36 @@ def matches(text: Column | str, pattern: str) -> Column:
             lambda a: a["out"],
         )
 
+    def placed(pieces: Column) -> Column:
+        # the last piece is the text behind the last match
+        sums = F.transform(
+            _chunks(F.size(pieces) - 1),
+            lambda k: F.aggregate(_chunk(pieces, k), F.lit(0), lambda a, p: a + p["space"] + p["size"]),
+        )
+        return let(
+            let(sums, _offsets),
+            lambda offsets: F.filter(
+                F.flatten(F.transform(_chunks(F.size(pieces) - 1), lambda k: placed_chunk(pieces, offsets, k))),
+                lambda m: m["value"].isNotNull(),
+            ),
+        )
+
     return let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda found: F.when(F.size(found) == 0, F.array().cast(_NO_MATCHES)).otherwise(placed(found)),
+        lambda found: F.when(F.size(found) == 0, F.array().cast(_NO_MATCHES)).otherwise(let(sized(found), placed)),
+    )
+
+
+def _offsets(sums: Column) -> Column:
+    """The sum of the sums before each chunk, again by chunks."""
+
+    def within(k: Column, before: Column) -> Column:
+        return F.transform(_sums_before(_chunk(sums, k)), lambda x: x + F.get(before, k))
+
+    totals = F.transform(_chunks(F.size(sums)), lambda k: F.aggregate(_chunk(sums, k), F.lit(0), lambda a, v: a + v))
+    return let(
+        _sums_before(totals),
+        lambda before: F.flatten(F.transform(_chunks(F.size(sums)), lambda k: within(k, before))),
     )
 
 
@@ -144,12 +201,19 @@ def base_spans(text: str = "text") -> Column:
 
 
 def occurrences(text: str = "text") -> Column:
-    """``(start, finish, instance, pattern)`` of the tokens with a digit or an at sign
-    that have a word before them."""
+    """``(start, finish, instance, patterns)`` of the tokens with a digit or an at sign
+    that have words around them: ``2:`` the two before, ``1:`` the one before, ``0:`` the one behind."""
 
     def words(gap: Column) -> Column:
-        found = F.filter(F.split(F.substring(gap, -_BEFORE, _BEFORE), rf"[{_BLANK}]+"), lambda w: w != "")
-        return F.lower(F.array_join(F.slice(found, F.greatest(F.size(found) - 1, F.lit(1)), 2), " "))
+        return F.filter(F.split(gap, rf"[{_BLANK}]+"), lambda w: w != "")
+
+    def patterns(m: Column) -> Column:
+        before = words(F.substring(m["gap"], -_AROUND, _AROUND))
+        behind = words(F.substring(F.coalesce(m["after"], F.lit("")), 1, _AROUND))
+        both = F.when(F.size(before) >= 2, F.concat_ws(" ", F.lit("2:"), F.try_element_at(before, F.lit(-2)), F.try_element_at(before, F.lit(-1))))
+        one = F.when(F.size(before) >= 1, F.concat_ws(" ", F.lit("1:"), F.try_element_at(before, F.lit(-1))))
+        next_one = F.when(F.size(behind) >= 1, F.concat_ws(" ", F.lit("0:"), F.get(behind, F.lit(0))))
+        return F.transform(F.array_compact(F.array(both, one, next_one)), F.lower)
 
     def occurrence(m: Column) -> Column:
         start = m["start"] + F.length(F.regexp_extract(m["value"], _EDGE, 0))
@@ -158,11 +222,11 @@ def occurrences(text: str = "text") -> Column:
             start.alias("start"),
             (start + F.length(instance)).alias("finish"),
             instance.alias("instance"),
-            words(m["gap"]).alias("pattern"),
+            patterns(m).alias("patterns"),
         )
 
     return F.filter(
-        F.transform(matches(text, _TOKEN), occurrence), lambda o: (o["pattern"] != "") & (o["instance"] != "")
+        F.transform(matches(text, _TOKEN), occurrence), lambda o: (F.size(o["patterns"]) > 0) & (o["instance"] != "")
     )
 
 
@@ -198,6 +262,26 @@ def trusted_patterns(edges: DataFrame, s: Settings) -> DataFrame:
     )
 
 
+def _with_seeds(rows: DataFrame) -> DataFrame:
+    """``row, start, finish, instance, patterns, seed`` of the tokens; a seed has characters
+    in common with a span of the fixed formats.
+
+    Spans of a text do not start after they end, so the ends of those that have started
+    and the starts of those that have not tell it.
+    """
+    tokens = rows.select("row", F.inline("tokens"))
+    spans = rows.select("row", F.explode("base").alias("b")).select("row", "b.start", "b.finish")
+    both = tokens.withColumn("fixed", F.lit(False)).unionByName(
+        spans.withColumn("fixed", F.lit(True)), allowMissingColumns=True
+    )
+    so_far = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    to_come = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = F.max(F.when(F.col("fixed"), F.col("finish"))).over(so_far)
+    starts = F.min(F.when(F.col("fixed"), F.col("start"))).over(to_come)
+    seed = F.coalesce(ended > F.col("start"), F.lit(False)) | F.coalesce(starts < F.col("finish"), F.lit(False))
+    return both.withColumn("seed", seed).filter(~F.col("fixed")).drop("fixed")
+
+
 def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, spans`` for every row of ``docs (doc_id, text)``; ``spans`` are
     ``(start, kind, finish)`` in code points, sorted, ``kind`` an index into KINDS.
@@ -217,17 +301,14 @@ def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         ),
         "pii-rows",
     )
-    seen = rows.select("row", "base", F.explode("tokens").alias("t")).select(
-        "row",
-        "t.*",
-        F.exists("base", lambda b: (b["start"] < F.col("t.finish")) & (F.col("t.start") < b["finish"])).alias("seed"),
-    )
+    seen = _with_seeds(rows).withColumn("pattern", F.explode("patterns"))
     edges = written(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
     finds = (
         seen.filter(~F.col("seed") & (F.length("instance") >= s.shortest))
         .join(trusted_patterns(edges, s), "pattern", "left_semi")
         .groupBy("row")
-        .agg(F.collect_list(_span(F.col("start"), "context", F.col("finish"))).alias("more"))
+        # a token that stands in several trusted patterns is one find
+        .agg(F.collect_set(_span(F.col("start"), "context", F.col("finish"))).alias("more"))
     )
     nothing = F.array().cast("array<struct<start:int,kind:int,finish:int>>")
     return rows.join(finds, "row", "left").select(

@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import time
 
+import pytest
 from llm.helpers import AWKWARD, awkward, found, no_docs, table_of
 from pyspark.sql import functions as F
 
@@ -120,6 +122,37 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(len(got[i]) == 1 for i in range(12))
 
 
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 130, 5000])
+def test_places_of_many_matches(spark, n):
+    rnd = random.Random(n)
+    text = "".join(" " * rnd.randint(1, 3) + rnd.choice(["é1", "x22", "3"]) for _ in range(n)) + " end"
+    df = spark.createDataFrame([(text,)], "text string")
+    got = found(df.select(F.explode(pii.matches("text", "[0-9]+")).alias("m")).select("m.*"))
+    expected = list(re.finditer("[0-9]+", text))
+    assert [(r["start"], r["finish"], r["value"]) for r in got] == [(m.start(), m.end(), m[0]) for m in expected]
+    ends = [0, *(m.end() for m in expected)]
+    starts = [*(m.start() for m in expected), len(text)]
+    assert [r["gap"] for r in got] == [text[a:b] for a, b in zip(ends, starts)][:-1]
+    assert [r["after"] for r in got] == [text[a:b] for a, b in zip(ends, starts)][1:]
+
+
+def test_a_log_of_a_megabyte(spark):
+    """The work grows with the matches."""
+    docs = spark.createDataFrame([(1, "id 12345 at 10.0.0.1 " * 48_000)], "doc_id long, text string")
+    start = time.time()
+    (row,) = found(pii.scan(docs).select(F.size(F.filter("spans", lambda x: x["kind"] == 1)).alias("n")))
+    assert row["n"] == 48_000 and time.time() - start < 120
+
+
+def test_one_word_before_or_behind_discovers_too(spark):
+    rows = [(i, f"w{'x' * (i % 9)} mail user{i}@mail.example.com q{'y' * (i % 7)} z") for i in range(30)]
+    rows += [(50 + i, f"r{'x' * (i % 9)} s 10.1.2.{i} replied z") for i in range(30)]
+    rows += [(100, "some mail kim_1984 there"), (101, "and then lee-77-x replied"), (102, "version 4.12345 replies")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["kind"], s["finish"]) for s in r["spans"]] for r in found(pii.scan(docs))}
+    assert got[100] == [(10, 4, 18)] and got[101] == [(9, 4, 17)] and got[102] == []
+
+
 def test_awkward(spark, awkward, no_docs):
     assert base_of(found(pii.scan(awkward))) == sorted(((i, plain(t or "")) for i, t, *_ in AWKWARD), key=repr)
     assert found(pii.scan(no_docs)) == []
