@@ -1,14 +1,15 @@
 """Shards that follow a Hilbert curve through the metadata of the rows.
 
-Each dimension is quantised to ``2**bits`` steps: a number by its quantiles, a
-text by its hash.  The curve visits the cells of that grid so that neighbours on
+Each dimension is quantised to ``2**bits`` steps by quantiles: a number by its value, a
+text by its place in the order of all texts, so least and largest value of a shard say
+what is in it.  The curve visits the cells of that grid so that neighbours on
 the curve are neighbours in all dimensions; rows sorted by the curve and cut into
 runs of equal length give shards that are narrow in every dimension, so a reader
 that filters on any of them skips most shards (``shard_bounds``).
 
 The place of a row on the curve is found without a global sort.  Rows are
-counted by cell (at most ``2**(bits * dimensions)`` of them, which bounds
-everything that is broadcast), a cell with many rows is cut into blocks by a hash
+counted by cell (at most ``2**(bits * dimensions)`` of them; Spark broadcasts the cells
+where they are small), a cell with many rows is cut into blocks by a hash
 of the row, and rows are numbered inside their block; running sums over cells and
 over the blocks of a cell give the number before.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlog.llm.common import let, utf8_size
+from roadlog.operators.ordered import positions
 from roadlog.workspace import written
 
 # rows numbered by one window, about
@@ -88,18 +90,52 @@ def hilbert_index(steps: Column, bits: int, dimensions: int) -> Column:
     )
 
 
+def text_cuts(rows: DataFrame, name: str, steps: int) -> list[tuple[str, int]]:
+    """The first text of each step but the lowest, with the step, when the rows are dealt evenly into
+    ``steps`` along the order of the column; a text is in one step whole.
+
+    Texts are counted, placed in order, and their counts summed by blocks of places
+    and inside the blocks, so any number of distinct texts will do.
+    """
+    counted = rows.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+    placed = positions(counted, ["value"], "place").withColumn("block", F.shiftright("place", 16))
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        placed.groupBy("block")
+        .agg(F.sum("n").alias("in_block"))
+        .select(
+            "block",
+            F.coalesce(F.sum("in_block").over(earlier), F.lit(0)).alias("before"),
+            F.sum("in_block").over(Window.partitionBy(F.lit(0))).alias("total"),
+        )
+    )
+    within = Window.partitionBy("block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("before") + F.coalesce(F.sum("n").over(within), F.lit(0))
+    stepped = (
+        placed.join(blocks, "block")
+        .withColumn("upto", before)
+        .selectExpr("value", f"CAST((upto * {steps}) DIV total AS INT) AS step")
+    )
+    # at most a text a step; steps that a frequent text spans have none
+    firsts = stepped.groupBy("step").agg(F.min("value").alias("value")).collect()
+    return sorted((r.value, r.step) for r in firsts if r.step)
+
+
 def quantised(rows: DataFrame, numbers: Sequence[str], words: Sequence[str], bits: int) -> list[Column]:
     """A step below ``2**bits`` for each named column; null is step 0."""
     steps = 1 << bits
     shares = [i / steps for i in range(1, steps)]
-    # steps - 1 cut points for each number
+    # steps - 1 cut points for each column
     cuts = rows.agg(*[F.percentile_approx(n, shares, 10_000).alias(n) for n in numbers]).first() if numbers else {}
     out = []
     for name in numbers:
         edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts[name] or []))])
         out.append(F.coalesce(F.size(F.filter(edges, lambda e: e < F.col(name))), F.lit(0)))
     for name in words:
-        out.append(F.when(F.col(name).isNull(), 0).otherwise(F.pmod(F.xxhash64(name), F.lit(steps))).cast("int"))
+        step = F.lit(0)
+        for value, number in text_cuts(rows, name, steps):
+            step = F.when(F.col(name) >= value, number).otherwise(step)
+        out.append(step)
     return out
 
 
@@ -142,7 +178,7 @@ def assign(
         "shard-cells",
     ).withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
     total = rows.count()
-    dealt = placed.join(F.broadcast(cells), "steps").withColumn(
+    dealt = placed.join(cells, "steps").withColumn(
         "block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.col("blocks")).cast("int")
     )
     in_cell = Window.partitionBy("curve").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -56,14 +56,34 @@ def test_shards_are_narrow_and_written(spark, small, tmp_path):
     assigned = sharding.assign(docs, 8, numbers=("n_chars",))
     bounds = found(sharding.shard_bounds(assigned, ["source", "n_chars"]))
     assert sum(r["rows"] for r in bounds) == docs.count()
-    # a reader that wants one source skips shards
-    assert any(sum(r["source_min"] <= s <= r["source_max"] for r in bounds) < 8 for s in ("src0", "src10", "src19"))
     sharding.write_shards(docs, assigned, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r["doc_id"], r["text"]) for r in found(back)) == sorted((r["doc_id"], r["text"]) for r in found(docs))
     assert back.select("shard").distinct().count() == 8
 
 
+def test_a_filter_on_one_value_reads_few_shards(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = table_of(folder, "documents")
+    assigned = sharding.assign(spark.read.parquet(f"{folder}/documents.parquet"), 16)
+    bounds = found(sharding.shard_bounds(assigned, ["source", "lang"]))
+    read = {}
+    for column in ("source", "lang"):
+        rows = Counter(d[column] for d in docs)
+        read[column] = {v: sum(b[f"{column}_min"] <= v <= b[f"{column}_max"] for b in bounds) for v in rows}
+    assert max(read["source"].values()) <= 10 and sorted(read["source"].values())[len(read["source"]) // 2] <= 8
+    # English is most of the rows
+    assert min(read["lang"].values()) <= 6
+
+
+def test_steps_of_texts_follow_their_order_and_frequency(spark):
+    values = ["b"] * 50 + ["a"] * 10 + ["c"] * 20 + ["é"] * 10 + ["d"] * 10 + [None] * 5
+    rows = spark.createDataFrame([(v,) for v in values], "w string")
+    assert sharding.text_cuts(rows, "w", 10) == [("b", 1), ("c", 6), ("d", 8), ("é", 9)]
+    got = found(rows.select("w", sharding.quantised(rows, (), ("w",), 3)[0].alias("step")).distinct())
+    assert {r["w"]: r["step"] for r in got} == {"a": 0, "b": 0, "c": 4, "d": 6, "é": 7, None: 0}
+
+
 def test_awkward(spark, awkward, no_docs):
     rows = found(sharding.assign(awkward, 4))
     lawful(rows, 4)
