@@ -360,7 +360,97 @@ def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return treap.search(index, asked).select(F.col("id").alias("item_id"), "rank", "doc_id", "score")
 
 
-@query()
+# 2 ** 32 - 1, the polynomial of CRC-32, and the DP by hand: b0 to b3 are the costs behind a
+# row from the states start, after system, after user, after assistant; c0 to c3 before it
+_REPAIR_SQL = """
+    WITH RECURSIVE
+    crc_table AS (
+      SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+        FROM range(256) AS r(i))),
+    kinds AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce(
+          list_prepend(4294967295, list_transform(
+            string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+            lambda x: CAST(ord(x) AS BIGINT))),
+          lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) % 20 AS kind
+      FROM conversations, crc_table),
+    damaged AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM kinds WHERE kind <> 0),
+    placed AS (
+      SELECT *, left(role, 1) AS i, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+        trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
+      FROM damaged),
+    marked AS (
+      SELECT *, CASE WHEN said = '' THEN 'blank'
+          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+          WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(i) OVER (PARTITION BY conv_id ORDER BY k) AS i_before,
+        count(*) OVER (PARTITION BY conv_id) AS n
+      FROM placed),
+    asked AS (
+      SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS x
+      FROM marked),
+    back AS (
+      SELECT DISTINCT conv_id, n + 1 AS k, 0 AS c0, 10 AS c1, 5 AS c2, 0 AS c3,
+        '' AS e0, '' AS e1, '' AS e2, '' AS e3 FROM asked
+      UNION ALL
+      SELECT conv_id, k, f0, f1, f2, f3,
+        CASE WHEN 2 + b0 = f0 THEN 'D' WHEN 5 + f2 = f0 THEN 'I' WHEN k0 = f0 THEN 'K' ELSE 'R' END,
+        CASE WHEN 2 + b1 = f1 THEN 'D' WHEN 5 + f2 = f1 THEN 'I' WHEN k1 = f1 THEN 'K' ELSE 'R' END,
+        CASE WHEN 2 + b2 = f2 THEN 'D' WHEN 5 + f3 = f2 THEN 'I' WHEN k2 = f2 THEN 'K' ELSE 'R' END,
+        CASE WHEN 2 + b3 = f3 THEN 'D' WHEN 5 + f2 = f3 THEN 'I' WHEN k1 = f3 THEN 'K' ELSE 'R' END
+      FROM (
+        SELECT *, least(d0, 5 + least(d2, 5 + d3)) AS f0, least(d1, 5 + least(d2, 5 + d3)) AS f1,
+          least(d2, 5 + d3) AS f2, least(d3, 5 + d2) AS f3
+        FROM (
+          SELECT *, least(2 + b0, k0, x + 1 + b2) AS d0, least(2 + b1, k1, x + 1 + b2) AS d1,
+            least(2 + b2, k2, x + 1 + b3) AS d2, least(2 + b3, k1, x + 1 + b2) AS d3
+          FROM (
+            SELECT a.conv_id, a.k, a.x, c0 AS b0, c1 AS b1, c2 AS b2, c3 AS b3,
+              x + CASE i WHEN 's' THEN c1 WHEN 'u' THEN c2 ELSE 1000000000 END AS k0,
+              x + CASE i WHEN 'u' THEN c2 ELSE 1000000000 END AS k1,
+              x + CASE i WHEN 'a' THEN c3 ELSE 1000000000 END AS k2
+            FROM back JOIN asked a ON a.conv_id IS NOT DISTINCT FROM back.conv_id AND a.k = back.k - 1)))),
+    forth AS (
+      SELECT DISTINCT conv_id, CAST(1 AS BIGINT) AS k, 0 AS q, '' AS audit, CAST([] AS VARCHAR[]) AS kept FROM asked
+      UNION ALL
+      SELECT conv_id, CASE WHEN e = 'I' THEN k ELSE k + 1 END,
+        CASE WHEN e = 'D' THEN q WHEN e = 'K' AND i = 's' THEN 1 WHEN q = 2 THEN 3 ELSE 2 END,
+        audit || e,
+        CASE e WHEN 'D' THEN kept WHEN 'K' THEN list_append(kept, role || ':' || text)
+          WHEN 'I' THEN list_append(kept, made || ':') ELSE list_append(kept, made || ':' || text) END
+      FROM (
+        SELECT f.conv_id, f.k, f.q, f.audit, f.kept, a.i, a.role, a.text,
+          CASE f.q WHEN 0 THEN b.e0 WHEN 1 THEN b.e1 WHEN 2 THEN b.e2 ELSE b.e3 END AS e,
+          CASE WHEN f.q = 2 THEN 'assistant' ELSE 'user' END AS made
+        FROM forth f JOIN asked a ON a.conv_id IS NOT DISTINCT FROM f.conv_id AND a.k = f.k
+        JOIN back b ON b.conv_id IS NOT DISTINCT FROM f.conv_id AND b.k = f.k)),
+    totals AS (
+      SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+        count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+        count(*) FILTER (WHERE k > 1 AND i_before || i NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM marked GROUP BY conv_id),
+    repaired AS (
+      SELECT t.*, b.c0 AS cost, f.audit || CASE f.q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+        sha256(array_to_string(list_concat(f.kept,
+          CASE f.q WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] END), chr(10))) AS repaired_sha256
+      FROM totals t JOIN forth f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.k = t.n + 1
+      JOIN back b ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND b.k = 1)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+      coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+    """
+
+
+@query(_REPAIR_SQL)
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation after planted faults: what is wrong, and the cheapest repair."""
     given = table(spark, folder, "conversations")
