@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from roadlog.llm.common import map_batches, texts, utf8_bytes
 from roadlog.llm.graph import components
+from roadlog.operators.ordered import positions
 from roadlog.workspace import written
 
 KEPT_WORDS = 1 << 19
@@ -234,6 +235,43 @@ def links_within(
     return out
 
 
+def _dealt_in_blocks(members: DataFrame, size: int) -> DataFrame:
+    """``cluster, i, j, side, node, anchor``: the members ``(cluster, node, anchor)`` of every
+    pair of blocks that have something to compare.
+
+    Blocks follow the anchors, so of the classes that one centre has confirmed, however
+    many, nearly all stand in blocks of that anchor alone.  Two such blocks of one anchor
+    are never paired: they are joined already.
+    """
+    placed = positions(members.select("cluster", "anchor", "node"), ["cluster", "anchor", "node"], "place").select(
+        "cluster", "anchor", "node", F.expr(f"place div {size}").alias("block")
+    )
+    blocks = written(
+        placed.groupBy("cluster", "block").agg(F.min("anchor").alias("low"), F.max("anchor").alias("high")),
+        "cluster-blocks",
+    )
+    several, single = blocks.filter("low < high"), blocks.filter("low = high")
+    # a block of several anchors meets every block of its cluster once, itself included
+    first = several.select("cluster", F.col("block").alias("i"))
+    all_ = blocks.select("cluster", F.col("block").alias("j"), (F.col("low") == F.col("high")).alias("alone"))
+    met = first.join(all_, "cluster").filter(F.col("alone") | (F.col("i") <= F.col("j"))).select("cluster", "i", "j")
+    # blocks of one anchor meet those of another one
+    anchors = single.select("cluster", "low").distinct()
+    apart = anchors.join(anchors.select("cluster", F.col("low").alias("other")), "cluster").filter("low < other")
+    across = (
+        apart.join(single.select("cluster", "low", F.col("block").alias("i")), ["cluster", "low"])
+        .join(single.select("cluster", F.col("low").alias("other"), F.col("block").alias("j")), ["cluster", "other"])
+        .select("cluster", "i", "j")
+    )
+    sides = F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))
+    return (
+        met.unionByName(across)
+        .withColumn("side", F.explode(sides))
+        .join(placed.withColumnRenamed("block", "side"), ["cluster", "side"])
+        .select("cluster", "i", "j", "side", "node", "anchor")
+    )
+
+
 def _rest_of_clusters(pairs: DataFrame, stars: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Links inside clusters of candidates that go past the centres."""
     anchors = (
@@ -250,24 +288,11 @@ def _rest_of_clusters(pairs: DataFrame, stars: DataFrame, sets: DataFrame, s: Se
     )
     open_clusters = (
         members.groupBy("cluster")
-        .agg(F.count("*").alias("n"), F.min("anchor").alias("low"), F.max("anchor").alias("high"))
+        .agg(F.min("anchor").alias("low"), F.max("anchor").alias("high"))
         .filter("low < high")
-        .select("cluster", F.ceil(F.col("n") / s.block).cast("int").alias("blocks"))
-    )
-    # every block meets every block once, itself included
-    dealt = (
-        members.join(open_clusters, "cluster")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "cluster",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            F.col("block").alias("side"),
-            "node",
-            "anchor",
-        )
+        .select("cluster")
     )
+    dealt = _dealt_in_blocks(members.join(open_clusters, "cluster"), s.block)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         found = links_within(

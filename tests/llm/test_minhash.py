@@ -101,6 +101,28 @@ def test_one_large_family_in_small_blocks(spark):
         assert rows_of(minhash.near_duplicates(docs, minhash.Settings(block=block))) == brute(rows)
 
 
+def test_blocks_of_one_anchor_do_not_meet(spark):
+    """A template of twenty thousand classes and twenty further off."""
+    rows = [(1, i, 7) for i in range(20_000)] + [(1, 30_000 + i, 30_000 + i) for i in range(20)]
+    rows += [(2, 50_000 + i, 50_000 + i % 3) for i in range(90)]
+    members = spark.createDataFrame(rows, "cluster long, node long, anchor long")
+    dealt = minhash._dealt_in_blocks(members, 50)
+    assert dealt.count() < 4 * len(rows)
+    # every two members of different anchors meet once, as a small trial shows
+    few = members.filter("cluster = 2")
+    seen = {}
+    for r in found(minhash._dealt_in_blocks(few, 7)):
+        seen.setdefault((r["i"], r["j"]), []).append((r["side"], r["node"], r["anchor"]))
+    met = []
+    for (i, j), group in seen.items():
+        for x in group:
+            for y in group:
+                if x[1] < y[1] and x[2] != y[2] and (i == j or x[0] != y[0]):
+                    met.append((x[1], y[1]))
+    own = [(n, a) for c, n, a in rows if c == 2]
+    assert sorted(met) == sorted((m, n) for m, a in own for n, b in own if m < n and a != b)
+
+
 def test_chain_past_the_centre(spark):
     # each text is linked with the next only
     words = [f"w{i}" for i in range(400)]
