@@ -278,11 +278,13 @@ def csv_quoted(spark, folder):
     def field(c):
         return F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
 
-    lines = rows.select(F.concat_ws(",", *[field(c) for c in rows.columns]).alias(",".join(rows.columns)))
-    # written as text, with one header a file
-    header = spark.range(1, numPartitions=1).select(F.lit(lines.columns[0]).alias("value"))
-    whole = header.unionByName(lines.withColumnRenamed(lines.columns[0], "value")).coalesce(1)
-    whole.write.text(path)
+    lines = rows.select(F.concat_ws(",", *[field(c) for c in rows.columns]).alias("line"))
+    # written as text, every part with a header of its own: the lines of a part are told
+    # apart by their number in it
+    numbered = lines.withColumn("first", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0)
+    header = F.array(F.lit(",".join(rows.columns)), F.col("line"))
+    with_header = numbered.select(F.explode(F.when(F.col("first"), header).otherwise(F.array("line"))).alias("value"))
+    with_header.write.text(path)
     return files.read_csv(spark, path, rows.schema)
 
 
