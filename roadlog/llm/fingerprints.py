@@ -5,9 +5,14 @@ Each paragraph has a 64-bit digest.  A sketch has three tables of cells; a diges
 digests fell into it, their exclusive or, and the exclusive or of their check
 values.  Two sketches subtract cell by cell, and what both texts have cancels.
 Peeling reads the rest: a cell with one digest left shows it, the digest is taken
-out of its other cells, and so on until nothing is left.  If that gets stuck, the
-sketches are too small for the difference and are made again four times larger
-from the digests.  The recovered digests say how much the versions differ.
+out of its other cells, and so on until nothing is left.  The recovered digests
+say how much the versions differ.
+
+The stored sketch of a text has room for its paragraphs: two of them have three
+cells at least.  Of two stored sketches the larger is folded to the size of the
+smaller (the cells of a table whose numbers end alike are added up), then they are
+subtracted.  If peeling gets stuck, the sketches are too small for the difference,
+which is sketched again, four times larger, from the digests.
 
 All of it is higher-order functions over arrays in the row: no shuffle, work in
 proportion to the paragraphs but for the way through groups of cells (a large
@@ -23,12 +28,11 @@ from roadlog.llm.common import let, texts
 from roadlog.workspace import written
 
 WORDS = 32
-# a table of the stored fingerprint, and of the first attempt at a difference, has 2 ** BITS cells
+# a table of a stored fingerprint has 2 ** BITS cells at least
 BITS = 3
-# a digest has so many bits for its cell in each table
+# a digest has so many bits for its cell in each table, so a table has no more cells; a
+# difference that does not fit these is compared as sets
 _HASH_BITS = 20
-# attempts, each four times larger; what even the last cannot hold is compared as sets
-ATTEMPTS = 9
 
 
 def _shift(name: str, value: Column, by: Column) -> Column:
@@ -44,6 +48,12 @@ def digests(text: Column | str) -> Column:
     return F.array_distinct(F.transform(paragraphs, lambda p: F.xxhash64(p)))
 
 
+def table_bits(n: Column) -> Column:
+    """Bits of a table for ``n`` digests: it has at least a cell for two of them."""
+    halves = F.length(F.bin(F.greatest(n, F.lit(1)).cast("long") - 1)) - 1
+    return F.least(F.greatest(halves, F.lit(BITS)), F.lit(_HASH_BITS))
+
+
 def layout(bits: Column) -> Column:
     """The measures of three tables of ``2 ** bits`` cells, to be bound once by ``let``:
     cells in a table, in a group, groups in a table, and the shift from cell to group.
@@ -54,6 +64,7 @@ def layout(bits: Column) -> Column:
         _shift("shiftleft", F.lit(1), width).alias("per_group"),
         _shift("shiftleft", F.lit(1), bits - width).alias("groups"),
         width.alias("width"),
+        bits.cast("int").alias("bits"),
     )
 
 
@@ -146,6 +157,25 @@ def subtract(a: Column, b: Column) -> Column:
     )
 
 
+def fold(cells: Column, size: Column, to: Column) -> Column:
+    """The sketch in the smaller layout ``to``, as if it had been made in it."""
+
+    def cell(at: Column) -> Column:
+        table, own = F.floor(at / to["cells"]), at % to["cells"]
+        return F.aggregate(
+            F.sequence(F.lit(1), (size["cells"] / to["cells"]).cast("int") - 1),
+            F.get(cells, (table * size["cells"] + own).cast("int")),
+            lambda s, k: let(
+                F.get(cells, (table * size["cells"] + k * to["cells"] + own).cast("int")),
+                lambda c: _struct(s["n"] + c["n"], s["key"].bitwiseXOR(c["key"]), s["check"].bitwiseXOR(c["check"])),
+            ),
+        )
+
+    return F.when(size["cells"] <= to["cells"], cells).otherwise(
+        F.transform(F.sequence(F.lit(0), to["cells"] * 3 - 1), cell)
+    )
+
+
 def _is_empty(cells: Column) -> Column:
     return F.forall(cells, lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0))
 
@@ -186,39 +216,59 @@ def peel(cells: Column, size: Column, rounds: int = 60) -> Column:
     )
 
 
-def difference(a: Column, b: Column, bits: int = BITS) -> Column:
+def stored(found: Column) -> Column:
+    """``(size, cells)``: the sketch of an array of distinct digests that is kept as its fingerprint."""
+    return let(
+        layout(table_bits(F.size(found))),
+        lambda size: F.struct(size.alias("size"), sketch(found, size).alias("cells")),
+    )
+
+
+def difference(a: Column, b: Column, of_a: Column, of_b: Column) -> Column:
     """``(left, right)``: what only one of two arrays of distinct digests holds.
 
-    The sketches are subtracted and peeled, four times larger after each failure.
+    ``of_a`` and ``of_b`` are their stored sketches, which are folded to one size,
+    subtracted and peeled.  After a failure the difference is sketched four times
+    larger: the digests of one text are put in, those of the other taken out.
     A size that the numbers of digests alone show to be too small is passed over.
     """
     nothing = F.array().cast("array<bigint>")
     failed = F.struct(nothing.alias("left"), nothing.alias("right"), F.lit(False).alias("whole"))
 
-    def attempt(k: Column) -> Column:
+    def attempt(size: Column, cells: Column) -> Column:
+        return F.when(size["cells"] * 3 < F.abs(F.size(a) - F.size(b)), failed).otherwise(peel(cells, size))
+
+    def from_stored(size: Column) -> Column:
+        folded = [fold(x["cells"], x["size"], size) for x in (of_a, of_b)]
+        return attempt(size, subtract(*folded))
+
+    def larger(bits: Column) -> Column:
         return let(
-            layout(k * 2 + bits),
-            lambda size: F.when(size["cells"] * 3 < F.abs(F.size(a) - F.size(b)), failed).otherwise(
-                peel(subtract(sketch(a, size), sketch(b, size)), size)
-            ),
+            layout(bits),
+            lambda size: attempt(size, put(empty(size), F.concat(entries(a, 1), entries(b, -1)), size)),
         )
 
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(ATTEMPTS - 1)),
-        failed,
-        lambda s, k: F.when(s["whole"], s).otherwise(attempt(k)),
-        lambda s: F.when(s["whole"], F.struct(s["left"].alias("left"), s["right"].alias("right"))).otherwise(
-            F.struct(F.array_except(a, b).alias("left"), F.array_except(b, a).alias("right"))
+    smaller = F.when(of_a["size"]["bits"] <= of_b["size"]["bits"], of_a["size"]).otherwise(of_b["size"])
+    return let(
+        smaller,
+        lambda size: F.aggregate(
+            # from the least of the larger sizes to the last that a digest has bits for
+            F.sequence(size["bits"] + 2, F.greatest(size["bits"] + 2, F.lit(_HASH_BITS)), F.lit(2)),
+            from_stored(size),
+            lambda s, bits: F.when(s["whole"] | (bits > _HASH_BITS), s).otherwise(larger(bits)),
+            lambda s: F.when(s["whole"], F.struct(s["left"].alias("left"), s["right"].alias("right"))).otherwise(
+                F.struct(F.array_except(a, b).alias("left"), F.array_except(b, a).alias("right"))
+            ),
         ),
     )
 
 
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: Column, b: Column, of_a: Column, of_b: Column) -> Column:
     """Share of paragraphs in common, by the difference of the sketches; two texts
     without paragraphs are alike."""
     both = F.size(a) + F.size(b)
     return let(
-        difference(a, b),
+        difference(a, b, of_a, of_b),
         lambda d: F.when(both == 0, 1.0).otherwise(
             (both - F.size(d["left"]) - F.size(d["right"])) / (both + F.size(d["left"]) + F.size(d["right"]))
         ),
@@ -248,9 +298,23 @@ def packed(cells: Column) -> Column:
     )
 
 
-def fingerprint(found: Column) -> Column:
-    """The stored sketch of an array of digests; equal texts have equal ones."""
-    return let(layout(F.lit(BITS)), lambda size: packed(sketch(found, size)))
+def compared(versions: DataFrame) -> DataFrame:
+    """``doc_id, text, edited, fingerprint, edited_fingerprint, near_edited, near_next`` of
+    :func:`versions`: the sketches of a text, its edited text and the next one are made
+    once, and the likenesses come from them."""
+    found = {name: F.col(name) for name in ("found", "edited_found", "next_found")}
+
+    def row(own: Column, edited: Column, following: Column) -> Column:
+        return F.struct(
+            packed(own["cells"]).alias("fingerprint"),
+            packed(edited["cells"]).alias("edited_fingerprint"),
+            likeness(found["found"], found["edited_found"], own, edited).alias("near_edited"),
+            likeness(found["found"], found["next_found"], own, following).alias("near_next"),
+        )
+
+    sketches = F.struct(*[stored(c).alias(name) for name, c in found.items()])
+    near = let(sketches, lambda s: row(*[s[name] for name in found]))
+    return versions.withColumn("_near", near).select("doc_id", "text", "edited", "_near.*")
 
 
 # stands for a null doc_id inside: it counts as the least

@@ -266,15 +266,15 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Subtractable fingerprints of every text and of its edited version."""
-    found = fingerprints.versions(table(spark, folder, "documents"))
+    found = fingerprints.compared(fingerprints.versions(table(spark, folder, "documents")))
     return found.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprints.fingerprint(F.col("found")).alias("fingerprint"),
-        fingerprints.fingerprint(F.col("edited_found")).alias("edited_fingerprint"),
-        fingerprints.likeness(F.col("found"), F.col("edited_found")).alias("near_edited"),
-        fingerprints.likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
     )
 
 
