@@ -14,6 +14,7 @@ from the way each token is built, and remembered.
 from __future__ import annotations
 
 import base64
+import math
 import struct
 
 import numpy as np
@@ -73,29 +74,38 @@ class Vocabulary:
             prefixes = (self.ranks.get(token[:n]) for n in range(len(token) - 1, 0, -1))
             self.shorter[rank] = next((p for p in prefixes if p in self.halves), None)
 
+    def _facing(self, rank: int, side: int) -> list[tuple[int, float]]:
+        """The parts of a token that lie at one of its ends (``side`` of their halves), from
+        the byte up to the token, each with the rank of the merge that swallows it."""
+        parts, gone = [], math.inf
+        while True:
+            parts.append((rank, gone))
+            half = self.halves[rank][side]
+            if half == rank:
+                return parts[::-1]
+            gone, rank = rank, half
+
     def _stand(self, left: int, right: int) -> bool:
         """Would merging in rank order leave a border between the two tokens?
 
-        The border is undone by a merge of the outermost parts facing it, if
-        that merge comes before the one that swallowed either of them.
+        Follows the merges on both sides of the border in the order of their ranks.
+        Two parts that face each other are joined if the merge of both comes before
+        either is swallowed; of equal ranks the merge further left comes first, which
+        is the one that swallows the left part, or the one across the border before
+        the one that swallows the right part.
         """
-        limit = None
+        before, after = iter(self._facing(left, 1)), iter(self._facing(right, 0))
+        (a, a_gone), (b, b_gone) = next(before), next(after)
         while True:
-            whole = self.joined.get((left, right))
-            if whole is not None and (limit is None or whole < limit):
+            both = self.joined.get((a, b), math.inf)
+            if both < a_gone and both <= b_gone and both < math.inf:
                 return False
-            if left > right:
-                limit, left = left, self.halves[left][1]
-                if left == limit:
-                    limit, right = right + 1, self.halves[right][0]
-                    if right + 1 == limit:
-                        return True
+            if a_gone == b_gone == math.inf:
+                return True
+            if a_gone <= b_gone:
+                a, a_gone = next(before)
             else:
-                limit, right = right + 1, self.halves[right][0]
-                if right + 1 == limit:
-                    limit, left = left, self.halves[left][1]
-                    if left == limit:
-                        return True
+                b, b_gone = next(after)
 
     def compatible(self, left: int, right: int) -> bool:
         pair = left << 32 | right
