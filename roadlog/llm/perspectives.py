@@ -23,6 +23,8 @@ PART = 256
 # fixed values: marks of the rendered text; a mark inside a turn is broken up
 OPEN, CLOSE, END = "<|", "|>", "<|end|>"
 BROKEN = "< |"
+# in a name also the end of a mark is broken up, and line ends become blanks
+BROKEN_CLOSE, LINE_ENDS = "| >", r"[\n\r]"
 UNNAMED = "unknown"
 
 
@@ -30,6 +32,11 @@ def _harmless(c: Column) -> Column:
     return F.replace(c, F.lit(OPEN), F.lit(BROKEN))
 
 
+def _name(c: Column) -> Column:
+    """A role that cannot close the header it stands in."""
+    return F.regexp_replace(F.replace(_harmless(c), F.lit(CLOSE), F.lit(BROKEN_CLOSE)), LINE_ENDS, " ")
+
+
 def header(role: Column, speaker: Column, bystanders: Sequence[str]) -> Column:
     name = (
         F.when(role == speaker, F.lit("assistant"))
@@ -44,14 +51,15 @@ def render(turns: DataFrame, bystanders: Sequence[str] = ("system",)) -> DataFra
 
     ``mask`` is an array of ``(start, finish)``, finish exclusive.  Turns are in
     the order of ``turn`` (null last), then role, then text; repeated turns are
-    rendered repeatedly.  A null text is empty, a null role is ``unknown``, a null
+    rendered repeatedly.  A null text is empty, a null role is ``unknown``, marks and
+    line ends in a role are broken up (roles alike after that are one speaker), a null
     ``conv_id`` is a conversation like any other.  A conversation of bystanders
     alone has no perspective.
     """
     said = turns.select(
         "conv_id",
         F.col("turn").cast("long").alias("turn"),
-        _harmless(F.coalesce("role", F.lit(UNNAMED))).alias("role"),
+        _name(F.coalesce("role", F.lit(UNNAMED))).alias("role"),
         _harmless(F.coalesce("text", F.lit(""))).alias("text"),
     ).withColumn("page", F.floor(F.col("turn") / PART))
     in_page = Window.partitionBy("conv_id", "page").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
