@@ -28,6 +28,23 @@ _STRING = r"""r'"(?:[^"\\]|\\[\s\S])*+"'"""
 _NO_BRACKET = r"""r'[^{}\[\]]'"""
 
 
+# a text with at most so many opening brackets is not looked at further for its depth
+_FEW_LEVELS = 16
+
+
+def _levels(text: str) -> str:
+    """SQL text: so many levels open every node of a JSON text.
+
+    Opening brackets, wherever they stand, are no fewer than levels, and a level that
+    opens nothing costs next to nothing, so only texts with many are measured.
+    """
+    opening = "length(t) - length(translate(t, '{[', ''))"
+    return (
+        f"transform(array({text}), t -> CASE WHEN {opening} <= {_FEW_LEVELS} THEN {opening} "
+        f"ELSE {_depth('t')} END)[0]"
+    )
+
+
 def _depth(text: str) -> str:
     """SQL text: how deep a JSON text nests.  Only brackets outside of strings count."""
     brackets = f"regexp_replace(regexp_replace({text}, {_STRING}, ''), {_NO_BRACKET}, '')"
@@ -84,7 +101,7 @@ def _nodes(df: DataFrame, doc: Column, into_lists: bool, keep_objects: bool) ->
         ),
     )
     opened = _open_level("nodes", into_lists, keep_objects)
-    depth = f"greatest(1, coalesce({_depth('to_json(_nodes[0].value)')}, 1))"
+    depth = f"greatest(1, coalesce({_levels('to_json(_nodes[0].value)')}, 1))"
     return df.withColumn(
         "_nodes", F.expr(f"aggregate(sequence(1, {depth}), _nodes, (nodes, level) -> {opened})")
     )
