@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadlog.operators.search import directed
@@ -132,19 +132,60 @@ def page(
     return rows.select(*columns) if columns else rows
 
 
+class Pages:
+    """All pages of a table of :func:`write_ordered`: one after the other, or numbered in one table."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, sort: Sequence[str], size: int, predicate: Column | str | None
+    ) -> None:
+        self.spark, self.path, self.sort, self.size, self.predicate = spark, path, sort, size, predicate
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        """Each page from where the one before ended; only the last row of each is looked at."""
+        fields = fields_of(self.sort)
+        cursor = None
+        while True:
+            found = page(self.spark, self.path, self.sort, cursor, self.size, self.predicate)
+            # in the other direction the last row is the first
+            last = found.withColumn("_n", F.monotonically_increasing_id()).orderBy(F.desc("_n")).select(
+                *[F.col(f"`{f.name}`") for f in fields]
+            ).head()
+            if last is None:
+                return
+            yield found
+            cursor = list(last)
+
+    def numbered(self, name: str = "page") -> DataFrame:
+        """The rows of all pages with the number of their page, from 1, in one pass over the files.
+
+        The rows of the files before say at which place a file starts, so pages end where
+        they would one after the other, and none waits for the one before.
+        """
+        fields = fields_of(self.sort)
+        files = self.spark.read.parquet(f"{self.path}/files")
+        schema = self.spark.read.parquet(f"{self.path}/rows").schema
+        rows = (
+            self.spark.read.schema(schema)
+            .parquet(f"{self.path}/rows")
+            .withColumns({"_file": F.col("_metadata.file_path"), "_number": F.col("_metadata.row_index")})
+        )
+        if self.predicate is not None:
+            in_file = Window.partitionBy("_file").orderBy("_number")
+            rows = rows.filter(self.predicate).withColumn("_number", F.row_number().over(in_file).cast("long") - 1)
+            held = rows.groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("n"))
+            files = files.drop("n").join(held, "file")
+        # a row a file
+        order = [f.sort(f"{end}.`{f.name}`") for end in ("first", "last") for f in fields]
+        earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        starts = files.select(F.col("file").alias("_file"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
+        return rows.join(F.broadcast(starts), "_file").select(
+            (F.expr(f"(_start + _number) div {int(self.size)}") + 1).alias(name),
+            *[F.col(f"`{c}`") for c in schema.names],
+        )
+
+
 def pages(
     spark: SparkSession, path: str, sort: Sequence[str], size: int = 1000, predicate: Column | str | None = None
-) -> Iterator[DataFrame]:
-    """All pages, one after the other; only the last row of each is looked at."""
-    fields = fields_of(sort)
-    cursor = None
-    while True:
-        found = page(spark, path, sort, cursor, size, predicate)
-        # in the other direction the last row is the first
-        last = found.withColumn("_n", F.monotonically_increasing_id()).orderBy(F.desc("_n")).select(
-            *[F.col(f"`{f.name}`") for f in fields]
-        ).head()
-        if last is None:
-            return
-        yield found
-        cursor = list(last)
+) -> Pages:
+    """All pages of ``size`` rows (the last may have fewer)."""
+    return Pages(spark, path, sort, size, predicate)

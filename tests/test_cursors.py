@@ -35,6 +35,20 @@ def test_every_row_once(spark, ordered):
     assert {len(p) for p in found[:-1]} == {45}
 
 
+def test_all_pages_in_one_table(spark, ordered):
+    for size, predicate in ((45, None), (7, "k % 3 = 1"), (1000, None), (5, "k > 1000")):
+        hits = [r for r in in_order(data()) if predicate is None or predicate[:5] == "k % 3" and r[2] % 3 == 1]
+        got = cursors.pages(spark, ordered, SORT, size, predicate).numbered()
+        assert got.columns == ["page", "a", "b", "k"]
+        assert {tuple(r) for r in got.collect()} == {(i // size + 1, *r) for i, r in enumerate(hits)}
+        assert got.count() == len(hits)
+
+
+def test_numbered_pages_of_nothing(spark, tmp_path):
+    cursors.write_ordered(spark.createDataFrame([], "a int, b string, k int"), f"{tmp_path}/t", SORT)
+    assert cursors.pages(spark, f"{tmp_path}/t", SORT).numbered().count() == 0
+
+
 def test_page_after_any_row(spark, ordered):
     everything = in_order(data())
     for at in (0, 7, 150, 298, 299):
