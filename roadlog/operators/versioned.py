@@ -6,7 +6,9 @@ write it expects to be the last (``if_seq_no``, ``if_primary_term``) or bring a
 its own (``version`` with ``version_type`` ``external`` or ``external_gte``).
 
 Whether an action is accepted depends on those before it, so a document's actions form
-a chain.  They are cut into blocks of consecutive places.  What a block does is summed
+a chain.  Documents with no more actions than a block has places are gone through action
+by action, one document behind the other in a task.  The actions of the others, which are
+few, are cut into blocks of consecutive places.  What a block does is summed
 up as a function of the state it is entered with: which writes pass if the document is
 there or not, if its last write is one the block names, if its version is below the
 largest that the block brings.  One row a block is then folded in order, which tells the
@@ -175,54 +177,91 @@ def _after(state: tuple, does: dict, term: int) -> tuple:
     return (found[0], max(version, 0) + found[2], found[1], term) if found else state
 
 
+# --- documents with few actions -----------------------------------------------
+
+_STATUS = "_place long, _index string, _id string, status int, _version long, _seq_no long"
+
+
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+
+
+def _statuses_in_order(coded: DataFrame, there: DataFrame, first: int, term: int) -> DataFrame:
+    """The status of every action, each document gone through from its first action to
+    its last."""
+    # what a document starts from comes before its first action
+    starts = there.select(
+        *KEY,
+        F.lit(-1).cast("long").alias("place"),
+        F.lit(_INDEX).alias("op"),
+        F.lit(_FREE).alias("condition"),
+        F.col("_seq_no").alias("number"),
+        F.col("_primary_term").alias("term"),
+        "_version",
+    )
+    rows = coded.drop("block").withColumn("_version", F.lit(0).cast("long")).unionByName(starts)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state = None, _NEVER
+        for frame in frames:
+            out = []
+            for index, name, *action, version in frame.itertuples(index=False, name=None):
+                if (index, name) != key:
+                    key, state = (index, name), _NEVER
+                a = Action(*action)
+                if a.place < 0:
+                    state = (1, version, a.number, a.term)
+                    continue
+                status, state = _step(state, a, first, term)
+                out.append((a.place, index, name, status, max(state[1], 0), state[2]))
+            if out:
+                yield _frame(out, _STATUS)
+
+    ordered = rows.repartition(*KEY).sortWithinPartitions(*KEY, "place")
+    return ordered.select(*KEY, *Action._fields, "_version").mapInPandas(run, _STATUS)
+
+
 # --- blocks as rows -----------------------------------------------------------
 
 _PACKED = "place array<long>, op array<int>, condition array<int>, number array<long>, term array<long>"
 _BLOCK = f"_index string, _id string, block long, does string, {_PACKED}"
 _ENTERED = "_index string, _id string, block long, state array<long>"
-_STATUS = "_place long, _index string, _id string, status int, _version long, _seq_no long"
+# a task hands on so many actions at once, or one block
+_AT_ONCE = 1 << 14
 
 
 def _actions_of(row: Sequence) -> list[Action]:
     return [Action(*map(int, x)) for x in zip(*row)]
 
 
-def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-
-
 def _blocks(coded: DataFrame, first: int, term: int) -> DataFrame:
     """The actions of a document and block in one row, with what they do."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held = None, []
+        key, held, out, n = None, [], [], 0
 
-        def done() -> pd.DataFrame:
+        def done() -> tuple:
             does = _summary(held, first, term)
-            return _frame([(*key, None if does is None else json.dumps(does), *map(list, zip(*held)))], _BLOCK)
+            return (*key, None if does is None else json.dumps(does), *map(list, zip(*held)))
 
         for frame in frames:
             for index, name, block, *action in frame.itertuples(index=False, name=None):
                 if (index, name, block) != key:
                     if held:
-                        yield done()
+                        out.append(done())
+                        n += len(held)
+                    if n >= _AT_ONCE:
+                        yield _frame(out, _BLOCK)
+                        out, n = [], 0
                     key, held = (index, name, block), []
                 held.append(Action(*action))
         if held:
-            yield done()
-
-    def joined(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
-        for frame in pack(frames):
-            rows.append(frame)
-            if len(rows) >= 1024:
-                yield pd.concat(rows)
-                rows = []
-        if rows:
-            yield pd.concat(rows)
+            out.append(done())
+        if out:
+            yield _frame(out, _BLOCK)
 
     ordered = coded.repartition(*KEY, "block").sortWithinPartitions(*KEY, "block", "place")
-    return ordered.select(*KEY, "block", *Action._fields).mapInPandas(joined, _BLOCK)
+    return ordered.select(*KEY, "block", *Action._fields).mapInPandas(pack, _BLOCK)
 
 
 def _states_before(blocks: DataFrame, there: DataFrame, first: int, term: int) -> DataFrame:
@@ -261,13 +300,18 @@ def _states_before(blocks: DataFrame, there: DataFrame, first: int, term: int) -
 
 def _statuses(blocks: DataFrame, entered: DataFrame, first: int, term: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
         for frame in frames:
             for index, name, state, *packed in frame.itertuples(index=False, name=None):
-                state, out = tuple(map(int, state)), []
+                state = tuple(map(int, state))
                 for a in _actions_of(packed):
                     status, state = _step(state, a, first, term)
                     out.append((a.place, index, name, status, max(state[1], 0), state[2]))
-                yield _frame(out, _STATUS)
+                if len(out) >= _AT_ONCE:
+                    yield _frame(out, _STATUS)
+                    out = []
+        if out:
+            yield _frame(out, _STATUS)
 
     rows = blocks.drop("does").join(entered, [*KEY, "block"])
     return rows.select(*KEY, "state", *Action._fields).mapInPandas(run, _STATUS)
@@ -319,10 +363,18 @@ def apply_versioned(
     first = max(before.agg(F.max("_seq_no")).first()[0] or 0, -1) + 1
     acts = keyed._numbered_actions(actions.withColumns(missing), order, id_prefix, CONDITIONS)
     coded = _coded(acts, block_bits)
-    blocks = written(_blocks(coded, first, primary_term), "action-blocks")
-    there = before.drop("source").join(blocks.select(*KEY).distinct(), list(KEY), "left_semi")
-    entered = _states_before(blocks, there, first, primary_term)
-    scored = written(_statuses(blocks, entered, first, primary_term), "versioned-statuses")
+    counted = written(coded.groupBy(*KEY).agg(F.count("*").alias("n")), "action-counts")
+    there = before.drop("source").join(counted, list(KEY), "left_semi")
+    # each has more actions than a block has places, so there are fewer than blocks
+    long = F.broadcast(counted.filter(F.col("n") > 1 << block_bits).select(*KEY))
+    scored = _statuses_in_order(
+        coded.join(long, list(KEY), "left_anti"), there.join(long, list(KEY), "left_anti"), first, primary_term
+    )
+    if not long.isEmpty():
+        blocks = written(_blocks(coded.join(long, list(KEY), "left_semi"), first, primary_term), "action-blocks")
+        entered = _states_before(blocks, there.join(long, list(KEY), "left_semi"), first, primary_term)
+        scored = scored.unionByName(_statuses(blocks, entered, first, primary_term))
+    scored = written(scored, "versioned-statuses")
     table = _documents_after(before, acts, scored, primary_term)
     return keyed.Applied(
         keyed._shaped(table, target, actions), keyed._shaped(_results(acts, scored), target, actions)
