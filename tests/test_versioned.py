@@ -129,6 +129,28 @@ def test_hot_document_in_many_blocks(spark):
     assert len({r[3] for r in results}) >= 3
 
 
+def test_short_documents_are_not_cut_into_blocks(spark, monkeypatch):
+    """A block a document and part of the order would be a row for nearly every action."""
+    rnd = random.Random(3)
+    names = [f"d{i}" for i in range(60)]
+    docs = [("a" if i % 2 else "", n, '{"old":1}', 1 + i, 10 + i, 1 + i % 2) for i, n in enumerate(names) if i < 40]
+    actions = random_actions(rnd, 300, names, ["free", "expects", "external", "wrong"], 50)
+    # one document has more actions than a block has places
+    actions += [(300 + i, "update", "a", "d1", '{"doc":{"n":%d}}' % i, None, None, None, None, None) for i in range(40)]
+    cut = []
+    blocks = versioned._blocks
+
+    def counted(coded, *more):
+        cut.append({tuple(r) for r in coded.select("_index", "_id").distinct().collect()})
+        return blocks(coded, *more)
+
+    monkeypatch.setattr(versioned, "_blocks", counted)
+    assert applied(spark, docs, actions, block_bits=5) == brute(docs, actions)
+    assert cut == [{("a", "d1")}]
+    assert applied(spark, docs, actions) == brute(docs, actions)
+    assert len(cut) == 1
+
+
 def test_blocks_are_folded_by_their_summaries():
     """A block says what it does to any state, as a loop over its actions does."""
     rnd = random.Random(9)
