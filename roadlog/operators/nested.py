@@ -17,6 +17,11 @@ _AS_LIST = "try_cast({v} AS ARRAY<VARIANT>)"
 
 
 
+def _text_of(df: DataFrame, col: str) -> Column | None:
+    """The JSON text of a column that is none of VARIANT."""
+    return None if isinstance(df.schema[col].dataType, T.VariantType) else F.col(col)
+
+
 def _as_variant(df: DataFrame, col: str) -> Column:
     if isinstance(df.schema[col].dataType, T.VariantType):
         return F.col(col)
@@ -84,27 +89,96 @@ def _open_level(nodes: str, into_lists: bool, keep_objects: bool) -> str:
     return f"CASE WHEN exists({nodes}, n -> NOT n.done) THEN flatten(transform({nodes}, n -> {step})) ELSE {nodes} END"
 
 
-def _nodes(df: DataFrame, doc: Column, into_lists: bool, keep_objects: bool) -> DataFrame:
-    """Add ``_nodes``: all nodes of each document, found level by level.
-
-    The work stays inside the row (no shuffle, one scan), and takes as many levels
-    as the document has.
+def _step_to(key: str) -> str | None:
+    """The step of a variant path to a member; None if it cannot be said."""
+    if key.isascii() and key.isidentifier():
+        return f".{key}"
+    return f"['{key}']" if key and not set(key) & set("'?") else None
+
+
+def _node_paths(text: str | None, into_lists: bool, keep_objects: bool) -> list[list[str]] | None:
+    """Of every node of a deep JSON text the variant path, then its parts, parents first and
+    members in the order of a VARIANT.  None of one with few levels, or with a member that
+    no variant path can name."""
+    if text is None:
+        return None
+    try:
+        # numbers stay text: only the shape is looked at
+        doc = json.loads(text, parse_int=str, parse_float=str)
+    except (ValueError, RecursionError):
+        return None
+    found, deep = [], False
+    # the way to the node at hand, and nodes with their place on it
+    steps, parts = ["$"], []
+    open_nodes = [(0, "$", None, doc)]
+    while open_nodes:
+        level, step, part, value = open_nodes.pop()
+        if level:
+            steps[level:], parts[level - 1 :] = (step,), (part,)
+        if isinstance(value, dict):
+            if keep_objects:
+                found.append(["".join(steps), *parts])
+            names = sorted(value)
+            if not "".join(names).isascii():
+                names.sort(key=lambda k: k.encode("utf-16-be", "surrogatepass"))
+            said = [_step_to(k) for k in names]
+            if None in said:
+                return None
+            members = [(level + 1, step, k, value[k]) for k, step in zip(names, said)]
+        elif into_lists and isinstance(value, list) and any(isinstance(x, dict) for x in value):
+            members = [(level + 1, f"[{i}]", str(i), x) for i, x in enumerate(value)]
+        else:
+            found.append(["".join(steps), *parts])
+            continue
+        deep |= level >= _FEW_LEVELS
+        open_nodes.extend(reversed(members))
+    return found if deep else None
+
+
+def _paths_of(text: Column, into_lists: bool, keep_objects: bool) -> Column:
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+    def paths(texts: pd.Series) -> pd.Series:
+        return pd.Series([_node_paths(t, into_lists, keep_objects) for t in texts], dtype=object)
+
+    return paths(text)
+
+
+def _nodes(df: DataFrame, doc: Column, into_lists: bool, keep_objects: bool, text: Column | None = None) -> DataFrame:
+    """Add ``_nodes``: all nodes of each document; ``text`` is its JSON, if it is at hand.
+
+    The work stays inside the row (no shuffle, one scan).  Documents of few levels are
+    opened level by level.  Each level copies what is below it, so the nodes of deep ones
+    are fetched from the whole document by their paths.
     """
-    df = df.withColumn(
-        "_nodes",
-        F.array(
-            F.struct(
-                F.array().cast("array<string>").alias("path"),
-                doc.alias("value"),
-                F.lit(False).alias("done"),
-            )
-        ),
+    text = F.to_json(doc) if text is None else text
+    df = df.withColumns(
+        {
+            "_nodes": F.array(
+                F.struct(
+                    F.array().cast("array<string>").alias("path"),
+                    doc.alias("value"),
+                    F.lit(False).alias("done"),
+                )
+            ),
+            "_text": text,
+        }
     )
+    opening = F.length("_text") - F.length(F.translate("_text", "{[", ""))
+    df = df.withColumn("_paths", _paths_of(F.when(opening > _FEW_LEVELS, F.col("_text")), into_lists, keep_objects))
     opened = _open_level("nodes", into_lists, keep_objects)
-    depth = f"greatest(1, coalesce({_levels('to_json(_nodes[0].value)')}, 1))"
-    return df.withColumn(
-        "_nodes", F.expr(f"aggregate(sequence(1, {depth}), _nodes, (nodes, level) -> {opened})")
+    depth = f"greatest(1, coalesce({_levels('_text')}, 1))"
+    # array(x) gives a name to x, which is not evaluated again for every node
+    by_path = (
+        "transform(array(_nodes[0].value), d -> transform(_paths, p -> named_struct("
+        "'path', slice(p, 2, size(p) - 1), 'value', variant_get(d, p[0], 'variant'), 'done', true)))[0]"
+    )
+    by_level = f"aggregate(sequence(1, {depth}), _nodes, (nodes, level) -> {opened})"
+    found = (
+        f"transform(array(CASE WHEN _paths IS NOT NULL AND _nodes[0].value IS NOT NULL THEN {by_path} END), "
+        "f -> CASE WHEN f IS NOT NULL AND NOT exists(f, n -> n.value IS NULL) THEN f "
+        f"ELSE {by_level} END)[0]"
     )
+    return df.withColumn("_nodes", F.expr(found)).drop("_text", "_paths")
 
 
 def _dotted(nodes: str, value: str = "n.value") -> Column:
@@ -131,7 +205,7 @@ def flatten_json(df: DataFrame, col: str, id_cols: Sequence[str] = ()) -> DataFr
     nothing, empty lists and nulls are kept, a bare scalar has the path ``""``.
     ``col`` is a VARIANT, or text of which undecodable rows give nothing.
     """
-    opened = _nodes(df, _as_variant(df, col), into_lists=True, keep_objects=False)
+    opened = _nodes(df, _as_variant(df, col), into_lists=True, keep_objects=False, text=_text_of(df, col))
     # outer: a plain generator makes Spark test the array beforehand, which
     # would open each document a second time
     pairs = opened.withColumn("_pairs", _dotted("_nodes")).select(*id_cols, F.inline_outer("_pairs"))
@@ -140,7 +214,7 @@ def flatten_json(df: DataFrame, col: str, id_cols: Sequence[str] = ()) -> DataFr
 
 def flatten_wide(df: DataFrame, col: str, paths: Sequence[str]) -> DataFrame:
     """Add one text column per wanted flattened path (scalars bare, lists as JSON)."""
-    opened = _nodes(df, _as_variant(df, col), into_lists=True, keep_objects=False)
+    opened = _nodes(df, _as_variant(df, col), into_lists=True, keep_objects=False, text=_text_of(df, col))
     flat = opened.withColumn("_flat", F.map_from_entries(_dotted("_nodes", variant_text("n.value"))))
     return flat.select(*df.columns, *[F.try_element_at("_flat", F.lit(p)).alias(p) for p in paths])
 

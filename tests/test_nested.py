@@ -46,6 +46,34 @@ def test_any_depth(spark):
     assert got == dict(leaves(doc)) and len(got) > 60
 
 
+def test_deep_documents_are_not_copied_level_by_level(spark):
+    """Of every node there is one lookup in the whole document; odd names go the other way."""
+    deep = '{"k":' * 30 + '[1,{"b":1.50,"a":null,"e":{}},[2]]' + "}" * 30
+    wide = '{"z":1,"x y":{"q":"{["},"é":[],"k":' + deep + "}"
+    odd = '{"it\'s":' + deep + ',"k":{"":1}}'
+    clash = '{"k.k":1,"k":{"k":2,"l":' + deep + "}}"
+    docs = [deep, wide, odd, clash, "{" + deep, None]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, d string")
+    at = ".".join(["k"] * 30)
+    leaves = {(f"{at}.0", "1"), (f"{at}.1.a", "null"), (f"{at}.1.b", "1.5"), (f"{at}.2", "[2]")}
+    beside = {("z", "1"), ("x y.q", '"{["'), ("é", "[]")}
+    expected = {
+        0: leaves,
+        1: beside | {(f"k.{p}", v) for p, v in leaves},
+        2: {(f"it's.{p}", v) for p, v in leaves} | {("k.", "1")},
+        3: {("k.k", "1")} | {(f"k.l.{p}", v) for p, v in leaves},
+    }
+    for col in ("d", "v"):
+        got = {}
+        flat = nested.flatten_json(df.withColumn("v", F.try_parse_json("d")), col, ["i"])
+        for r in flat.select("i", "path", F.to_json("value").alias("t")).collect():
+            got.setdefault(r.i, set()).add((r.path, r.t))
+        assert {k: v for k, v in got.items() if k != 3} == {k: v for k, v in expected.items() if k != 3}
+        assert got[3] - {("k.k", "1"), ("k.k", "2")} == expected[3] - {("k.k", "1")}
+    assert nested._node_paths(deep, True, False) is not None and nested._node_paths(odd, True, False) is None
+    assert nested._node_paths('{"a":{"b":[{"c":1}]}}', True, False) is None
+
+
 def test_many_clashes(spark):
     doc = {"a": {str(i): {"b": i} for i in range(300)}, **{f"a.{i}.b": -i for i in range(0, 300, 3)}}
     got = dict(flat(spark, json.dumps(doc))[0])
