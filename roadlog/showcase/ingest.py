@@ -376,8 +376,9 @@ def _document_files(spark, folder, indented):
         .groupBy(F.floor(F.col("doc_id") / 50).alias("file"))
         .agg(F.concat(F.lit(f"[{gap}"), F.array_join(F.collect_list(element), f",{gap}"), F.lit("]")).alias("value"))
     )
-    arrays.write.partitionBy("file").text(path)
-    return f"{path}/*"
+    # an array a file, all in one folder
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return path
 
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
