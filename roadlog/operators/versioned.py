@@ -179,7 +179,7 @@ def _after(state: tuple, does: dict, term: int) -> tuple:
 
 # --- documents with few actions -----------------------------------------------
 
-_STATUS = "_place long, _index string, _id string, status int, _version long, _seq_no long"
+_STATUS = "_place long, _index string, _id string, op int, status int, _version long, _seq_no long"
 
 
 def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
@@ -204,18 +204,23 @@ def _statuses_in_order(coded: DataFrame, there: DataFrame, first: int, term: int
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, state = None, _NEVER
         for frame in frames:
-            out = []
-            for index, name, *action, version in frame.itertuples(index=False, name=None):
+            # column by column: a row as a tuple costs more than the step it takes
+            statuses, versions, numbers = [], [], []
+            for index, name, place, op, condition, number, own_term, version in zip(
+                *[frame[c].tolist() for c in frame.columns]
+            ):
                 if (index, name) != key:
                     key, state = (index, name), _NEVER
-                a = Action(*action)
-                if a.place < 0:
-                    state = (1, version, a.number, a.term)
+                if place < 0:
+                    state = (1, version, number, own_term)
                     continue
-                status, state = _step(state, a, first, term)
-                out.append((a.place, index, name, status, max(state[1], 0), state[2]))
-            if out:
-                yield _frame(out, _STATUS)
+                status, state = _step(state, Action(place, op, condition, number, own_term), first, term)
+                statuses.append(status)
+                versions.append(max(state[1], 0))
+                numbers.append(state[2])
+            if statuses:
+                out = frame.loc[frame["place"] >= 0, ["place", *KEY, "op"]].rename(columns={"place": "_place"})
+                yield out.assign(status=statuses, _version=versions, _seq_no=numbers)
 
     ordered = rows.repartition(*KEY).sortWithinPartitions(*KEY, "place")
     return ordered.select(*KEY, *Action._fields, "_version").mapInPandas(run, _STATUS)
@@ -306,7 +311,7 @@ def _statuses(blocks: DataFrame, entered: DataFrame, first: int, term: int) -> D
                 state = tuple(map(int, state))
                 for a in _actions_of(packed):
                     status, state = _step(state, a, first, term)
-                    out.append((a.place, index, name, status, max(state[1], 0), state[2]))
+                    out.append((a.place, index, name, a.op, status, max(state[1], 0), state[2]))
                 if len(out) >= _AT_ONCE:
                     yield _frame(out, _STATUS)
                     out = []
@@ -367,10 +372,12 @@ def apply_versioned(
     there = before.drop("source").join(counted, list(KEY), "left_semi")
     # each has more actions than a block has places, so there are fewer than blocks
     long = F.broadcast(counted.filter(F.col("n") > 1 << block_bits).select(*KEY))
-    scored = _statuses_in_order(
-        coded.join(long, list(KEY), "left_anti"), there.join(long, list(KEY), "left_anti"), first, primary_term
-    )
-    if not long.isEmpty():
+    if long.isEmpty():
+        scored = _statuses_in_order(coded, there, first, primary_term)
+    else:
+        scored = _statuses_in_order(
+            coded.join(long, list(KEY), "left_anti"), there.join(long, list(KEY), "left_anti"), first, primary_term
+        )
         blocks = written(_blocks(coded.join(long, list(KEY), "left_semi"), first, primary_term), "action-blocks")
         entered = _states_before(blocks, there.join(long, list(KEY), "left_semi"), first, primary_term)
         scored = scored.unionByName(_statuses(blocks, entered, first, primary_term))
@@ -409,23 +416,29 @@ def _coded(acts: DataFrame, block_bits: int) -> DataFrame:
 def _documents_after(before: DataFrame, acts: DataFrame, scored: DataFrame, term: int) -> DataFrame:
     """Documents that nothing changed pass through; the others get the numbers of their
     last write."""
-    done = scored.filter(F.col("status") < 300).join(acts.select("_place", "op"), "_place")
+    op = F.lit(None).cast("string")
+    for name, code in _OPS.items():
+        op = F.when(F.col("op") == code, name).otherwise(op)
+    done = scored.filter(F.col("status") < 300).withColumn("op", op)
     last = written(
-        done.groupBy(*KEY).agg(F.max_by("_version", "_place").alias("_version"), F.max("_seq_no").alias("_seq_no")),
+        done.groupBy(*KEY).agg(
+            F.max_by("_version", "_place").alias("_version"), F.max("_seq_no").alias("_seq_no"), keyed._base()
+        ),
         "last-writes",
     )
     names = last.select(*KEY)
     if keyed._are_few(names):
         names = F.broadcast(names)
     named = before.select(*KEY, "source").join(names, list(KEY), "left_semi")
-    changed = keyed._final_documents(named, acts, done.select("_place", "op", *KEY, "status"))
+    bases, last = last.select(*KEY, "_base"), last.drop("_base")
+    changed = keyed._final_documents(named, acts, done.select("_place", "op", *KEY, "status"), bases)
     numbered = changed.join(last, list(KEY)).withColumn("_primary_term", F.lit(term).cast("long"))
     return before.join(names, list(KEY), "left_anti").unionByName(numbered)
 
 
 def _results(acts: DataFrame, scored: DataFrame) -> DataFrame:
     ok = F.col("status").between(200, 299)
-    return acts.join(scored.drop(*KEY), "_place").select(
+    return acts.join(scored.drop(*KEY, "op"), "_place").select(
         *(["seq"] if "seq" in acts.columns else [F.col("_place").alias("seq")]),
         "op",
         *KEY,
